@@ -31,7 +31,7 @@ def _signals() -> str:
 
 def _signal_list() -> str:
     items = ", ".join(f"CASE WHEN s_{p} THEN '{p}' END" for p in V.PERIOD_WORDS)
-    return f"list_filter([{items}], x -> x IS NOT NULL)"
+    return f"list_filter([{items}], lambda x: x IS NOT NULL)"
 
 
 def signals_sql(source: str, key: str) -> str:
@@ -78,11 +78,11 @@ WITH t AS (SELECT {key}, {TEXT} AS txt FROM {source}),
      CASE WHEN s_persian THEN '{V.NOTE_PERSIAN}' END, CASE WHEN prov THEN '{V.NOTE_PROVINCIAL}' END,
      CASE WHEN s_modern AND NOT ancient THEN '{V.NOTE_MODERN}' END, CASE WHEN how = 'B2' THEN '{V.NOTE_CELTIC}' END,
      CASE WHEN how = 'H2' THEN '{V.NOTE_CITY}' END, CASE WHEN how = 'Z' THEN '{V.NOTE_EXOTIC}' END, {infer_notes},
-     CASE WHEN fixed THEN 'Auto-corrected to ' || fin || ' via denomination constraint' END], x -> x IS NOT NULL) END AS notes,
+     CASE WHEN fixed THEN 'Auto-corrected to ' || fin || ' via denomination constraint' END], lambda x: x IS NOT NULL) END AS notes,
    CASE WHEN junk THEN [] ELSE list_filter([CASE WHEN s_modern AND ancient THEN '{V.WARN_MODERN}' END,
      CASE WHEN how = 'H' AND len(sig) > 1 THEN '{V.WARN_MULTIPLE}' END,
      CASE WHEN clash THEN 'Conflict: ''' || denom || ''' vs ''' || pick || '''' END,
-     CASE WHEN fin IS NULL THEN '{V.WARN_NO_PERIOD}' END], x -> x IS NOT NULL) END AS warnings FROM f)
+     CASE WHEN fin IS NULL THEN '{V.WARN_NO_PERIOD}' END], lambda x: x IS NOT NULL) END AS warnings FROM f)
 SELECT {key}, CASE WHEN junk THEN 'non_coin' ELSE fin END AS period, CASE WHEN NOT junk THEN denom END AS denomination,
  CASE WHEN NOT junk THEN mat END AS material,
  CAST(CASE WHEN junk THEN 0.99 WHEN score1 > 0 THEN score1 WHEN fin IS NOT NULL THEN 0.9 ELSE 0.3 END AS DOUBLE) AS label_confidence,

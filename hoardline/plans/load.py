@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from hoardline.plans import catalogue_queries  # noqa: F401
+from hoardline.plans import catalogue_queries, export_queries  # noqa: F401

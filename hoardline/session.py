@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_DEFAULTS = {
     "spark.driver.memory": "16g",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.shuffle.partitions": "8",
 }
 
