@@ -1,3 +1,8 @@
 """Imports every module that registers queries."""
 
-from hoardline.plans import catalogue_queries, export_queries  # noqa: F401
+from hoardline.plans import (  # noqa: F401
+    audit_queries,
+    catalogue_queries,
+    export_queries,
+    pairing_queries,
+)

@@ -110,7 +110,7 @@ FROM {embeddings}""",
 SELECT CAST(floor(vec_id / 5.0) AS BIGINT) AS coin_id, vec_id,
  CASE WHEN floor(vec_id / 5.0) % 4 = 3 THEN 'unknown' WHEN vec_id % 5 = 4 THEN 'unknown' WHEN vec_id % 2 = 0 THEN 'obverse' ELSE 'reverse' END AS side,
  (vec_id * 37 % 11) / 10.0E0 AS quality, CASE WHEN vec_id % 8 = 0 THEN NULL ELSE 'p' || CAST(label AS STRING) END AS period,
- '/data/processed/vision/crops/Leu/' || CAST(vec_id % 6 AS STRING) || '/Lot_' || lpad(CAST(floor(vec_id / 5.0) AS STRING), 5, '0') || CASE vec_id % 2 WHEN 0 THEN '_obv' ELSE '_rev' END || '_224.jpg' AS path,
+ '/data/processed/vision/crops/Leu/' || CAST(vec_id % 6 AS STRING) || '/Lot_' || lpad(CAST(CAST(floor(vec_id / 5.0) AS BIGINT) AS STRING), 5, '0') || CASE vec_id % 2 WHEN 0 THEN '_obv' ELSE '_rev' END || '_224.jpg' AS path,
  embedding
 FROM {embeddings}""",
     "feedback_log": """
