@@ -3,6 +3,8 @@
 from hoardline.plans import (  # noqa: F401
     audit_queries,
     catalogue_queries,
+    cluster_queries,
     export_queries,
     pairing_queries,
+    vector_queries,
 )
