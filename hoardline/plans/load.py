@@ -5,6 +5,8 @@ from hoardline.plans import (  # noqa: F401
     catalogue_queries,
     cluster_queries,
     export_queries,
+    file_queries,
     pairing_queries,
+    split_queries,
     vector_queries,
 )
