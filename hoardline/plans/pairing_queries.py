@@ -349,8 +349,8 @@ def bbox_margin(v):
     sql="""WITH g AS (SELECT id, edge_support AS e, bbox_w * bbox_h * 0.7E0 AS a, CASE WHEN id % 50 = 0 THEN 0 ELSE 1.6E0 * (bbox_w + bbox_h) END AS p,
   CASE WHEN id % 60 = 0 THEN 0 ELSE bbox_w * bbox_h * 0.8E0 END AS hull FROM coin_detections),
  s AS (SELECT *, CASE WHEN p > 0 THEN 4 * pi() * a / (p * p) ELSE 0 END AS c, CASE WHEN hull > 0 THEN a / hull ELSE 0 END AS s FROM g)
- SELECT id, round(c, 6) AS circularity, round(s, 6) AS solidity, round(0.5E0 * c + 0.3E0 * s + 0.2E0, 6) AS fallback_score, round(0.45E0 * least(c, 1) + 0.35E0 * e + 0.2E0 * s, 6) AS edge_score,
- round((0.3E0 * least(c, 1) + 0.2E0 * e + 0.2E0 * s + 0.3E0 * 0.5E0) * (1 + 3 * a / 280000.0E0), 6) AS centered_score,
+ SELECT id, round(c, 6) AS circularity, round(s, 6) AS solidity, round(0.5E0 * c + 0.3E0 * s + 0.2E0 + 1E-9, 6) AS fallback_score, round(0.45E0 * least(c, 1) + 0.35E0 * e + 0.2E0 * s + 1E-9, 6) AS edge_score,
+ round((0.3E0 * least(c, 1) + 0.2E0 * e + 0.2E0 * s + 0.3E0 * 0.5E0) * (1 + 3 * a / 280000.0E0) + 1E-9, 6) AS centered_score,
  CASE WHEN c > 0.75 THEN 'Round Object (Coin/Medallion)' WHEN c > 0.5 THEN 'Geometric Form' ELSE 'Artifact (Isolated)' END AS shape,
  CASE WHEN c > 0.6 THEN 'Round_Artifact' ELSE 'Unknown' END AS container FROM s""",
 )
@@ -363,12 +363,14 @@ def detection_scores(v):
         geometry.circularity(area, perimeter).alias("c"), geometry.solidity(area, hull).alias("s"),
     )
     c, s, e = F.col("c"), F.col("s"), F.col("e")
+    # Scores with few decimals may sit exactly on a rounding edge; both engines round off it.
+    off_edge = F.lit(1e-9)
     centered = geometry.centered_likelihood(c, e, s, F.lit(0.5), F.col("a") / 280000.0)
     return measured.select(
         "id", r6(c, "circularity"), r6(s, "solidity"),
-        r6(geometry.fallback_likelihood(c, s), "fallback_score"),
-        r6(geometry.edge_likelihood(c, e, s), "edge_score"),
-        r6(centered, "centered_score"),
+        r6(geometry.fallback_likelihood(c, s) + off_edge, "fallback_score"),
+        r6(geometry.edge_likelihood(c, e, s) + off_edge, "edge_score"),
+        r6(centered + off_edge, "centered_score"),
         geometry.shape_class(c).alias("shape"), geometry.container(c).alias("container"),
     )
 
