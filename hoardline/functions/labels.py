@@ -1,7 +1,8 @@
 """Rule-based lot labels as one pipeline of column expressions.
 
-The text is scanned once per vocabulary; the rules then work on short arrays of found words. Each
-stage is its own projection, so Catalyst evaluates a scan only once however often it is used.
+The text is cut into words once for all vocabularies; the rules then work on the short array of words
+found. Substring rules run only where they can still decide. Each stage is its own projection, so
+Catalyst evaluates it once however often it is used.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from hoardline.functions import vocabulary as V
 from hoardline.functions.text import (
     contains_any,
     first_pattern,
-    has_word,
+    has_any,
     longest_key_value,
     lot_text,
     words_found,
@@ -27,31 +28,29 @@ LABEL_COLUMNS = [
 ]
 
 
-def period_signals(text: Column) -> Column:
-    """Periods signalled by the text, in declaration order."""
-    all_words = sorted({w for words in V.PERIOD_WORDS.values() for w in words})
-    return words_found(text, all_words)
-
-
-def _signalled(words: Column) -> Column:
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(F.arrays_overlap(words, F.array(*[F.lit(w) for w in vocab])), F.lit(period))
-                for period, vocab in V.PERIOD_WORDS.items()
-            ]
-        )
+def all_words() -> list[str]:
+    """Every word the label rules look for."""
+    return sorted(
+        {w for words in V.PERIOD_WORDS.values() for w in words}
+        | set(V.NON_COIN_WORDS)
+        | set(V.DENOMINATIONS)
+        | set(V.MATERIALS)
+        | set(V.CELTIC_TRIBES)
     )
 
 
 def with_signals(df: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
-    """Add ``_text``, the junk flag and the found signals."""
+    """Add ``_text``, the words ``_found`` in it, the junk flag and the period ``signals``."""
+    signals = [F.when(has_any(F.col("_found"), words), F.lit(p)) for p, words in V.PERIOD_WORDS.items()]
     return (
         df.withColumn("_text", lot_text(title, description))
-        .withColumn("_junk", has_word(F.col("_text"), V.NON_COIN_WORDS))
-        .withColumn("_words", period_signals(F.col("_text")))
-        .withColumn("signals", _signalled(F.col("_words")))
-        .drop("_words")
+        .withColumn("_found", words_found(F.col("_text"), all_words()))
+        .withColumns(
+            {
+                "_junk": has_any(F.col("_found"), V.NON_COIN_WORDS),
+                "signals": F.array_compact(F.array(*signals)),
+            }
+        )
     )
 
 
@@ -60,31 +59,42 @@ def with_labels(
 ) -> DataFrame:
     """Add period, denomination, material, confidence, review flag, notes and warnings."""
     text = F.col("_text")
-    found = with_signals(df, title, description).withColumns(
-        {
-            "_denomination": longest_key_value(text, V.DENOMINATIONS),
-            "_material": longest_key_value(text, V.MATERIALS),
-            "_region": contains_any(text, V.PROVINCIAL_REGIONS),
-            "_tribe": has_word(text, V.CELTIC_TRIBES),
-            "_city": contains_any(text, V.GREEK_CITIES),
-            "_exotic": contains_any(text, V.EXOTIC_SIGNALS),
-        }
-    )
+    words = F.col("_found")
 
     def signal(period: str) -> Column:
         return F.array_contains("signals", period)
 
     count = F.size("signals")
-    provincial = (
-        ~signal("persian")
-        & (F.col("_region") | signal("roman_provincial"))
-        & (signal("roman_imperial") | signal("greek"))
+    imperial_or_greek = signal("roman_imperial") | signal("greek")
+    # Words are in hand; the text is searched for parts of words only where no word has decided.
+    regional = (
+        ~F.col("_junk")
+        & ~signal("persian")
+        & imperial_or_greek
+        & (signal("roman_provincial") | contains_any(text, V.PROVINCIAL_REGIONS))
+    )
+    undecided = ~F.col("_junk") & (count == 0) & ~F.col("_tribe")
+    found = (
+        with_signals(df, title, description)
+        .withColumns(
+            {
+                "_denomination": longest_key_value(words, V.DENOMINATIONS),
+                "_material": longest_key_value(words, V.MATERIALS),
+                "_tribe": has_any(words, V.CELTIC_TRIBES),
+                "_provincial": regional,
+            }
+        )
+        .withColumns(
+            {
+                "_city": undecided & contains_any(text, V.GREEK_CITIES),
+                "_exotic": undecided & contains_any(text, V.EXOTIC_SIGNALS),
+            }
+        )
     )
     ancient = F.arrays_overlap("signals", F.array(*[F.lit(p) for p in ANCIENT]))
     # What each rule saw, before they compete.
     facts = found.withColumns(
         {
-            "_provincial": provincial,
             "_modern": signal("modern") & ~ancient,
             "_mixed": signal("modern") & ancient,
             "_inferred": F.coalesce(

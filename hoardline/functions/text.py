@@ -18,43 +18,81 @@ def lot_text(title: str, description: str) -> Column:
     return F.lower(F.concat_ws(" ", *parts))
 
 
-def _alternatives(words: Iterable[str]) -> str:
-    longest_first = sorted(words, key=len, reverse=True)
-    return "|".join(re.escape(w).replace(r"\ ", " ").replace(r"\-", "-") for w in longest_first)
+def _escaped(word: str) -> str:
+    return re.escape(word).replace(r"\ ", " ").replace(r"\-", "-")
 
 
 def word_pattern(words: Iterable[str]) -> str:
     """Java pattern for any of ``words`` not touching another word character."""
-    return rf"(?U)(?<!\w)({_alternatives(words)})(?!\w)"
+    return rf"(?U)(?<!\w)(?:{'|'.join(_escaped(w) for w in words)})(?!\w)"
 
 
-def has_word(text: Column, words: Iterable[str]) -> Column:
-    return text.rlike(word_pattern(words))
+def is_phrase(word: str) -> bool:
+    """Whether a vocabulary entry holds anything besides word characters."""
+    return re.search(r"\W", word) is not None
 
 
 def words_found(text: Column, words: Iterable[str]) -> Column:
-    """Distinct ``words`` in the text, found in one pass over it."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(word_pattern(words)), F.lit(1)))
+    """Distinct ``words`` that stand free in the text.
+
+    A plain word stands free exactly if it is one of the text's words, so the text is cut into words
+    once and each is looked up in a constant hash set. The few entries with blanks or hyphens are
+    looked for as substrings first, and only a hit is checked for its surroundings.
+    """
+    vocabulary = sorted(set(words))
+    plain = [w for w in vocabulary if not is_phrase(w)]
+    phrases = [w for w in vocabulary if is_phrase(w)]
+    tokens = F.filter(F.split(text, r"(?U)\W+"), lambda t: t.isin(*plain))
+    hits = [F.when(text.contains(p) & text.rlike(word_pattern([p])), F.lit(p)) for p in phrases]
+    if not hits:
+        return F.array_distinct(tokens)
+    return F.array_distinct(F.concat(tokens, F.array_compact(F.array(*hits))))
+
+
+def has_any(found: Column, words: Iterable[str]) -> Column:
+    """Whether one of ``words`` is among the words found."""
+    return F.arrays_overlap(found, F.array(*[F.lit(w) for w in words]))
 
 
 def contains_any(text: Column, parts: Iterable[str]) -> Column:
-    return text.rlike(_alternatives(parts))
+    """Whether one of ``parts`` occurs anywhere; parts are grouped by first letter for the matcher."""
+    by_letter: dict[str, list[str]] = {}
+    for part in parts:
+        by_letter.setdefault(part[0], []).append(_escaped(part[1:]))
+    groups = [f"{_escaped(letter)}(?:{'|'.join(rest)})" for letter, rest in sorted(by_letter.items())]
+    return text.rlike("|".join(groups))
 
 
-def longest_key_value(text: Column, table: Mapping[str, str]) -> Column:
-    """Value of the longest key in the text; equally long keys rank in declaration order."""
+def longest_key_value(found: Column, table: Mapping[str, str]) -> Column:
+    """Value of the longest key among the words found; equally long keys rank in declaration order."""
     keys = sorted(table, key=len, reverse=True)
     literal_keys = F.array(*[F.lit(k) for k in keys])
     values = F.array(*[F.lit(table[k]) for k in keys])
-    best = F.array_min(
-        F.transform(words_found(text, keys), lambda w: F.array_position(literal_keys, w))
+    places = F.filter(
+        F.transform(found, lambda w: F.array_position(literal_keys, w)), lambda place: place > 0
     )
-    return F.get(values, (best - 1).cast("int"))
+    return F.get(values, (F.array_min(places) - 1).cast("int"))
+
+
+def literal_part(pattern: str) -> str:
+    """The longest run of plain letters and blanks that any match of ``pattern`` contains."""
+    plain = re.sub(r"\\.|\[[^\]]*\]|\{[^}]*\}|[.*+?^$]", "#", pattern)
+    return max(re.findall(r"[a-z ]*", plain), key=len)
 
 
 def first_pattern(text: Column, patterns: Iterable[str]) -> Column:
-    """The first of ``patterns``, in order, that occurs in ``text``; null if none does."""
-    return F.coalesce(*[F.when(text.rlike("(?U)" + p), F.lit(p)) for p in patterns])
+    """The first of ``patterns``, in order, that occurs in ``text``; null if none does.
+
+    A pattern is only tried on texts that contain its literal part.
+    """
+    branches = []
+    for pattern in patterns:
+        literal = literal_part(pattern)
+        found = text.rlike("(?U)" + pattern)
+        if len(literal) > 2:
+            found = text.contains(literal) & found
+        branches.append(F.when(found, F.lit(pattern)))
+    return F.coalesce(*branches)
 
 
 def blank_to_null(column: Column) -> Column:

@@ -293,16 +293,14 @@ def _assigner(pivots) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             scores = unit_rows(matrix(batch.column(1))) @ centers.T
             cell = scores.argmax(axis=1)
             distance = _distance(scores[np.arange(len(cell)), cell])
-            ring = np.minimum(RINGS - 1, (distance / 2 * RINGS).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(cell.astype(np.int64)),
-                    pa.array(ring),
                     pa.array(distance),
                 ],
-                names=["_id", "_v", "cell", "ring", "distance"],
+                names=["_id", "_v", "cell", "distance"],
             )
 
     return assign
@@ -331,6 +329,23 @@ def _packed(df: DataFrame, rings: DataFrame, prefix: str) -> DataFrame:
     )
 
 
+def _with_rings(df: DataFrame, block_rows: int) -> DataFrame:
+    """Cells cut into rings of equal width, about as many as the cell fills blocks.
+
+    There is one row per cell, at most ``MAX_PIVOTS``, hence the broadcast.
+    """
+    cells = df.groupBy(F.col("cell").alias("_cell")).agg(
+        F.min("distance").alias("_from"),
+        F.max("distance").alias("_to"),
+        F.least(F.lit(RINGS), F.ceil(F.count(F.lit(1)) / F.lit(block_rows))).alias("_rings"),
+    )
+    share = (F.col("distance") - F.col("_from")) / (F.col("_to") - F.col("_from") + F.lit(1e-9))
+    ring = F.least(F.col("_rings") - 1, F.floor(share * F.col("_rings")))
+    return df.join(F.broadcast(cells), F.col("cell") == F.col("_cell")).select(
+        "_id", "_v", "cell", ring.cast("long").alias("ring"), "distance"
+    )
+
+
 def _ring_sizes(df: DataFrame, block_rows: int) -> DataFrame:
     return df.groupBy("cell", "ring").agg(
         F.count(F.lit(1)).alias("members"),
@@ -433,7 +448,7 @@ def _knn_blocks(
     answers = cut_lineage(answers.select("_id", "_v", "_n"), "knn-corpus")
     rows = answers.count()
     # 2. A bounded, repeatable sample of distinct corpus vectors as pivots.
-    size = int(np.clip(np.sqrt(rows), 8, MAX_PIVOTS))
+    size = int(np.clip(np.ceil(rows / block_rows), 8, MAX_PIVOTS))
     sample = (
         answers.where(F.col("_n") == 1).orderBy(F.xxhash64("_id"), "_id").limit(size).select("_v")
     ).toArrow()
@@ -443,10 +458,15 @@ def _knn_blocks(
         unit_rows(matrix(sample.combine_chunks()["_v"].combine_chunks()))
     )
     # 3. Cells around pivots, rings by distance to the pivot, blocks inside rings.
-    placed = "_id long, _v array<float>, cell long, ring long, distance double"
+    vector_type = answers.schema["_v"].dataType.simpleString()
+    placed = f"_id long, _v {vector_type}, cell long, distance double"
     assign = _assigner(pivots)
-    c_placed = cut_lineage(answers.select("_id", "_v").mapInArrow(assign, placed), "knn-corpus")
-    q_placed = cut_lineage(solved.select("_id", "_v").mapInArrow(assign, placed), "knn-queries")
+
+    def place(df: DataFrame) -> DataFrame:
+        assigned = cut_lineage(df.select("_id", "_v").mapInArrow(assign, placed), "knn-cells")
+        return _with_rings(assigned, block_rows)
+
+    c_placed, q_placed = place(answers), place(solved)
     c_rings = _ring_sizes(c_placed, block_rows)
     ring_rows = c_rings.toArrow()  # at most MAX_PIVOTS * RINGS rows
     ring_table = spark.sparkContext.broadcast(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hoardline.functions import labels as L
 from hoardline.functions import vocabulary as V
-from hoardline.functions.text import resolved_period
+from hoardline.functions.text import longest_key_value, resolved_period, words_found
 from hoardline.operators import clusters, dedup, export, feedback, mutate, stats
 from hoardline.plans import label_sql as S
 from hoardline.plans.registry import query
@@ -336,13 +336,12 @@ def label_signals(v):
  SELECT doc_id, {S.longest('txt', V.DENOMINATIONS)} AS denomination, {S.longest('txt', V.MATERIALS)} AS material FROM t""",
 )
 def denomination_longest(v):
-    from hoardline.functions.text import longest_key_value
-
     text = F.lower(F.concat_ws(" ", F.expr(DOC_TITLE), "text"))
-    return v.documents.select(
+    found = v.documents.withColumn("found", words_found(text, [*V.DENOMINATIONS, *V.MATERIALS]))
+    return found.select(
         "doc_id",
-        longest_key_value(text, V.DENOMINATIONS).alias("denomination"),
-        longest_key_value(text, V.MATERIALS).alias("material"),
+        longest_key_value(F.col("found"), V.DENOMINATIONS).alias("denomination"),
+        longest_key_value(F.col("found"), V.MATERIALS).alias("material"),
     )
 
 

@@ -1,9 +1,12 @@
 """Hand-derived expectations, one or more per label rule."""
 
+import re
+
 import pytest
 
 from hoardline.functions import vocabulary as V
 from hoardline.functions.labels import with_labels
+from hoardline.functions.text import literal_part
 
 CASES = [
     # title, description, period, denomination, material, confidence, review
@@ -73,7 +76,18 @@ def test_notes_and_warnings(spark):
     assert found[3]["notes"] == [V.NOTE_PERSIAN, V.NOTE_MODERN]
 
 
-def test_text_is_scanned_once_per_vocabulary(spark):
+def test_text_is_cut_into_words_once(spark):
     rows = spark.createDataFrame([(1, "a", "b")], "id int, title string, description string")
     plan = with_labels(rows)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_extract_all") == 3
+    assert plan.count("split(") == 1
+
+
+@pytest.mark.parametrize("pattern", V.GROUP_LOT_PATTERNS + V.MODERN_PATTERNS)
+def test_literal_part_is_inside_every_match(pattern):
+    samples = (
+        "lot of group of run of collection of 12 coins 7 pieces miscellaneous various bronze coins mixed lot "
+        "1887 2014 victoria george iv william iv queen elizabeth euro dollar franc 1914 mark 1914 pfennig 1914 "
+        "commemorative proof uncirculated piece mint"
+    )
+    match = re.search(pattern, samples)
+    assert match and literal_part(pattern) in match.group(0)
