@@ -91,7 +91,7 @@ def with_labels(
             }
         )
     )
-    ancient = F.arrays_overlap("signals", F.array(*[F.lit(p) for p in ANCIENT]))
+    ancient = has_any(F.col("signals"), ANCIENT)
     # What each rule saw, before they compete.
     facts = found.withColumns(
         {
@@ -145,15 +145,10 @@ def with_labels(
             .otherwise(F.lit(0.0)),
         }
     )
-    allowed = F.element_at(
-        F.create_map(
-            *[
-                item
-                for name, periods in V.DENOMINATION_PERIODS.items()
-                for item in (F.lit(name), F.array(*[F.lit(p) for p in periods]))
-            ]
-        ),
-        F.col("_denomination"),
+    periods_of = "\n".join(f"{name}={','.join(p)}" for name, p in V.DENOMINATION_PERIODS.items())
+    allowed = F.split(
+        F.element_at(F.str_to_map(F.lit(periods_of), F.lit("\n"), F.lit("=")), F.col("_denomination")),
+        ",",
     )
     checked = (
         chosen.withColumn("_allowed", allowed)

@@ -18,6 +18,11 @@ def lot_text(title: str, description: str) -> Column:
     return F.lower(F.concat_ws(" ", *parts))
 
 
+def constant_array(words: Iterable[str]) -> Column:
+    """Constant array of texts; Spark folds the split into a literal when it plans the query."""
+    return F.split(F.lit("\n".join(words)), "\n")
+
+
 def _escaped(word: str) -> str:
     return re.escape(word).replace(r"\ ", " ").replace(r"\-", "-")
 
@@ -51,7 +56,7 @@ def words_found(text: Column, words: Iterable[str]) -> Column:
 
 def has_any(found: Column, words: Iterable[str]) -> Column:
     """Whether one of ``words`` is among the words found."""
-    return F.arrays_overlap(found, F.array(*[F.lit(w) for w in words]))
+    return F.arrays_overlap(found, constant_array(words))
 
 
 def contains_any(text: Column, parts: Iterable[str]) -> Column:
@@ -66,8 +71,7 @@ def contains_any(text: Column, parts: Iterable[str]) -> Column:
 def longest_key_value(found: Column, table: Mapping[str, str]) -> Column:
     """Value of the longest key among the words found; equally long keys rank in declaration order."""
     keys = sorted(table, key=len, reverse=True)
-    literal_keys = F.array(*[F.lit(k) for k in keys])
-    values = F.array(*[F.lit(table[k]) for k in keys])
+    literal_keys, values = constant_array(keys), constant_array(table[k] for k in keys)
     places = F.filter(
         F.transform(found, lambda w: F.array_position(literal_keys, w)), lambda place: place > 0
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoardline.functions.text import blank_to_null
+from hoardline.operators.ranking import or_unmatched
 
 HASH_SIDE = 8
 PICTURE_SIDE = 32
@@ -33,14 +34,15 @@ def mark_duplicates(pairs: DataFrame, hash_column: str = "pair_hash", key: str =
     )
     duplicate = F.coalesce(F.col("_primary") != F.col(key), F.lit(False))
     return (
-        pairs.join(primaries, F.col(hash_column) == F.col("_hash"), "left")
+        pairs.withColumn("_lookup", or_unmatched(F.col(hash_column), filled, key))
+        .join(primaries, F.col("_lookup") == F.col("_hash"), "left")
         .withColumns(
             {
                 "is_duplicate": duplicate,
                 "duplicate_of_coin_id": F.when(duplicate, F.col("_primary")),
             }
         )
-        .drop("_hash", "_primary")
+        .drop("_lookup", "_hash", "_primary")
     )
 
 

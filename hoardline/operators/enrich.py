@@ -50,14 +50,17 @@ def enrich_clusters(
     lot_columns = lots.select(
         F.col("id").alias("_lot_id"), *[F.col(c).alias(n) for c, n in lot_fields.items()]
     )
+    # Detections meet their lots first: clusters without a detection then never join on a missing lot.
+    seen_lots = seen.join(lot_columns, F.col("auction_record_id") == F.col("_lot_id")).select(
+        "_seen_key", *lot_fields.values()
+    )
     own = [c for c in clusters.columns if c not in lot_fields.values()]
     key = text_key(F.col("id"))
     return (
         clusters.select(*own)
         .join(labels, key == F.col("_label_key"), "left")
-        .join(seen, key == F.col("_seen_key"), "left")
-        .join(lot_columns, F.col("auction_record_id") == F.col("_lot_id"), "left")
-        .drop("_label_key", "_seen_key", "_lot_id", "auction_record_id")
+        .join(seen_lots, key == F.col("_seen_key"), "left")
+        .drop("_label_key", "_seen_key")
     )
 
 

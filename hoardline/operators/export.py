@@ -61,7 +61,11 @@ def with_lot_range(
         return F.lower(column) if ignore_case else F.col(column)
 
     lot = safe_lot(F.col("lot_number"))
-    left = lots.withColumns({"_lot": lot, "_piece": F.floor(lot / LOT_BUCKET)})
+    # Lots without a number match nothing; a hash keeps them from sharing one key per sale.
+    unmatched = -1 - F.pmod(F.xxhash64("lot_number"), F.lit(1 << 20))
+    left = lots.withColumns(
+        {"_lot": lot, "_piece": F.coalesce(F.floor(lot / LOT_BUCKET), unmatched)}
+    )
     pieces = ranges.where(F.col("lot_start") <= F.col("lot_end")).select(
         key("auction_house").alias("_house"),
         key("sale_id").alias("_sale"),
@@ -240,17 +244,14 @@ def inherit_primary_split(pairs: DataFrame) -> DataFrame:
     primaries = pairs.where(~F.col("is_duplicate")).select(
         F.col("coin_id").alias("_primary"), F.col("split").alias("_primary_split")
     )
-    duplicate = F.col("is_duplicate")
-    return (
-        pairs.join(
-            primaries, duplicate & (F.col("duplicate_of_coin_id") == F.col("_primary")), "left"
-        )
-        .withColumn(
-            "split",
-            F.when(duplicate, F.coalesce("_primary_split", F.lit("train"))).otherwise(F.col("split")),
-        )
-        .drop("_primary", "_primary_split")
+    # Only duplicates are joined: the others have no primary and would share one join key.
+    inherited = (
+        pairs.where(F.col("is_duplicate"))
+        .join(primaries, F.col("duplicate_of_coin_id") == F.col("_primary"), "left")
+        .withColumn("split", F.coalesce("_primary_split", F.lit("train")))
+        .select(*pairs.columns)
     )
+    return pairs.where(~F.col("is_duplicate")).unionByName(inherited)
 
 
 def split_manifest(

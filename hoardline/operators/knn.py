@@ -34,6 +34,7 @@ BROADCAST_BYTES = 64 << 20  # largest side that is sent to every task
 BLOCK_ROWS = 1024
 MAX_PIVOTS = 1024
 RINGS = 16
+SCORES_AT_ONCE = 1 << 22
 NEIGHBOUR_SCHEMA = "query_id long, neighbor_id long, similarity double"
 RANKED_SCHEMA = "query_id long, rank long, neighbor_id long, similarity double"
 NOTHING = np.iinfo(np.int64).max
@@ -72,6 +73,13 @@ def best_columns(
     return found, -(key >> 32) / 10.0**decimals
 
 
+def slices(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch small enough that their scores against ``width`` rows stay in memory."""
+    rows = max(1, SCORES_AT_ONCE // max(1, width))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def long_rows(query_ids: np.ndarray, found: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
     rows, columns = np.nonzero(found != NOTHING)
     return pa.RecordBatch.from_arrays(
@@ -149,21 +157,24 @@ def top_k(
         for batch in batches:
             if batch.num_rows == 0 or len(query_ids) == 0:
                 continue
-            scores = query_vectors @ unit_rows(matrix(batch.column(1))).T
-            for i, parts in enumerate(filter_values.values()):
-                text = np.array([t or "" for t in batch.column(2 + i).to_pylist()])
-                for part in set(parts) - {"all"}:
-                    misses = np.char.find(text, part) < 0
-                    rows = [q for q, p in enumerate(parts) if p == part]
-                    scores[np.ix_(rows, misses)] = -np.inf
-            new_ids, new_scores = best_columns(
-                scores, batch.column(0).to_numpy(zero_copy_only=False), k, decimals
-            )
-            every_id = np.concatenate([found, new_ids], axis=1)
-            every = np.concatenate([kept, np.where(new_ids == NOTHING, -np.inf, new_scores)], axis=1)
-            order = np.lexsort((every_id, -every), axis=-1)[:, :k]
-            found = np.take_along_axis(every_id, order, axis=1)
-            kept = np.take_along_axis(every, order, axis=1)
+            for part_of in slices(batch, len(query_ids)):
+                scores = query_vectors @ unit_rows(matrix(part_of.column(1))).T
+                for i, parts in enumerate(filter_values.values()):
+                    text = np.array([t or "" for t in part_of.column(2 + i).to_pylist()])
+                    for part in set(parts) - {"all"}:
+                        misses = np.char.find(text, part) < 0
+                        rows = [q for q, p in enumerate(parts) if p == part]
+                        scores[np.ix_(rows, misses)] = -np.inf
+                new_ids, new_scores = best_columns(
+                    scores, part_of.column(0).to_numpy(zero_copy_only=False), k, decimals
+                )
+                every_id = np.concatenate([found, new_ids], axis=1)
+                every = np.concatenate(
+                    [kept, np.where(new_ids == NOTHING, -np.inf, new_scores)], axis=1
+                )
+                order = np.lexsort((every_id, -every), axis=-1)[:, :k]
+                found = np.take_along_axis(every_id, order, axis=1)
+                kept = np.take_along_axis(every, order, axis=1)
         yield long_rows(query_ids, found, kept)
 
     scanned = corpus.select(
@@ -212,10 +223,9 @@ def _against_broadcast(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, corpus = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(start, BLOCK_ROWS)
-                if len(ids) == 0:
-                    continue
+            if len(ids) == 0:
+                continue
+            for part in slices(batch, len(ids)):
                 query_ids = part.column(0).to_numpy(zero_copy_only=False)
                 scores = unit_rows(matrix(part.column(1))) @ corpus.T
                 if exclude_self:

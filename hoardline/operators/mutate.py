@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hoardline.functions.paths import canonical_raw_key, cluster_key, cluster_label
 from hoardline.functions.text import blank_to_null
 from hoardline.operators.catalog import has_text
-from hoardline.operators.ranking import id_row_number
+from hoardline.operators.ranking import id_row_number, or_unmatched
 
 
 def _marked(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -142,10 +142,12 @@ def migrate_paths(lots: DataFrame, listing: DataFrame) -> DataFrame:
     keyed = lots.withColumns(
         {
             "_key": F.when(in_scope, canonical_raw_key(F.col("image_path"))),
-            "_name": F.ltrim(F.trim("image_path"), F.lit("./")),
         }
+    ).withColumn(
+        "_name",
+        or_unmatched(F.ltrim(F.trim("image_path"), F.lit("./")), F.col("_key").isNotNull(), "id"),
     )
-    joined = keyed.join(files, F.col("_key").isNotNull() & (F.col("_name") == F.col("_file")), "left")
+    joined = keyed.join(files, F.col("_name") == F.col("_file"), "left")
     outcome = F.when(
         in_scope,
         F.when(F.col("_key").isNull(), "skipped")

@@ -14,6 +14,7 @@ from hoardline.functions.geometry import LAYOUT_CONFIDENCE, first_box_leads, pai
 from hoardline.operators.catalog import unlinked_detections
 from hoardline.operators.ranking import first_rows, id_row_number
 
+POSITION_SLICE = 10_000_000
 REPAIR_CONFIDENCE = 0.9  # fixed value: confidence of a repaired pair
 
 
@@ -183,15 +184,15 @@ def without_orphans(coins: DataFrame, detections: DataFrame) -> DataFrame:
 def sides_by_position(detections: DataFrame) -> DataFrame:
     """Left-to-right index per picture, and obverse/reverse where it shows exactly two coins.
 
-    The index of every box is wanted, so boxes are ranked in slices of their x position.
+    The index of every box is wanted, so boxes are ranked in slices of equal x position and near ids.
     """
     from hoardline.operators.ranking import spread_row_number
 
     ranked = spread_row_number(
         detections,
         "_position",
-        bucket=F.floor(F.col("bbox_x") / 64),
-        order=[F.col("bbox_x"), F.col("id")],
+        bucket=F.struct(F.col("bbox_x"), F.floor(F.col("id") / POSITION_SLICE)),
+        order=[F.col("id")],
         by=["auction_record_id"],
         group_size="_boxes",
     )

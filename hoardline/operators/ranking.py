@@ -24,6 +24,15 @@ def seeded_order(key: Column | str, seed: int = 42) -> Column:
     return F.md5(F.concat_ws("-", column.cast("string"), F.lit(str(seed))))
 
 
+def or_unmatched(key: Column, usable: Column, unique: Column | str) -> Column:
+    """``key`` for a left join where usable, else a text of its own that matches nothing.
+
+    Rows without a usable key would otherwise all be sent to the task of the null or blank key.
+    """
+    own = F.concat(F.lit("\u0000"), F.col(unique).cast("string") if isinstance(unique, str) else unique)
+    return F.when(usable, key).otherwise(own)
+
+
 def spread_row_number(
     df: DataFrame,
     name: str,

@@ -11,6 +11,7 @@ from hoardline.operators import clusters, dedup, export, feedback, mutate, stats
 from hoardline.plans import label_sql as S
 from hoardline.plans.registry import query
 from hoardline.plans.shaping import flag, r6
+from hoardline.session import spread_narrow
 from hoardline.sources import sinks, snapshots
 
 RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY coin_id, side ORDER BY coalesce(side_confidence, 0) DESC, id DESC) AS rn
@@ -310,7 +311,7 @@ def _label_columns(df, key):
 
 @query("label_parse", views=["auction_data"], sql=lambda: S.labels_sql("auction_data", "id"))
 def label_parse(v):
-    return _label_columns(L.with_labels(v.auction_data.select("id", "title", "description")), "id")
+    return _label_columns(L.with_labels(spread_narrow(v.auction_data.select("id", "title", "description"))), "id")
 
 
 DOC_TITLE = """CASE doc_id % 11 WHEN 0 THEN 'Ägina, stater' WHEN 1 THEN 'weight of Venice' WHEN 2 THEN 'AR denarius, George III' WHEN 3 THEN 'banknote'
@@ -321,12 +322,12 @@ DOCS = f"(SELECT doc_id, {DOC_TITLE} AS title, text AS description FROM document
 @query("label_parse_documents", sql=lambda: S.labels_sql(DOCS, "doc_id"))
 def label_parse_documents(v):
     rows = v.documents.select("doc_id", F.expr(DOC_TITLE).alias("title"), F.col("text").alias("description"))
-    return _label_columns(L.with_labels(rows), "doc_id")
+    return _label_columns(L.with_labels(spread_narrow(rows)), "doc_id")
 
 
 @query("label_signals", views=["auction_data"], sql=lambda: S.signals_sql("auction_data", "id"))
 def label_signals(v):
-    found = L.with_signals(v.auction_data.select("id", "title", "description"))
+    found = L.with_signals(spread_narrow(v.auction_data.select("id", "title", "description")))
     return found.select("id", flag("_junk", "junk"), F.array_join("signals", ",").alias("signals"))
 
 

@@ -144,7 +144,7 @@ def verified_manifest(v):
     "directory_dataset",
     views=["ml_dataset"],
     sql="""WITH f AS (SELECT CASE WHEN doc_id % 5 = 0 THEN 'img/x' || lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.png' ELSE 'img/' || CAST(doc_id * 2 AS VARCHAR) || '_a.jpg' END AS path, doc_id FROM documents WHERE n_chars % 7 <> 0),
- k AS (SELECT doc_id * 2 AS id, path FROM f WHERE doc_id % 5 <> 0), u AS (SELECT -row_number() OVER (ORDER BY path) AS id, path FROM f WHERE doc_id % 5 = 0)
+ k AS (SELECT doc_id * 2 AS id, path FROM f WHERE doc_id % 5 <> 0), u AS (SELECT -row_number() OVER (ORDER BY md5(path || '-42'), path) AS id, path FROM f WHERE doc_id % 5 = 0)
  SELECT k.id, k.path AS image_path, m.period FROM k JOIN ml_dataset m ON k.id = m.id UNION ALL SELECT id, path, 'unknown' FROM u""",
 )
 def directory_dataset(v):

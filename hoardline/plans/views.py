@@ -22,7 +22,7 @@ PERIODS = (
     "WHEN 3 THEN 'islamic' WHEN 4 THEN 'roman_imperial' WHEN 5 THEN NULL ELSE 'medieval' END"
 )
 # lot, position in the lot: runs of one, two and three events
-REC = "(floor(event_id / 6.0) * 3 + CASE event_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE 2 END)"
+REC = "(floor(event_id / 6.0E0) * 3 + CASE event_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE 2 END)"
 POS = "CASE event_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 0 WHEN 4 THEN 1 ELSE 2 END"
 
 VIEW_SQL = {
@@ -44,13 +44,13 @@ SELECT CASE WHEN o_orderkey % 211 = 5 THEN -o_orderkey ELSE o_orderkey END AS id
 FROM {{orders}}""",
     "auction_info": f"""
 SELECT {HOUSES.format(k="n_nationkey")} AS auction_house,
- CAST(CAST(floor(n_nationkey / 5.0) AS INT) + 1 AS STRING) AS sale_id,
+ CAST(CAST(floor(n_nationkey / 5.0E0) AS INT) + 1 AS STRING) AS sale_id,
  n_regionkey * 60 AS lot_start, n_regionkey * 60 + 179 AS lot_end,
  CASE n_nationkey % 4 WHEN 0 THEN 'greek' WHEN 1 THEN 'roman_imperial' WHEN 2 THEN NULL ELSE 'byzantine' END AS period
 FROM {{nation}}""",
     "coin_detections": f"""
 SELECT id, CAST(rec AS BIGINT) AS auction_record_id, CAST(pos AS INT) AS detection_index,
- CASE WHEN floor(rec / 3.0) % 4 = 0 THEN NULL ELSE CAST(rec AS BIGINT) END AS coin_id,
+ CASE WHEN floor(rec / 3.0E0) % 4 = 0 THEN NULL ELSE CAST(rec AS BIGINT) END AS coin_id,
  CASE id % 5 WHEN 0 THEN 'obverse' WHEN 1 THEN 'reverse' WHEN 2 THEN 'unknown' WHEN 3 THEN 'obverse' ELSE 'reverse' END AS side,
  CASE WHEN id % 7 = 0 THEN NULL ELSE pos / 4.0E0 END AS side_confidence,
  (id * 37 % 101) / 100.0E0 AS coin_likelihood, (id * 53 % 107) / 100.0E0 AS edge_support,
@@ -107,10 +107,10 @@ SELECT vec_id AS id, CASE WHEN vec_id % 9 = 0 THEN '-1' ELSE CAST(label AS STRIN
  CAST(vec_id % 6 AS STRING) AS sale_id, CAST(vec_id * 7 AS STRING) AS lot_number, embedding
 FROM {embeddings}""",
     "side_embeddings": """
-SELECT CAST(floor(vec_id / 5.0) AS BIGINT) AS coin_id, vec_id,
- CASE WHEN floor(vec_id / 5.0) % 4 = 3 THEN 'unknown' WHEN vec_id % 5 = 4 THEN 'unknown' WHEN vec_id % 2 = 0 THEN 'obverse' ELSE 'reverse' END AS side,
+SELECT CAST(floor(vec_id / 5.0E0) AS BIGINT) AS coin_id, vec_id,
+ CASE WHEN floor(vec_id / 5.0E0) % 4 = 3 THEN 'unknown' WHEN vec_id % 5 = 4 THEN 'unknown' WHEN vec_id % 2 = 0 THEN 'obverse' ELSE 'reverse' END AS side,
  (vec_id * 37 % 11) / 10.0E0 AS quality, CASE WHEN vec_id % 8 = 0 THEN NULL ELSE 'p' || CAST(label AS STRING) END AS period,
- '/data/processed/vision/crops/Leu/' || CAST(vec_id % 6 AS STRING) || '/Lot_' || lpad(CAST(CAST(floor(vec_id / 5.0) AS BIGINT) AS STRING), 5, '0') || CASE vec_id % 2 WHEN 0 THEN '_obv' ELSE '_rev' END || '_224.jpg' AS path,
+ '/data/processed/vision/crops/Leu/' || CAST(vec_id % 6 AS STRING) || '/Lot_' || lpad(CAST(CAST(floor(vec_id / 5.0E0) AS BIGINT) AS STRING), 5, '0') || CASE vec_id % 2 WHEN 0 THEN '_obv' ELSE '_rev' END || '_224.jpg' AS path,
  embedding
 FROM {embeddings}""",
     "feedback_log": """

@@ -65,3 +65,13 @@ def cut_lineage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_narrow(df: DataFrame) -> DataFrame:
+    """Rows of a scan spread over all cores if the scan has fewer partitions than there are cores.
+
+    For operators that are heavy on every row and read a small file. Large tables have many more
+    partitions than cores and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hoardline import schemas
 from hoardline.functions import vocabulary as V
 from hoardline.functions.paths import basename
-from hoardline.operators.ranking import spread_row_number
+from hoardline.operators.ranking import seeded_row_number, spread_row_number
 
 # Fixed value: file endings that count as pictures.
 PICTURES = ("jpg", "jpeg", "png", "webp", "bmp", "tif", "tiff")
@@ -80,19 +80,16 @@ def pictures(listing: DataFrame) -> DataFrame:
 def with_file_ids(listing: DataFrame) -> DataFrame:
     """Integer id from the file-name prefix before the first underscore.
 
-    Files without one are numbered -1, -2, … in path order; of several files with one id the last
-    path counts.
+    Files without one are numbered -1, -2, … in a repeatable order; of several files with one id the
+    last path counts.
     """
     prefix = F.substring_index(basename(F.col("path")), "_", 1)
     numbered = listing.withColumn(
         "id", F.when(prefix.rlike(r"^[+-]?\d+$"), prefix.try_cast("long"))
     )
     known = numbered.where(F.col("id").isNotNull()).groupBy("id").agg(F.max("path").alias("path"))
-    rest = spread_row_number(
-        numbered.where(F.col("id").isNull()).select("path"),
-        "_n",
-        bucket=F.regexp_replace("path", r"[^/]*$", ""),
-        order=[F.col("path")],
+    rest = seeded_row_number(
+        numbered.where(F.col("id").isNull()).select("path"), "_n", "path"
     ).select((-F.col("_n")).alias("id"), "path")
     return known.unionByName(rest)
 
