@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from hoardline.functions.geometry import LAYOUT_CONFIDENCE, first_box_leads, pair_layout
 from hoardline.operators.catalog import unlinked_detections
-from hoardline.operators.ranking import first_rows, id_row_number
+from hoardline.operators.ranking import first_rows, id_row_number, spread_row_number
+from hoardline.session import cut_lineage
 
 POSITION_SLICE = 10_000_000
 REPAIR_CONFIDENCE = 0.9  # fixed value: confidence of a repaired pair
@@ -64,8 +65,12 @@ def _sides(detection_id: Column) -> tuple[Column, Column]:
 
 
 def new_coins(lots: DataFrame, coins: DataFrame, method: Column, confidence: Column) -> DataFrame:
-    """One coin per lot, numbered after the highest coin id in lot order."""
-    numbered = id_row_number(lots, "_number", "auction_record_id")
+    """One coin per lot, numbered after the highest coin id in lot order.
+
+    The lots, one short row each, are stored first: numbering reads them twice, and the detections
+    behind them should be read only once.
+    """
+    numbered = id_row_number(cut_lineage(lots, "lots"), "_number", "auction_record_id")
     last = coins.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     return numbered.select(
         (last + F.col("_number")).cast("long").alias("id"),
@@ -154,7 +159,7 @@ def repair_legacy_pairs(
     lots = lot_layouts(detections, []).where(
         (F.col("detections") == 2) & (F.col("layout") != "ambiguous")
     )
-    created = new_coins(lots, coins, F.lit("spatial"), F.lit(REPAIR_CONFIDENCE))
+    created = cut_lineage(new_coins(lots, coins, F.lit("spatial"), F.lit(REPAIR_CONFIDENCE)), "coins")
     links = created.select(
         F.col("id").alias("coin_id"),
         "auction_record_id",
@@ -186,8 +191,6 @@ def sides_by_position(detections: DataFrame) -> DataFrame:
 
     The index of every box is wanted, so boxes are ranked in slices of equal x position and near ids.
     """
-    from hoardline.operators.ranking import spread_row_number
-
     ranked = spread_row_number(
         detections,
         "_position",
