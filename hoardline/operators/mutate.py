@@ -9,11 +9,16 @@ from hoardline.functions.paths import canonical_raw_key, cluster_key, cluster_la
 from hoardline.functions.text import blank_to_null
 from hoardline.operators.catalog import has_text
 from hoardline.operators.ranking import id_row_number, or_unmatched
+from hoardline.session import cut_lineage
 
 
 def _marked(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """``df`` with ``_hit`` true where its key is among ``ids``."""
-    hits = ids.select(F.col(key).alias("_hit_key")).distinct()
+    """``df`` with ``_hit`` true where its key is among ``ids``.
+
+    The ids are stored first. Spark then knows their size, and a short list of changes is broadcast
+    instead of shuffling the whole table.
+    """
+    hits = cut_lineage(ids.select(F.col(key).alias("_hit_key")).distinct(), "changes")
     return df.join(hits, F.col(key) == F.col("_hit_key"), "left").withColumn(
         "_hit", F.col("_hit_key").isNotNull()
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hoardline.functions.paths import lot_url
 from hoardline.functions.text import nan_safe
 from hoardline.operators.knn import top_k
+from hoardline.session import cut_lineage
 
 # Fixed values of the boost: base weight, extra weight at full confidence.
 BOOST_BASE = 0.04
@@ -31,8 +32,12 @@ def search(
     *,
     filters: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Top-k corpus rows per query with the response fields."""
-    found = top_k(queries, corpus, k, filters=filters)
+    """Top-k corpus rows per query with the response fields.
+
+    The hits are stored before they meet the corpus again: their size is then known to be small, and
+    the corpus is only scanned, not shuffled.
+    """
+    found = cut_lineage(top_k(queries, corpus, k, filters=filters), "hits")
     fields = corpus.select(
         F.col("id").alias("_id"),
         nan_safe(F.col("parser_period")).alias("period"),

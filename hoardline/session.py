@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -22,11 +23,14 @@ COMMON = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # One matrix product per task; tasks, not threads inside them, fill the cores.
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
 }
 
 
 def local_session(cores: int | str = "*", app: str = "hoardline") -> SparkSession:
     """A ``local[cores]`` session for tests and the benchmark."""
+    os.environ.setdefault("OMP_NUM_THREADS", "1")  # inherited by the local Python workers
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in {**LOCAL_DEFAULTS, **COMMON}.items():
         builder = builder.config(key, value)
