@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hoardline.functions.text import blank_to_null, resolved_period, safe_int
 from hoardline.operators.catalog import has_text
-from hoardline.operators.ranking import seeded_row_number
+from hoardline.operators.ranking import seeded_cuts, within_cut
 
 SIDES = {"obverse": "obv", "reverse": "rev", "unknown": "unk"}
 LOT_BUCKET = 256
@@ -228,15 +228,27 @@ def stratified_split(
 ) -> DataFrame:
     """Train, validation and test labels with exact shares per stratum, in seeded random order.
 
-    Only ranks against ``floor(n * share)`` matter, and the ranks come from
-    :func:`~hoardline.operators.ranking.seeded_row_number`, so a stratum may hold any share of the data.
+    The shares are found as cuts in the seeded order of each stratum, so a stratum may hold any part of
+    the data, and the rows themselves are neither sorted nor shuffled.
     """
     marked = df.withColumn("_stratum", F.coalesce(blank_to_null(stratum), F.lit("unknown")))
-    ranked = seeded_row_number(marked, "_rank", key, by=["_stratum"], seed=seed, group_size="_size")
-    first = F.floor(F.col("_size") * F.lit(train))
-    second = first + F.floor(F.col("_size") * F.lit(val))
-    label = F.when(F.col("_rank") <= first, "train").when(F.col("_rank") <= second, "val").otherwise("test")
-    return ranked.withColumn(name, label).drop("_stratum", "_rank", "_size")
+
+    def first(size: Column) -> Column:
+        return F.floor(size * F.lit(train))
+
+    def second(size: Column) -> Column:
+        return first(size) + F.floor(size * F.lit(val))
+
+    cuts = seeded_cuts(marked, key, "_stratum", {"train": first, "val": second}, seed=seed)
+    label = (
+        F.when(within_cut("train", key, seed), "train")
+        .when(within_cut("val", key, seed), "val")
+        .otherwise("test")
+    )
+    joined = marked.join(cuts, F.col("_stratum") == F.col("_group"))
+    return joined.withColumn(name, label).select(
+        *[c for c in df.columns if c != name], name
+    )
 
 
 def inherit_primary_split(pairs: DataFrame) -> DataFrame:

@@ -56,21 +56,29 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
 def best_columns(
     scores: np.ndarray, ids: np.ndarray, k: int, decimals: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Per row of ``scores`` the ids and rounded scores of its ``k`` best columns, unordered.
+    """Per row of ``scores`` the ids and rounded scores of its ``k`` best columns, best first.
 
-    Score and id rank are packed into one integer key, so ties at the cut are settled by id. Columns
-    scored ``-inf`` come back with the id ``NOTHING``.
+    Columns within a rounding step of the k-th best are kept too, so that ties at the cut are settled
+    by id. Columns scored ``-inf`` or NaN are out; free places hold the id ``NOTHING``.
     """
-    by_id = np.argsort(ids, kind="stable")
-    scores, ids = scores[:, by_id], ids[by_id]
-    usable = np.isfinite(scores)
-    scaled = np.round(np.where(usable, scores, 0.0) * 10.0**decimals).astype(np.int64)
-    key = np.where(usable, (-scaled << 32) | np.arange(len(ids)), NOTHING)
-    if key.shape[1] > k:
-        key = np.partition(key, k - 1, axis=1)[:, :k]
-    column = np.where(key == NOTHING, 0, key & 0xFFFFFFFF)
-    found = np.where(key == NOTHING, NOTHING, ids[column])
-    return found, -(key >> 32) / 10.0**decimals
+    rows, width = scores.shape
+    if not np.isfinite(scores.sum()):
+        scores = np.where(np.isnan(scores), -np.inf, scores)
+    keep = scores > -np.inf
+    if width > k:
+        cut = np.partition(scores, width - k, axis=1)[:, width - k]
+        keep &= scores >= (cut - 1.5 * 10.0**-decimals)[:, None]
+    row, column = np.nonzero(keep)
+    value, name = np.round(scores[row, column] * 10.0**decimals), ids[column]
+    order = np.lexsort((name, -value, row))
+    row, value, name = row[order], value[order], name[order]
+    place = np.arange(len(row)) - np.searchsorted(row, np.arange(rows))[row]
+    first = place < k
+    found = np.full((rows, k), NOTHING)
+    best = np.full((rows, k), -np.inf)
+    found[row[first], place[first]] = name[first]
+    best[row[first], place[first]] = value[first] / 10.0**decimals
+    return found, best
 
 
 def slices(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
@@ -169,9 +177,7 @@ def top_k(
                     scores, part_of.column(0).to_numpy(zero_copy_only=False), k, decimals
                 )
                 every_id = np.concatenate([found, new_ids], axis=1)
-                every = np.concatenate(
-                    [kept, np.where(new_ids == NOTHING, -np.inf, new_scores)], axis=1
-                )
+                every = np.concatenate([kept, new_scores], axis=1)
                 order = np.lexsort((every_id, -every), axis=-1)[:, :k]
                 found = np.take_along_axis(every_id, order, axis=1)
                 kept = np.take_along_axis(every, order, axis=1)
@@ -230,13 +236,7 @@ def _against_broadcast(
                 scores = unit_rows(matrix(part.column(1))) @ corpus.T
                 if exclude_self:
                     scores[query_ids[:, None] == ids[None, :]] = -np.inf
-                found, best = best_columns(scores, ids, k, decimals)
-                order = np.lexsort((found, -best), axis=-1)
-                yield _with_ranks(
-                    query_ids,
-                    np.take_along_axis(found, order, axis=1),
-                    np.take_along_axis(best, order, axis=1),
-                )
+                yield _with_ranks(query_ids, *best_columns(scores, ids, k, decimals))
 
     # A task has seen the whole corpus, so its ranks are final and nothing is shuffled.
     return queries.mapInArrow(search, RANKED_SCHEMA)
@@ -435,13 +435,17 @@ def _scorer(k: int, decimals: int):
                 scores = _block_matrix(column["q_vectors"], row) @ _block_matrix(
                     column["c_vectors"], row
                 ).T
-                scores[scores < limit[:, None]] = -np.inf
-                yield long_rows(
-                    one["q_ids"].to_numpy(zero_copy_only=False),
-                    *best_columns(
-                        scores, one["c_ids"].to_numpy(zero_copy_only=False), k, decimals
-                    ),
-                )
+                query_ids = one["q_ids"].to_numpy(zero_copy_only=False)
+                ids = one["c_ids"].to_numpy(zero_copy_only=False)
+                above = scores >= limit[:, None]
+                if above.sum() <= k * len(limit):
+                    # The bounds alone leave few candidates; no ranking inside the pair is needed.
+                    asked, answer = np.nonzero(above)
+                    values = np.round(scores[asked, answer], decimals)
+                    yield long_rows(query_ids[asked], ids[answer][:, None], values[:, None])
+                else:
+                    scores[~above] = -np.inf
+                    yield long_rows(query_ids, *best_columns(scores, ids, k, decimals))
 
     return score
 

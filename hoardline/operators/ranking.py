@@ -9,12 +9,15 @@ Spark evaluates before the shuffle as well as after it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hoardline.session import cut_lineage
+
 HASH_DIGITS = 3  # 16**3 buckets per group
 
 
@@ -95,6 +98,64 @@ def seeded_row_number(
     return ranked.drop("_seeded")
 
 
+def seeded_cuts(
+    df: DataFrame,
+    key: str,
+    by: str,
+    limits: dict[str, Callable[[Column], Column]],
+    *,
+    seed: int = 42,
+    digits: int = HASH_DIGITS,
+) -> DataFrame:
+    """Where the seeded order of each group has to be cut, one row per group.
+
+    ``limits`` maps a name to the number of leading rows as a function of the group size. The result
+    holds ``_size`` and, per name, the (hash, key) of the last of these rows, null if there is none. A
+    row belongs to them exactly if its own (hash, key) is not greater: groups of any size are split by a
+    comparison, without sorting or shuffling their rows. Only the key and group columns are read here,
+    and only the few hash buckets that hold a cut are ranked. Groups must not be null.
+    """
+    hashed = df.select(by, key, seeded_order(key, seed).alias("_hash")).withColumn(
+        "_bucket", F.substring("_hash", 1, digits)
+    )
+    counts = hashed.groupBy(by, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    group = Window.partitionBy(by)
+    running = counts.select(
+        F.col(by).alias("_by"),
+        F.col("_bucket").alias("_by_bucket"),
+        (F.sum("_rows").over(group.orderBy("_bucket")) - F.col("_rows")).alias("_before"),
+        F.col("_rows"),
+        F.sum("_rows").over(group).alias("_size"),
+    ).withColumns({f"_n_{name}": limit(F.col("_size")) for name, limit in limits.items()})
+    running = cut_lineage(running, "cuts")
+
+    def inside(name: str) -> Column:
+        wanted = F.col(f"_n_{name}")
+        return (wanted > F.col("_before")) & (wanted <= F.col("_before") + F.col("_rows"))
+
+    edges = running.where(reduce(lambda a, b: a | b, map(inside, limits)))
+    local = F.row_number().over(Window.partitionBy(by, "_bucket").orderBy("_hash", key))
+    ranked = (
+        hashed.join(edges, (F.col(by) == F.col("_by")) & (F.col("_bucket") == F.col("_by_bucket")))
+        .withColumn("_rank", F.col("_before") + local)
+    )
+    cuts = ranked.groupBy("_by").agg(
+        *[
+            F.max(F.when(F.col("_rank") == F.col(f"_n_{n}"), F.struct("_hash", key))).alias(f"_cut_{n}")
+            for n in limits
+        ]
+    )
+    sizes = running.groupBy(F.col("_by").alias("_group")).agg(F.max("_size").alias("_size"))
+    joined = sizes.join(cuts, F.col("_group") == F.col("_by"), "left").drop("_by")
+    return cut_lineage(joined, "cuts")
+
+
+def within_cut(name: str, key: str, seed: int = 42) -> Column:
+    """Whether a row joined to its group's cuts is among the leading rows called ``name``."""
+    own = F.struct(seeded_order(key, seed).alias("_hash"), F.col(key))
+    return F.coalesce(own <= F.col(f"_cut_{name}"), F.lit(False))
+
+
 def id_row_number(
     df: DataFrame, name: str, key: str, *, width: int = 100_000, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hoardline.operators.catalog import has_text
-from hoardline.operators.ranking import first_rows, seeded_order, seeded_row_number
+from hoardline.operators.ranking import (
+    first_rows,
+    seeded_cuts,
+    seeded_order,
+    seeded_row_number,
+    within_cut,
+)
 
 GROUP_LIMIT = 1000  # largest rank filter that Spark evaluates before the shuffle
 
@@ -30,11 +36,17 @@ def split_by_class(
 
     Classes below ``min_class`` rows are left out.
     """
-    ranked = seeded_row_number(
-        df.where(has_text(label)), "_rank", key, by=[label], seed=seed, group_size="_size"
+    known = df.where(has_text(label))
+    cuts = seeded_cuts(
+        known,
+        key,
+        label,
+        {"val": lambda size: F.when(size > 1, holdout(size, share, least)).otherwise(0)},
+        seed=seed,
     ).where(F.col("_size") >= min_class)
-    held = (F.col("_size") > 1) & (F.col("_rank") <= holdout(F.col("_size"), share, least))
-    return ranked.withColumn("split", F.when(held, "val").otherwise("train")).drop("_rank", "_size")
+    split = F.when(within_cut("val", key, seed), "val").otherwise("train")
+    joined = known.join(cuts, F.col(label) == F.col("_group"))
+    return joined.withColumn("split", split).select(*[c for c in df.columns if c != "split"], "split")
 
 
 def split_by_identity(

@@ -28,6 +28,9 @@ COMMON = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", app: str = "hoardline") -> SparkSession:
     """A ``local[cores]`` session for tests and the benchmark."""
     os.environ.setdefault("OMP_NUM_THREADS", "1")  # inherited by the local Python workers
@@ -50,9 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _LOCAL_DIRS[application]
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

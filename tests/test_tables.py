@@ -1,6 +1,7 @@
 """Files, logs, snapshots, mutations and streams."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,14 @@ def test_shared_folder_is_reused(spark):
     assert shared_dir(spark) == shared_dir(spark)
     kept = cut_lineage(spark.range(5).select((F.col("id") + 1).alias("x")))
     assert kept.count() == 5 and "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shared_folder_falls_back_only_locally():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf={}, sparkContext=context)
+
+    local = session("local[2]")
+    assert shared_dir(local).startswith("/tmp/spark-") and shared_dir(local) == shared_dir(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077"))
