@@ -45,6 +45,28 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM docs d LEFT JOIN grouped g ON d.doc_id = g.doc_id"""
 
 
+MIXING = r"""
+WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5('mix|' || coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size,
+    (row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1) % 3 + 1 AS weight FROM docs GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY 3 * source_size / weight, source COLLATE "C" NULLS LAST) AS n FROM sources),
+levels AS (SELECT a.n, a.source_size, a.weight, ((SELECT sum(source_size) FROM sources) - coalesce(sum(b.source_size * 3) FILTER (b.n < a.n), 0))
+    / sum(b.weight) FILTER (b.n >= a.n) AS lvl FROM ranked a, ranked b GROUP BY ALL),
+final AS (SELECT arg_min(lvl, n) AS lvl FROM levels WHERE 3 * source_size / weight > lvl),
+targets AS (SELECT source, source_size, weight,
+    CASE WHEN 3 * source_size / weight <= coalesce(lvl, 0) OR lvl IS NULL THEN (3 * source_size)::DOUBLE ELSE lvl * weight END AS target
+    FROM sources, (SELECT (SELECT lvl FROM final) AS lvl)),
+passes AS (SELECT doc_id, source, size, k, p FROM docs, range(3) t(p) WHERE size > 0),
+finished AS (SELECT e.*, (sum(e.size) OVER (PARTITION BY e.source ORDER BY p, k, e.size, e.doc_id ROWS UNBOUNDED PRECEDING))::DOUBLE / weight AS finish
+    FROM passes e JOIN targets t ON e.source IS NOT DISTINCT FROM t.source),
+served AS (SELECT *, sum(size) OVER (ORDER BY finish, k, size, p ROWS UNBOUNDED PRECEDING) AS used FROM finished),
+took AS (SELECT doc_id, source, k, size, sum(size)::BIGINT AS taken FROM served WHERE used <= (SELECT sum(size) FROM docs) GROUP BY ALL)
+SELECT d.doc_id, d.size, d.source, t.source_size, t.target, coalesce(o.taken, 0)::BIGINT AS taken
+FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN took o ON o.doc_id = d.doc_id"""
+
+
 ORACLES = {
+    "op9_source_mixing": MIXING,
     "op8_secret_scan": secret_scan(),
 }
