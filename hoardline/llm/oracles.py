@@ -66,7 +66,20 @@ SELECT d.doc_id, d.size, d.source, t.source_size, t.target, coalesce(o.taken, 0)
 FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN took o ON o.doc_id = d.doc_id"""
 
 
+# Five hexadecimal digits are four base-32 digits.
+WARC = """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT h, min(page_id) AS first_id FROM hashed GROUP BY h)
+SELECT page_id, payload_bytes,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)
+    FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_id OR first_id IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM hashed JOIN firsts USING (h)"""
+
+
 ORACLES = {
+    "op6_warc_archive": WARC,
     "op9_source_mixing": MIXING,
     "op8_secret_scan": secret_scan(),
 }

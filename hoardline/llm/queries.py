@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hoardline.llm import mixing, secrets
+from hoardline.llm import mixing, secrets, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,13 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read_back = warc.archive(_table(spark, sf_dir, "pages"))
+    return read_back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op6_warc_archive": op6_warc_archive,
     "op9_source_mixing": op9_source_mixing,
     "op8_secret_scan": op8_secret_scan,
 }
