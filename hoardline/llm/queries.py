@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hoardline.llm import mixing, secrets, warc
+from hoardline.llm import mixing, secrets, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,13 @@ def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op3_toxicity_scores": op3_toxicity_scores,
     "op6_warc_archive": op6_warc_archive,
     "op9_source_mixing": op9_source_mixing,
     "op8_secret_scan": op8_secret_scan,
