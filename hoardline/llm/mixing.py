@@ -16,7 +16,7 @@ from hoardline.session import cut_lineage
 
 REPEATS = 3
 SHUFFLE_DIGITS = 4  # of the shuffle key, in hexadecimal: the slices of a source whose sums are added up
-ROWS_PER_SLICE = 20_000
+ROWS_PER_SLICE = 2_000  # expected in a slice of all sources
 WORD = r"[^ \t\n\x0B\f\r]+"
 
 
