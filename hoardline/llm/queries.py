@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hoardline.llm import mixing, secrets, toxicity, warc
+from hoardline.llm import mixing, secrets, segments, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +30,17 @@ def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
 
 
+def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per sampled segmentation with digests of its piece ids and of the text that they decode to."""
+    drawn = segments.drawn(_table(spark, sf_dir, "documents"))
+    numbered = drawn.withColumn("n_pieces", F.size("ids").cast("long")).withColumn("ids_hash", F.xxhash64("ids"))
+    return segments.decode(numbered).select(
+        "doc_id", "sample", "n_pieces", "ids_hash", "log_prob", "perturbed", "log_inclusion", F.md5("decoded").alias("text_md5")
+    )
+
+
 QUERIES = {
+    "op10_sampled_segmentations": op10_sampled_segmentations,
     "op3_toxicity_scores": op3_toxicity_scores,
     "op6_warc_archive": op6_warc_archive,
     "op9_source_mixing": op9_source_mixing,

@@ -26,7 +26,7 @@ from hoardline.llm.common import by_batch, list_parts, mix64, row_key, text_or_e
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHARPNESS = 1.0  # 0: all segmentations alike; large: the likeliest only
-BLOCK_CHARS = 1 << 19
+BLOCK_CHARS = 1 << 20
 CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 
 
@@ -78,9 +78,22 @@ class Trie:
         self.child = np.array([edges[k] for k in order], np.int64)
         self.piece = np.full(len(edges) + 1, -1, np.int64)
         self.piece[list(ends)] = list(ends.values())
+        inner = sorted({node for node, c in order if c < 256})
+        self.row = np.full(len(edges) + 1, len(inner), np.int64)  # of the table for the first 256 characters
+        self.row[inner] = np.arange(len(inner))
+        self.table = np.zeros((len(inner) + 1, 256), np.int32)
+        low = (self.keys & 0x1FFFFF) < 256
+        self.table[self.row[self.keys[low] >> 21], self.keys[low] & 0xFF] = self.child[low]
 
     def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
         """The next nodes; 0 where no piece goes on."""
+        out = self.table[self.row[node], code & 0xFF].astype(np.int64)
+        high = np.flatnonzero(code > 255)
+        if len(high):
+            out[high] = self._search(node[high], code[high])
+        return out
+
+    def _search(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
         key = node << 21 | code
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.child[at], 0)
@@ -115,17 +128,30 @@ class Lattices:
                 single[at[hit]] = True
             on = left[at] > width
             at, node = at[on], node[on]
-        weight = [weights[p] for p in pieces]
         bare = np.flatnonzero(~single)
         strange, which = np.unique(code[bare], return_inverse=True)
         self.strange = [chr(c).encode() for c in strange.tolist()]
         price = np.array([weights[vocab.bytes_at[list(c)]].sum() for c in self.strange])
-        spot = np.concatenate([*spots, bare])
-        piece = np.concatenate([*pieces, -1 - which.astype(np.int64)])
-        width = np.concatenate([*widths, np.ones(len(bare), np.int64)])
-        weight = np.concatenate([*weight, price[which] if len(bare) else np.empty(0)])
-        order = np.lexsort((width, spot, left[spot]))
-        spot, self.piece, width, weight = spot[order], piece[order], width[order], weight[order]
+        spots.insert(0, bare)
+        pieces.insert(0, -1 - which.astype(np.int64))
+        widths.insert(0, np.ones(len(bare), np.int64))
+        # Edges by distance to the end, then node, then width: nodes are ordered and each width fills the next place of its nodes.
+        short = left.astype(np.uint16) if len(left) and left.max() < 1 << 16 else left
+        by_left = np.argsort(short, kind="stable")
+        each = np.bincount(np.concatenate(spots), minlength=len(code))
+        free = np.empty(len(code), np.int64)
+        free[by_left] = np.cumsum(each[by_left]) - each[by_left]
+        edges = int(each.sum())
+        spot, width, weight = np.empty(edges, np.int32), np.empty(edges, np.int32), np.empty(edges)
+        self.piece = np.empty(edges, np.int32)
+        for at, number, wide in zip(spots, pieces, widths, strict=True):
+            place = free[at]
+            free[at] += 1
+            spot[place], width[place], self.piece[place] = at, wide, number
+            weight[place] = weights[np.maximum(number, 0)]
+        odd = np.flatnonzero(self.piece < 0)
+        if len(odd):
+            weight[odd] = price[-1 - self.piece[odd]]
         self.source = spot + 1
         self.to = np.where(left[spot] == width, 0, spot + width + 1)
         heads = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])) if len(spot) else np.empty(0, np.int64)
