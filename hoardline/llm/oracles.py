@@ -78,7 +78,20 @@ SELECT page_id, payload_bytes,
 FROM hashed JOIN firsts USING (h)"""
 
 
+NEAR_VECTORS = """
+WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT vec_id AS u, vec_id AS c FROM vectors UNION SELECT l.w, r.c FROM reach r JOIN links l ON r.u = l.u),
+components AS (SELECT u, min(c) AS c FROM reach GROUP BY u),
+degrees AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS component_id, vec_id = coalesce(c, vec_id) AS kept
+FROM embeddings e LEFT JOIN components p ON p.u = e.vec_id LEFT JOIN degrees d ON d.u = e.vec_id"""
+
+
 ORACLES = {
+    "op2_vector_near_duplicates": NEAR_VECTORS,
     "op6_warc_archive": WARC,
     "op9_source_mixing": MIXING,
     "op8_secret_scan": secret_scan(),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoardline.llm import mixing, secrets, segments, toxicity, warc
+from hoardline.llm import mixing, secrets, segments, subspaces, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,26 @@ def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
 
 
+def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per sampled segmentation with digests of its piece ids and of the text that they decode to."""
+    drawn = segments.drawn(_table(spark, sf_dir, "documents"), decoded=True)
+    return drawn.select(
+        "doc_id",
+        "sample",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "log_prob",
+        "perturbed",
+        "log_inclusion",
+        F.md5("decoded").alias("text_md5"),
+    )
+
+
+def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
+
+
 def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per sampled segmentation with digests of its piece ids and of the text that they decode to."""
     drawn = segments.drawn(_table(spark, sf_dir, "documents"))
@@ -39,7 +59,12 @@ def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspaces.linked(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op2_vector_near_duplicates": op2_vector_near_duplicates,
     "op10_sampled_segmentations": op10_sampled_segmentations,
     "op3_toxicity_scores": op3_toxicity_scores,
     "op6_warc_archive": op6_warc_archive,
