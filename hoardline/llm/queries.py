@@ -1,23 +1,24 @@
-"""Registered queries of the corpus operators, each over its whole table, and the SQL that checks them."""
+"""Registered queries of the corpus operators, each over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoardline.llm import mixing, secrets, segments, subspaces, toxicity, warc
+from hoardline.llm import graphs, mixing, secrets, segments, subspaces, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+def op2_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspaces.linked(_table(spark, sf_dir, "embeddings"))
 
 
-def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents"))
+def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
 
 
 def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +26,17 @@ def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
-    return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return graphs.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
 def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,29 +54,12 @@ def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
-    return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
-
-
-def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per sampled segmentation with digests of its piece ids and of the text that they decode to."""
-    drawn = segments.drawn(_table(spark, sf_dir, "documents"))
-    numbered = drawn.withColumn("n_pieces", F.size("ids").cast("long")).withColumn("ids_hash", F.xxhash64("ids"))
-    return segments.decode(numbered).select(
-        "doc_id", "sample", "n_pieces", "ids_hash", "log_prob", "perturbed", "log_inclusion", F.md5("decoded").alias("text_md5")
-    )
-
-
-def op2_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subspaces.linked(_table(spark, sf_dir, "embeddings"))
-
-
 QUERIES = {
     "op2_vector_near_duplicates": op2_vector_near_duplicates,
-    "op10_sampled_segmentations": op10_sampled_segmentations,
     "op3_toxicity_scores": op3_toxicity_scores,
     "op6_warc_archive": op6_warc_archive,
-    "op9_source_mixing": op9_source_mixing,
+    "op7_nearest_vectors": op7_nearest_vectors,
     "op8_secret_scan": op8_secret_scan,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_sampled_segmentations": op10_sampled_segmentations,
 }
