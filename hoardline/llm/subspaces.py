@@ -22,8 +22,8 @@ THRESHOLD = 0.95
 BLOCKS = 4
 GRID = 2  # coordinates of a block that make its cells
 CELL_ROWS = 16_384  # larger cells are cut into tiles of two parts of about this many rows
-STRIP = 512
-SLACK = 1e-6  # on squared distances in single precision
+STRIP, PANEL = 256, 4_096  # rows and columns compared at a time
+SLACK = 2e-6  # on squared distances in single precision
 
 
 def rotation(size: int, seed: int) -> np.ndarray:
@@ -141,21 +141,30 @@ def _tile_links(block: int, same: bool, part: np.ndarray, left_part: int, home:
     turned = (x / norm[:, None]) @ turn
     budget = 2 - 2 * threshold
     within = [budget * (edges[b + 1] - edges[b]) / size for b in range(len(edges) - 1)]
-    own = turned[:, edges[block] : edges[block + 1]].astype(np.float32)
-    square = (own.astype(np.float64) ** 2).sum(1).astype(np.float32)
+    own = turned[:, edges[block] : edges[block + 1]]
+    square = (own**2).sum(1, keepdims=True)
+    one = np.ones_like(square)
+    # The product of these two is the squared distance.
+    one_side = np.concatenate([-2 * own, square, one], 1).astype(np.float32)
+    other_side = np.ascontiguousarray(np.concatenate([own, one, square], 1).astype(np.float32).T)
+    limit = np.float32(within[block] + SLACK)
     links = np.zeros(n, np.int64)
     labels = Labels(n)
-    first = np.flatnonzero(part == left_part) if not same else np.arange(n)
-    second = np.flatnonzero(part != left_part) if not same else np.arange(n)
-    for s in range(0, len(first), STRIP):
-        rows = first[s : s + STRIP]
-        near = square[rows][:, None] + square[second][None, :] - 2 * (own[rows] @ own[second].T) <= within[block] + SLACK
-        i, j = np.nonzero(near)
-        i, j = rows[i], second[j]
-        keep = home[i] | home[j]
+    homes, visitors = np.flatnonzero(home), np.flatnonzero(~home)
+    if same:  # rows at home with all later rows, and with visitors
+        strips = [(homes[s : s + STRIP], np.concatenate([homes[s:], visitors])) for s in range(0, len(homes), STRIP)]
+    else:
+        left, right = part == left_part, part != left_part
+        sides = [(np.flatnonzero(left & home), np.flatnonzero(right)), (np.flatnonzero(left & ~home), np.flatnonzero(right & home))]
+        strips = [(a[s : s + STRIP], b) for a, b in sides for s in range(0, len(a), STRIP)]
+    for rows, columns in ((r, c[t : t + PANEL]) for r, c in strips for t in range(0, len(c), PANEL)):
+        hit = np.flatnonzero(one_side[rows] @ other_side[:, columns] <= limit)
+        if not len(hit):
+            continue
+        i, j = rows[hit // len(columns)], columns[hit % len(columns)]
         if same:
-            keep &= i < j
-        i, j = i[keep], j[keep]
+            once = ~home[j] | (i < j)
+            i, j = i[once], j[once]
         for a in range(0, len(i), 1 << 15):  # bounded whatever the number of pairs
             p, q = i[a : a + (1 << 15)], j[a : a + (1 << 15)]
             for earlier in range(block):
