@@ -90,7 +90,22 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS compo
 FROM embeddings e LEFT JOIN components p ON p.u = e.vec_id LEFT JOIN degrees d ON d.u = e.vec_id"""
 
 
+JACCARD = r"""
+WITH RECURSIVE split AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+grams AS (SELECT doc_id, unnest(list_distinct([array_to_string(list_slice(w, i, i + 4), ' ') FOR i IN range(1, greatest(1, len(w) - 4) + 1)])) AS g
+    FROM split WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM shared s JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE s.n >= 0.8::DOUBLE * (a.n + b.n - s.n)),
+reach AS (SELECT doc_id AS u, doc_id AS c FROM documents UNION SELECT l.v, r.c FROM reach r JOIN links l ON r.u = l.u),
+components AS (SELECT u, min(c) AS c FROM reach GROUP BY u),
+degrees AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT d.doc_id, c AS class_id, coalesce(n, 0)::BIGINT AS n_links, d.doc_id = c AS kept
+FROM documents d JOIN components p ON p.u = d.doc_id LEFT JOIN degrees g ON g.u = d.doc_id"""
+
+
 ORACLES = {
+    "op4_ngram_jaccard": JACCARD,
     "op2_vector_near_duplicates": NEAR_VECTORS,
     "op6_warc_archive": WARC,
     "op9_source_mixing": MIXING,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoardline.llm import graphs, mixing, secrets, segments, subspaces, suffixes, toxicity, warc
+from hoardline.llm import forest, graphs, mixing, secrets, segments, subspaces, suffixes, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.join(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.without_repeats(_table(spark, sf_dir, "documents")))
 
@@ -61,6 +65,7 @@ def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_vector_near_duplicates": op2_vector_near_duplicates,
     "op3_toxicity_scores": op3_toxicity_scores,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_repeated_passages": op5_repeated_passages,
     "op6_warc_archive": op6_warc_archive,
     "op7_nearest_vectors": op7_nearest_vectors,
