@@ -26,7 +26,7 @@ from hoardline.llm.common import by_batch, list_parts, mix64, row_key, text_or_e
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHARPNESS = 1.0  # 0: all segmentations alike; large: the likeliest only
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
 CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 
 
@@ -365,7 +365,26 @@ def _log_inclusion(excess: float) -> float:
     return math.log(-math.expm1(-math.exp(min(excess, 700.0))))
 
 
-SCHEMA = "doc_id long, samples array<struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double>>"
+class Decoder:
+    """Piece ids back to text; the space in front of a text belongs to its segmentation, not to the text."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.raw = np.frombuffer(b"".join(vocab.raw), np.uint8)
+        self.length = np.array([len(x) for x in vocab.raw])
+        self.start = np.cumsum(self.length) - self.length
+
+    def texts(self, ids: np.ndarray, cuts: np.ndarray) -> list[str]:
+        """The texts of several lists of ids; list i is ``ids[cuts[i]:cuts[i + 1]]``."""
+        width = self.length[ids]
+        ends = np.cumsum(width)
+        spots = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[ids] - ends + width, width)
+        data = self.raw[spots].tobytes()
+        bounds = np.append(0, ends)[cuts].tolist()
+        return [data[a + 1 : b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+FIELDS = [("ids", "array<int>", pa.list_(pa.int32())), ("log_prob", "double", pa.float64()), ("perturbed", "double", pa.float64()), ("log_inclusion", "double", pa.float64())]
+DECODED = ("decoded", "string", pa.string())
 
 
 def encode(
@@ -374,18 +393,22 @@ def encode(
     samples: int = SAMPLES,
     sharpness: float = SHARPNESS,
     seed: int = 1,
+    decoded: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``doc_id, samples``: at most ``samples`` distinct segmentations of each whole text, in the order in which they were drawn.
+    """``doc_id, samples``: at most ``samples`` distinct segmentations of each whole text, in the order in which they were drawn,
+    with ``decoded`` also the text that each of them decodes to.
 
     A row's draws depend on its id, its text and the seed alone, so repeated rows repeat their samples. Null and empty texts
     have no samples; a text with fewer segmentations than asked for gets them all, each with log-inclusion 0. Other columns are ignored."""
     vocab = vocab or vocabulary()
+    fields = FIELDS + [DECODED] * decoded
+    schema = f"doc_id long, samples array<struct<{','.join(f'{name}:{kind}' for name, kind, _ in fields)}>>"
 
     def run(batches):
-        sampler = Sampler(vocab, samples, sharpness, seed)
-        struct = pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("log_inclusion", pa.float64())])
+        sampler, decoder = Sampler(vocab, samples, sharpness, seed), Decoder(vocab)
+        struct = pa.struct([(name, kind) for name, _, kind in fields])
 
         def block(batch, start, stop):
             rows = batch.slice(start, stop - start)
@@ -393,10 +416,13 @@ def encode(
             drawn = sampler.block(rows.column(2).to_pylist(), keys)
             flat = [s for row in drawn for s in row]
             ids = [sampler.ids(s[0]) for s in flat]
-            values = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in ids])), pa.int32()), values)
-            numbers = [pa.array([s[k] for s in flat], pa.float64()) for k in (1, 2, 3)]
-            items = pa.StructArray.from_arrays([lists, *numbers], fields=list(struct))
+            values = np.concatenate(ids) if ids else np.empty(0, np.int32)
+            cuts = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int64)
+            parts = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int32()))]
+            parts += [pa.array([s[k] for s in flat], pa.float64()) for k in (1, 2, 3)]
+            if decoded:
+                parts.append(pa.array(decoder.texts(values, cuts), pa.string()))
+            items = pa.StructArray.from_arrays(parts, fields=list(struct))
             offsets = pa.array(np.append(0, np.cumsum([len(row) for row in drawn])), pa.int32())
             return pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(offsets, items)], ["doc_id", "samples"])
 
@@ -410,7 +436,7 @@ def encode(
                 start = stop
 
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    return source.select("doc_id", row_key(source, "doc_id", "text").alias("key"), "text").mapInArrow(run, SCHEMA)
+    return source.select("doc_id", row_key(source, "doc_id", "text").alias("key"), "text").mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ids_column: str = "ids", vocab: Vocabulary | None = None) -> DataFrame:
@@ -421,18 +447,10 @@ def decode(encoded: DataFrame, ids_column: str = "ids", vocab: Vocabulary | None
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + (", " if columns else "") + "decoded string"
 
     def run(batches):
-        raw = np.frombuffer(b"".join(vocab.raw), np.uint8)
-        length = np.array([len(x) for x in vocab.raw])
-        start = np.cumsum(length) - length
+        decoder = Decoder(vocab)
 
         def one(batch):
-            ids, cuts = list_parts(batch.column(ids_column))
-            width = length[ids]
-            ends = np.cumsum(width)
-            spots = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[ids] - ends + width, width)
-            data = raw[spots].tobytes()
-            bounds = np.append(0, ends)[cuts].tolist()
-            texts = [data[a + 1 : b].decode() if b > a else "" for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            texts = decoder.texts(*list_parts(batch.column(ids_column)))
             return pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], [*columns, "decoded"])
 
         yield from by_batch(one)(batches)
