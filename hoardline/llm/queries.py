@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoardline.llm import forest, graphs, mixing, secrets, segments, subspaces, suffixes, toxicity, warc
+from hoardline.llm import forest, graphs, mixing, pii, secrets, segments, subspaces, suffixes, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
 def op2_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subspaces.linked(_table(spark, sf_dir, "embeddings"))
 
@@ -44,7 +48,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("row")
 
 
 def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +67,7 @@ def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_contextual_pii": op1_contextual_pii,
     "op2_vector_near_duplicates": op2_vector_near_duplicates,
     "op3_toxicity_scores": op3_toxicity_scores,
     "op4_ngram_jaccard": op4_ngram_jaccard,
