@@ -1,12 +1,65 @@
-"""From raw documents to training samples: stages over ``documents``, each writing what the next one reads."""
+"""From raw documents to training samples: stages over ``documents``, each stored before the next one reads it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
-ORACLE_SQL = None
+from hoardline.llm import forest, mixing, pii, segments, toxicity
+from hoardline.llm.common import row_key, text_or_empty
+from hoardline.session import cut_lineage
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", text_or_empty("text"))
+    return keyed.withColumn("_row", row_key(keyed, "_id", "_text")).drop("_id", "_text")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine does not call toxic."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.accepted(docs, toxicity.train(docs, labels))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word runs, directly or through others."""
+    kept = forest.join(docs).where("kept").select("row").distinct()
+    once = _keyed(docs).join(kept, F.col("_row") == F.col("row"), "left_semi").dropDuplicates(["_row"])
+    return once.select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind; ``n_chars`` follows the text."""
+    masked = pii.masked(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    times = mixing.mix(docs).where("taken > 0").groupBy("row").agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    taken = _keyed(docs).dropDuplicates(["_row"]).join(times, F.col("_row") == F.col("row"))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+
+
+def sample_segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of each document."""
+    return segments.drawn(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("personal data", mask_personal_data),
+    ("source mixing", mix_sources),
+    ("segmentations", sample_segmentations),
+]
+ORACLE_SQL = None  # no stage but the join and the mix can be said in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES):
+        if number:
+            docs = cut_lineage(docs, "pipeline")
+        docs = stage(spark, docs, sf_dir)
+    return docs

@@ -269,9 +269,9 @@ def join(
 
     Two documents link if the Jaccard similarity of their sets of ``words``-word runs is ``threshold`` or more; words are what white space
     separates. ``n_links`` counts the other documents linked directly, ``class_id`` is the smallest id that links lead to, and
-    ``kept`` marks the rows with that id. Texts without words, null ones too, link with nothing. Rows that repeat an id or a whole row count as
-    further documents. Where a class has no id at all, ``class_id`` is null and the rows with the least ``row``, a hash of id
-    and text, are kept. Other columns are ignored. Links that no prefix and no chain of other candidates leads to are missed with a
+    ``kept`` marks the row with that id; of several, or where no id is given and ``class_id`` is null, the one with the least ``row``, a hash of
+    id and text. Texts without words, null ones too, link with nothing and are kept. Rows that repeat an id or a whole row count as further
+    documents; equal rows are kept or not together. Other columns are ignored. Links that no prefix and no chain of other candidates leads to are missed with a
     chance of 1 - ``target`` at the threshold, and less above it."""
     width = min(depths(threshold, target, trees))
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).cast("binary").alias("text"))
@@ -301,11 +301,11 @@ def join(
         F.col("cls").alias("_cls"), "least", (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("_n")
     )
     out = signed.select("doc_id", "row", "cls").join(answer, F.col("cls") == F.col("_cls"), "left")
-    first = F.when(F.col("least.none"), F.col("row") == F.col("least.row")).otherwise(F.coalesce(F.col("doc_id") == F.col("least.doc_id"), F.lit(False)))
+    first = F.coalesce(F.col("row") == F.col("least.row"), F.lit(True))
     return out.select(
         "doc_id",
         "row",
         F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("class_id"),
         F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("cls").isNull(), F.lit(True)).otherwise(first).alias("kept"),
+        first.alias("kept"),
     )

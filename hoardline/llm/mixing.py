@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hoardline.llm.common import text_or_empty
+from hoardline.llm.common import row_key, text_or_empty
 from hoardline.session import cut_lineage
 
 REPEATS = 3
@@ -104,15 +104,17 @@ def mix(
     text_column: str = "text",
     source_column: str = "source",
 ) -> DataFrame:
-    """One row per input row: ``doc_id, size, source, source_size, target, taken``.
+    """One row per input row: ``doc_id, row, size, source, source_size, target, taken``; ``row`` is a hash of id and text.
 
     ``size`` counts words (null and empty texts: 0). Sources take part by weight 1, 2, 3, repeating, in the order of
     code points with null last, and share ``share`` of all words. ``taken`` is ``size`` times the number of passes in which
     the row was served, at most ``repeats``. Reruns agree: the order is an MD5 of the seed and the id, and rows
     that share an id are ordered by size; equal rows are interchangeable. An empty table gives no rows. Only one row, the last one
     served, and one sum reach the driver."""
-    narrow = documents.select(
-        F.col(id_column).cast("long").alias("doc_id"),
+    keyed = documents.withColumn("_id", F.col(id_column).cast("long")).withColumn("_text", text_or_empty(text_column))
+    narrow = keyed.select(
+        F.col("_id").alias("doc_id"),
+        row_key(keyed, "_id", "_text").alias("row"),
         F.col(source_column).cast("string").alias("source"),
         word_count(text_or_empty(text_column)).alias("size"),
     ).withColumn("_order", shuffle_key(seed, "doc_id"))
@@ -140,4 +142,4 @@ def mix(
             for i in range(repeats)
         ]
         taken = sum(s.cast("long") for s in served) * F.col("size")
-    return rows.select("doc_id", "size", "source", "source_size", "target", F.when(F.col("size") > 0, taken).otherwise(0).cast("long").alias("taken"))
+    return rows.select("doc_id", "row", "size", "source", "source_size", "target", F.when(F.col("size") > 0, taken).otherwise(0).cast("long").alias("taken"))

@@ -240,10 +240,10 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
     return machine
 
 
-def score(documents: DataFrame, machine: Machine, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row; only the text is looked at. Null and empty texts get the
-    score of a text without terms; a null id is not held out. Repeated rows get equal scores, and other columns are ignored."""
-    schema = "doc_id long, score double"
+def with_scores(rows: DataFrame, machine: Machine, text_column: str) -> DataFrame:
+    """``rows`` with ``score``, from the lower-cased text in bytes in ``text_column``; nothing but that column is looked at."""
+    columns = [f for f in rows.schema if f.name != "score"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in columns), "score double"])
     used = np.flatnonzero(machine.wanted)
     compact = (machine.bias, used, machine.weights[used], machine.factors[used])  # what tasks get: a row per used term
 
@@ -255,13 +255,28 @@ def score(documents: DataFrame, machine: Machine, id_column: str = "doc_id", tex
 
         def one(batch):
             out = np.empty(batch.num_rows)
-            for row, data, offsets in blocks(batch.column("text")):
+            for row, data, offsets in blocks(batch.column(text_column)):
                 out[row : row + len(offsets) - 1] = own.score(*hashed_terms(data, offsets, wanted))
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out)], ["doc_id", "score"])
+            names = [f.name for f in columns]
+            return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(out)], [*names, "score"])
 
         yield from by_batch(one)(batches)
 
-    scored = _prepared(documents, id_column, text_column).mapInArrow(run, schema)
+    return rows.select(*[f.name for f in columns]).mapInArrow(run, schema)
+
+
+def accepted(documents: DataFrame, machine: Machine, text_column: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``documents`` that are not toxic, with all of their columns."""
+    columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(documents.columns)]
+    rows = documents.select(*columns, F.lower(text_or_empty(text_column)).cast("binary").alias("lowered"))
+    kept = with_scores(rows, machine, "lowered").where(F.col("score") < threshold)
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)])
+
+
+def score(documents: DataFrame, machine: Machine, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.5) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row; only the text is looked at. Null and empty texts get the
+    score of a text without terms; a null id is not held out. Repeated rows get equal scores, and other columns are ignored."""
+    scored = with_scores(_prepared(documents, id_column, text_column), machine, "text").drop("text")
     return scored.select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
