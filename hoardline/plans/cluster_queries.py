@@ -116,10 +116,14 @@ def push_clusters(v):
     )
 
 
-ENRICHED = """mp AS (SELECT coin_id, max(id) AS mid FROM ml_coin_dataset GROUP BY 1), cp AS (SELECT coin_id, max(id) AS cid FROM coin_detections WHERE coin_id IS NOT NULL GROUP BY 1),
- en AS (SELECT t.id, t.cluster_id, m.period AS label_period, m.denomination AS label_denomination, m.obv_path AS label_obv_path, ad.lot_number, ad.title AS lot_title, ad.auction_house, ad.sale_id
- FROM cluster_results t LEFT JOIN mp ON mp.coin_id = t.id LEFT JOIN ml_coin_dataset m ON m.id = mp.mid LEFT JOIN cp ON cp.coin_id = t.id
- LEFT JOIN coin_detections cd ON cd.id = cp.cid LEFT JOIN auction_data ad ON ad.id = cd.auction_record_id)"""
+# The newest label row and the newest detection's lot of each coin, as one struct each.
+ENRICHED = """newest_label AS (SELECT coin_id AS label_coin, max({'id': id, 'path': obv_path, 'denomination': denomination, 'period': period}) AS label
+ FROM ml_coin_dataset GROUP BY label_coin),
+ newest_lot AS (SELECT coin_id AS lot_coin, max({'id': found.id, 'number': lot.lot_number, 'sale': lot.sale_id, 'house': lot.auction_house, 'title': lot.title}) AS lot
+ FROM coin_detections found LEFT JOIN auction_data lot ON lot.id = found.auction_record_id GROUP BY lot_coin),
+ en AS (SELECT id, cluster_id, lot.title AS lot_title, lot.number AS lot_number, lot.house AS auction_house, lot.sale AS sale_id,
+ label.path AS label_obv_path, label.denomination AS label_denomination, label.period AS label_period
+ FROM cluster_results LEFT JOIN newest_lot ON lot_coin = id LEFT JOIN newest_label ON label_coin = id)"""
 ENRICH_VIEWS = ["cluster_results", "ml_coin_dataset", "coin_detections", "auction_data"]
 
 
