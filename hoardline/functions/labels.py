@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hoardline.functions import vocabulary as V
 from hoardline.functions.text import (
+    with_word_class,
     contains_any,
     first_pattern,
     has_any,
@@ -246,7 +247,7 @@ def denomination_spelling(text: Column) -> Column:
     """First denomination, in declaration order, whose singular or plural occurs."""
     return F.coalesce(
         *[
-            F.when(F.lower(text).rlike("(?U)" + pattern), F.lit(name))
+            F.when(F.lower(text).rlike(with_word_class(pattern)), F.lit(name))
             for name, pattern in V.DENOMINATION_SPELLINGS.items()
         ]
     )

@@ -172,8 +172,8 @@ def cluster_key(cluster_id: Column) -> Column:
 
 def lot_numbers(lot_range: Column) -> Column:
     """Lots of a range written ``first-last`` or of a single number, as an array."""
-    first = F.trim(F.split_part(lot_range, F.lit("-"), F.lit(1))).cast("int")
+    first = F.trim(F.split_part(lot_range, F.lit("-"), F.lit(1))).cast("bigint")
     last = F.coalesce(
-        blank_to_null(F.trim(F.split_part(lot_range, F.lit("-"), F.lit(2)))).cast("int"), first
+        blank_to_null(F.trim(F.split_part(lot_range, F.lit("-"), F.lit(2)))).cast("bigint"), first
     )
-    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))

@@ -1,6 +1,7 @@
 """Word, pattern and null-safe text expressions.
 
-Java's ``\\w`` and ``\\b`` are ASCII unless ``(?U)`` is given, so every pattern here carries that flag.
+Word characters are letters, numbers (superscripts and fractions too) and the underscore. Java's ``\\w`` and ``\\b`` mean
+something else, with ``(?U)`` or without, so patterns here spell the class out.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WORD = r"\p{L}\p{N}_"  # inside a character class
+
 
 def lot_text(title: str, description: str) -> Column:
     """Lower-cased title and description; a missing part reads ``none``."""
@@ -27,9 +30,15 @@ def _escaped(word: str) -> str:
     return re.escape(word).replace(r"\ ", " ").replace(r"\-", "-")
 
 
+def with_word_class(pattern: str) -> str:
+    """``pattern`` with its word class and word boundaries spelled out."""
+    boundary = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
+    return "(?U)" + pattern.replace(r"\b", boundary).replace(r"\w", f"[{WORD}]").replace(r"\W", f"[^{WORD}]")
+
+
 def word_pattern(words: Iterable[str]) -> str:
     """Java pattern for any of ``words`` not touching another word character."""
-    return rf"(?U)(?<!\w)(?:{'|'.join(_escaped(w) for w in words)})(?!\w)"
+    return rf"(?<![{WORD}])(?:{'|'.join(_escaped(w) for w in words)})(?![{WORD}])"
 
 
 def is_phrase(word: str) -> bool:
@@ -47,7 +56,7 @@ def words_found(text: Column, words: Iterable[str]) -> Column:
     vocabulary = sorted(set(words))
     plain = [w for w in vocabulary if not is_phrase(w)]
     phrases = [w for w in vocabulary if is_phrase(w)]
-    tokens = F.filter(F.split(text, r"(?U)\W+"), lambda t: t.isin(*plain))
+    tokens = F.filter(F.split(text, f"[^{WORD}]+"), lambda t: t.isin(*plain))
     hits = [F.when(text.contains(p) & text.rlike(word_pattern([p])), F.lit(p)) for p in phrases]
     if not hits:
         return F.array_distinct(tokens)
@@ -92,7 +101,7 @@ def first_pattern(text: Column, patterns: Iterable[str]) -> Column:
     branches = []
     for pattern in patterns:
         literal = literal_part(pattern)
-        found = text.rlike("(?U)" + pattern)
+        found = text.rlike(with_word_class(pattern))
         if len(literal) > 2:
             found = text.contains(literal) & found
         branches.append(F.when(found, F.lit(pattern)))
@@ -109,12 +118,15 @@ def nan_safe(column: Column) -> Column:
     return F.when(F.lower(text) == "nan", "").otherwise(F.coalesce(text, F.lit("")))
 
 
+def whole_number(column: Column) -> Column:
+    """A 64-bit whole number, white space of any kind around it allowed, or null."""
+    text = F.regexp_replace(column.cast("string"), r"^\s+|\s+$", "")
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
+
+
 def safe_int(column: Column, default: int = 0) -> Column:
     """Whole number or ``default``; ``12.5`` and ``A7`` are not whole numbers."""
-    text = F.trim(column.cast("string"))
-    return F.coalesce(
-        F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int")), F.lit(default)
-    )
+    return F.coalesce(whole_number(column), F.lit(default))
 
 
 def is_set(flag: Column) -> Column:

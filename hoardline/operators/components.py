@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from hoardline.session import cut_lineage
 
-MAX_ROUNDS = 60
-
 
 def _fingerprint(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(
@@ -57,14 +55,12 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         "components",
     )
     before = _fingerprint(current)
-    for _ in range(MAX_ROUNDS):
+    while True:
         current = cut_lineage(_small_star(_large_star(current)), "components")
         after = _fingerprint(current)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError("components did not settle")
     roots = current.select(F.col("u").alias("_member"), F.col("v").alias("_root"))
     return vertices.join(roots, F.col("id") == F.col("_member"), "left").select(
         *vertices.columns, F.coalesce("_root", F.col("id").cast("long")).alias("component")

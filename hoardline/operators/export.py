@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoardline.functions.text import blank_to_null, resolved_period, safe_int
+from hoardline.functions.text import blank_to_null, resolved_period, safe_int, whole_number
 from hoardline.operators.catalog import has_text
 from hoardline.operators.ranking import seeded_cuts, within_cut
 
@@ -104,8 +104,7 @@ def _range_join(left: DataFrame, pieces: DataFrame, key) -> DataFrame:
 
 def safe_lot(lot: Column) -> Column:
     """Lot number as an integer, null if it is not one."""
-    text = F.trim(lot.cast("string"))
-    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int"))
+    return whole_number(lot)
 
 
 def exportable_coins(

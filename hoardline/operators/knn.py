@@ -23,6 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,9 @@ def matrix(column: pa.Array) -> np.ndarray:
     """Rows of a list column as a float64 matrix."""
     if len(column) == 0:
         return np.zeros((0, 0))
+    lengths = pc.list_value_length(column)
+    if column.null_count or pc.min_max(lengths)["min"] != pc.min_max(lengths)["max"]:
+        raise ValueError("vectors of one table must have the same length, and none may be null here")
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
@@ -268,13 +272,13 @@ def knn_join(
     decimals: int = DECIMALS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """The ``k`` nearest corpus rows of every query: query_id, rank, neighbor_id, similarity.
+    """The ``k`` nearest corpus rows of every query: query_id, rank, neighbor_id, similarity. Rows without a vector take no part.
 
     ``strategy`` is ``broadcast`` (corpus within the byte budget), ``blocks``, or ``auto``, which
     checks the corpus size first.
     """
-    q = queries.select(F.col(query_id).cast("long").alias("_id"), F.col(vector).alias("_v"))
-    c = corpus.select(F.col(corpus_id).cast("long").alias("_id"), F.col(vector).alias("_v"))
+    q = queries.select(F.col(query_id).cast("long").alias("_id"), F.col(vector).alias("_v")).where("_v IS NOT NULL")
+    c = corpus.select(F.col(corpus_id).cast("long").alias("_id"), F.col(vector).alias("_v")).where("_v IS NOT NULL")
     if strategy in ("auto", "broadcast"):
         table = collect_small(c, "_v")
         if table is not None:

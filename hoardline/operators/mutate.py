@@ -32,22 +32,31 @@ def update_by_id(df: DataFrame, ids: DataFrame, changes: dict[str, Column], key:
     ).select(*df.columns)
 
 
+def last_changes(changes: DataFrame, key: str, columns: list[str], order: str | None = None, first_of_all: Column | None = None) -> DataFrame:
+    """One row per key: ``_id`` and ``_<column>`` of the last change by ``order``, ties and changes without an order by their values.
+    A change for which ``first_of_all`` holds wins over all others."""
+    rank = [F.coalesce(first_of_all, F.lit(False))] if first_of_all is not None else []
+    rank += [F.col(order)] if order else []
+    rank = F.struct(*[c.alias(f"_rank{i}") for i, c in enumerate(rank)], *[F.col(c).alias(f"_tie_{c}") for c in columns])
+    values = F.struct(*[F.col(c).alias(f"_{c}") for c in columns])
+    last = changes.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id")).agg(F.max_by(values, rank).alias("_last"))
+    return last.select("_id", "_last.*")
+
+
 def mark_processed(lots: DataFrame, ids: DataFrame) -> DataFrame:
     return update_by_id(lots, ids, {"vision_processed": F.lit(1)})
 
 
-def set_lot_metadata(lots: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Site and sale taken from ``metadata`` (id, site, sale_id) where present there."""
-    new = metadata.select(
-        F.col("id").alias("_id"), F.col("site").alias("_site"), F.col("sale_id").alias("_sale")
-    )
+def set_lot_metadata(lots: DataFrame, metadata: DataFrame, order: str | None = None) -> DataFrame:
+    """Site and sale taken from ``metadata`` (id, site, sale_id) where present there; of several rows for a lot the last counts."""
+    new = last_changes(metadata, "id", ["site", "sale_id"], order)
     found = F.col("_id").isNotNull()
     return (
         lots.join(new, F.col("id") == F.col("_id"), "left")
         .withColumns(
             {
                 "site": F.when(found, F.col("_site")).otherwise(F.col("site")),
-                "sale_id": F.when(found, F.col("_sale")).otherwise(F.col("sale_id")),
+                "sale_id": F.when(found, F.col("_sale_id")).otherwise(F.col("sale_id")),
             }
         )
         .select(*lots.columns)
@@ -93,15 +102,10 @@ def exclude_matching(dataset: DataFrame, pattern: Column, reason: str) -> DataFr
     return exclude(dataset.withColumn("_pattern", pattern), condition, reason).drop("_pattern")
 
 
-def apply_decisions(dataset: DataFrame, decisions: DataFrame) -> DataFrame:
+def apply_decisions(dataset: DataFrame, decisions: DataFrame, order: str | None = None) -> DataFrame:
     """Review decisions: rows become verified; a period is taken unless blank, and a subperiod unless
-    missing (blank clears it). Rows decided as ``delete`` go away."""
-    new = decisions.select(
-        F.col("id").alias("_id"),
-        F.col("action").alias("_action"),
-        F.col("period").alias("_period"),
-        F.col("subperiod").alias("_subperiod"),
-    )
+    missing (blank clears it). Rows decided as ``delete`` go away, whatever else was decided for them; otherwise the last decision counts."""
+    new = last_changes(decisions, "id", ["action", "period", "subperiod"], order, F.col("action") == "delete")
     joined = dataset.join(new, F.col("id") == F.col("_id"), "left").where(
         F.coalesce(F.col("_action") != "delete", F.lit(True))
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hoardline.functions.geometry import LAYOUT_CONFIDENCE, first_box_leads, pair_layout
 from hoardline.operators.catalog import unlinked_detections
+from hoardline.operators.mutate import last_changes
 from hoardline.operators.ranking import first_rows, id_row_number, spread_row_number
 from hoardline.session import cut_lineage
 
@@ -130,20 +131,15 @@ def pairing_statistics(new: DataFrame) -> DataFrame:
 
 
 def link_detections(detections: DataFrame, links: DataFrame) -> DataFrame:
-    """Detections with coin, side and side confidence replaced where a link exists."""
-    changes = links.select(
-        F.col("detection_id").alias("_id"),
-        F.col("coin_id").alias("_coin"),
-        F.col("side").alias("_side"),
-        F.col("side_confidence").alias("_confidence"),
-    )
+    """Detections with coin, side and side confidence replaced where a link exists; of several links the one to the newest coin counts."""
+    changes = last_changes(links, "detection_id", ["coin_id", "side", "side_confidence"])
     linked = F.col("_id").isNotNull()
     joined = detections.join(changes, F.col("id") == F.col("_id"), "left")
     return joined.withColumns(
         {
-            "coin_id": F.when(linked, F.col("_coin")).otherwise(F.col("coin_id")),
+            "coin_id": F.when(linked, F.col("_coin_id")).otherwise(F.col("coin_id")),
             "side": F.when(linked, F.col("_side")).otherwise(F.col("side")),
-            "side_confidence": F.when(linked, F.col("_confidence")).otherwise(F.col("side_confidence")),
+            "side_confidence": F.when(linked, F.col("_side_confidence")).otherwise(F.col("side_confidence")),
         }
     ).select(*detections.columns)
 

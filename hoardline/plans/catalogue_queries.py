@@ -107,7 +107,7 @@ def random_sample(v):
 @query(
     "safe_values",
     views=["auction_data"],
-    sql="""SELECT id, coalesce(TRY_CAST(lot_number AS INTEGER), 0) AS lot, coalesce(description, '') AS description,
+    sql="""SELECT id, coalesce(TRY_CAST(lot_number AS BIGINT), 0) AS lot, coalesce(description, '') AS description,
  CAST(coalesce(lower(trim(CAST(vision_processed AS VARCHAR))) IN ('1', 'true', 'yes', 'y', 't'), TRUE) AS INT) AS is_set FROM auction_data""",
 )
 def safe_values(v):

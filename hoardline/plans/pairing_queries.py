@@ -246,7 +246,7 @@ def path_kinds(v):
 
 
 LOT_URL_SQL = " ".join(
-    f"WHEN auction_house = '{house}'{' AND TRY_CAST(lot_number AS INT) <> 0' if '{lot6}' in url else ''} THEN '"
+    f"WHEN auction_house = '{house}'{' AND TRY_CAST(lot_number AS BIGINT) <> 0' if '{lot6}' in url else ''} THEN '"
     + url.replace("{sale}", "' || sale_id || '").replace("{lot6}", "' || lpad(lot_number, 6, '0') || '").replace("{lot}", "' || lot_number || '")
     + "'"
     for house, url in V.LOT_URLS.items()
@@ -277,8 +277,8 @@ def image_urls(v):
 @query(
     "crop_keys",
     views=["auction_data"],
-    sql="""SELECT id, 'processed/vision/v1/crops/' || site || '/' || sale_id || '/Lot_' || lpad(CAST(coalesce(TRY_CAST(lot_number AS INT), 0) AS VARCHAR), 5, '0') || '/obv.jpg' AS crop_key,
- auction_house || '_' || sale_id || '_' || lpad(CAST(coalesce(TRY_CAST(lot_number AS INT), 0) AS VARCHAR), 5, '0') AS base_name FROM auction_data""",
+    sql="""SELECT id, 'processed/vision/v1/crops/' || site || '/' || sale_id || '/Lot_' || lpad(CAST(coalesce(TRY_CAST(lot_number AS BIGINT), 0) AS VARCHAR), 5, '0') || '/obv.jpg' AS crop_key,
+ auction_house || '_' || sale_id || '_' || lpad(CAST(coalesce(TRY_CAST(lot_number AS BIGINT), 0) AS VARCHAR), 5, '0') AS base_name FROM auction_data""",
 )
 def crop_keys(v):
     site, sale, lot = F.col("site"), F.col("sale_id"), F.col("lot_number")
@@ -291,7 +291,7 @@ def crop_keys(v):
 
 @query(
     "lot_range_explode",
-    sql="""SELECT c_custkey AS id, CAST(unnest(generate_series(c_nationkey * 10, c_nationkey * 10 + c_custkey % 7)) AS INT) AS lot FROM customer""",
+    sql="""SELECT c_custkey AS id, CAST(unnest(generate_series(c_nationkey * 10, c_nationkey * 10 + c_custkey % 7)) AS BIGINT) AS lot FROM customer""",
 )
 def lot_range_explode(v):
     first = F.col("c_nationkey") * 10
