@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hoardline import schemas
 from hoardline.functions import vocabulary as V
@@ -51,8 +52,16 @@ def read_split_manifests(spark: SparkSession, paths: dict[str, str], schema: str
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines; lines that are not valid JSON are left out."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """JSON lines; only lines that are not JSON objects are left out."""
+    return parsed_lines(spark.read.text(path), schema)
+
+
+def parsed_lines(lines: DataFrame, schema: str) -> DataFrame:
+    """The fields of ``schema`` from lines of JSON in ``value``. A field that cannot be read as its type is null; numbers may be written as
+    text. Only lines that are not JSON objects are dropped."""
+    fields = lines.select(F.from_json("value", "map<string,string>").alias("fields")).where("fields IS NOT NULL AND size(fields) > 0")
+    wanted = T.StructType.fromDDL(schema)
+    return fields.select(*[F.col("fields").getItem(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def read_cluster_results(spark: SparkSession, path: str) -> DataFrame:

@@ -8,18 +8,25 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hoardline import schemas
 from hoardline.operators.feedback import align_logs, verified_feedback
+from hoardline.sources.files import parsed_lines
 
 EVENT_KEY = ["filename", "type", "timestamp"]
+ENTRY = [*EVENT_KEY, "corrected_label", "label"]  # two answers for one file are two entries
 
 
 def read_log_stream(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.readStream.schema(schemas.FEEDBACK).option("mode", "DROPMALFORMED").json(path)
-    )
+    return parsed_lines(spark.readStream.text(path), schemas.FEEDBACK)
+
+
+def with_kind(log: DataFrame) -> DataFrame:
+    """``log`` with ``type`` taken from the fields where the entry does not say it."""
+    guessed = F.when(F.col("corrected_label").isNotNull(), "correction").when(F.col("label").isNotNull(), "confirmation")
+    return log.withColumn("type", F.coalesce("type", guessed))
 
 
 def split_log(log: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Both record shapes of a log under common columns."""
+    log = with_kind(log)
     return align_logs(
         log.where(F.col("type") == "correction"), log.where(F.col("type") == "confirmation"), keep
     )
@@ -27,7 +34,7 @@ def split_log(log: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def feedback_rows(log: DataFrame, dataset: DataFrame, match: str = "basename") -> DataFrame:
     """Verified-feedback rows of a batch of log entries; repeated entries count once."""
-    return verified_feedback(split_log(log.dropDuplicates(EVENT_KEY)), dataset, match)
+    return verified_feedback(split_log(with_kind(log).dropDuplicates(ENTRY)), dataset, match)
 
 
 def sync_feedback(
@@ -37,15 +44,20 @@ def sync_feedback(
 
     Each micro-batch writes its own folder, named by the batch id, so a batch that is run again after a
     failure replaces its own output instead of adding to it. Entries that an earlier batch has already
-    stored are left out by their key, which needs no state that grows with the log.
+    stored are left out by their key and label; the stored entries are read for that in each batch.
     """
     entries = read_log_stream(spark, log_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(EVENT_KEY)
+        fresh = with_kind(batch).dropDuplicates(ENTRY)
         if batch_id > 0:
             stored = batch.sparkSession.read.parquet(target).where(F.col("batch") < batch_id)
-            fresh = fresh.join(stored.select(*EVENT_KEY).distinct(), EVENT_KEY, "left_anti")
+            known = stored.select(*[F.col(c).alias(f"_{c}") for c in EVENT_KEY], F.col("human_label").alias("_label")).distinct()
+            label = F.when(F.col("type") == "correction", F.col("corrected_label")).otherwise(F.col("label"))
+            same = label.eqNullSafe(F.col("_label"))
+            for c in EVENT_KEY:
+                same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+            fresh = fresh.join(known, same, "left_anti")
         keyed = split_log(fresh, EVENT_KEY[1:])
         rows = verified_feedback(keyed, dataset, keep=EVENT_KEY)
         rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
