@@ -28,25 +28,21 @@ _BASE = 0x9E3779B97F4A7C15
 # ---- induced sorting ------------------------------------------------------------------------------------------------
 
 
-def suffix_array(s: list[int], alphabet: int) -> list[int]:
-    """The suffixes of ``s`` in order; ``s`` ends with its only 0 and holds numbers below ``alphabet``."""
+def suffix_array(symbols, alphabet: int) -> list[int]:
+    """The suffixes of ``symbols`` in order; they end with their only 0 and are below ``alphabet``."""
+    numbers = np.asarray(symbols, np.int64)
+    s = numbers.tolist()
     n = len(s)
     if n < 3:
         return list(range(n - 1, -1, -1))
-    smaller = bytearray(n)  # 1: the suffix is smaller than the next one
-    smaller[n - 1] = 1
-    after = 0
-    kind = 1
-    for i in range(n - 2, -1, -1):
-        c = s[i]
-        if c != after:
-            kind = 1 if c < after else 0
-        smaller[i] = kind
-        after = c
-    leftmost = [i for i in range(1, n) if smaller[i] and not smaller[i - 1]]
-    sizes = [0] * alphabet
-    for c in s:
-        sizes[c] += 1
+    # A suffix is smaller than the next one if its first character that differs from the one behind it is smaller.
+    turn = np.sign(numbers[1:] - numbers[:-1])
+    differs = np.where(turn != 0, np.arange(n - 1), n)
+    next_turn = np.minimum.accumulate(differs[::-1])[::-1]
+    marks = np.append(turn[next_turn] > 0, True)
+    smaller = marks.astype(np.uint8).tobytes()  # 1: the suffix is smaller than the next one
+    leftmost = (np.flatnonzero(marks[1:] & ~marks[:-1]) + 1).tolist()
+    sizes = np.bincount(numbers, minlength=alphabet).tolist()
     starts, ends, total = [0] * alphabet, [0] * alphabet, 0
     for c, size in enumerate(sizes):
         starts[c] = total
@@ -54,19 +50,20 @@ def suffix_array(s: list[int], alphabet: int) -> list[int]:
         ends[c] = total
     order = _induced(s, smaller, leftmost, starts, ends)
     # Name the substrings between leftmost-smaller positions in their order.
-    stop = {a: b for a, b in zip(leftmost, [*leftmost[1:], n - 1], strict=True)}
-    names, name, last = [-1] * n, -1, None
-    for i in order:
-        if i and smaller[i] and not smaller[i - 1]:
-            part = s[i : stop[i] + 1]
-            if part != last:
-                name += 1
-                last = part
-            names[i] = name
-    reduced = [names[i] for i in leftmost]
+    chosen = np.zeros(n, bool)
+    chosen[leftmost] = True
+    stop, names = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    stop[leftmost] = np.append(leftmost[1:], n - 1) + 1
+    is_chosen = chosen.tobytes()
+    places = [i for i in order if is_chosen[i]]
+    order = np.array(places)
+    parts = [s[a:b] for a, b in zip(places, stop[order].tolist(), strict=True)]
+    names[order] = np.cumsum([0, *(a != b for a, b in zip(parts, parts[1:], strict=False))])
+    name = int(names[order[-1]])
+    reduced = names[leftmost]
     if name + 1 == len(leftmost):
         ranked = [0] * len(leftmost)
-        for place, value in enumerate(reduced):
+        for place, value in enumerate(reduced.tolist()):
             ranked[value] = place
     else:
         ranked = suffix_array(reduced, name + 1)
@@ -120,17 +117,15 @@ def common_prefixes(s: list[int], sa: list[int], limit: int) -> tuple[list[int],
 
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
     """Per text, a mark for each of its windows that also starts anywhere else in ``texts``."""
-    s: list[int] = []
-    offsets = []
-    for text in texts:
-        offsets.append(len(s))
-        s.extend(text)
-        s.append(-1)
-    symbols = (np.array(s, np.int64) + 2).tolist() + [0]  # 0: the end, 1: between texts
+    sizes = np.array([len(t) + 1 for t in texts])
+    offsets = (np.cumsum(sizes) - sizes).tolist()
+    symbols = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int64) + 2
+    symbols[np.cumsum(sizes) - 1] = 1  # between texts
+    symbols = np.append(symbols, 0)
     room = np.zeros(len(symbols), bool)
     for start, text in zip(offsets, texts, strict=True):
         room[start : start + max(0, len(text) - length + 1)] = True
-    before, lengths = common_prefixes(symbols, suffix_array(symbols, 258), length)
+    before, lengths = common_prefixes(symbols.tolist(), suffix_array(symbols, 258), length)
     hit = np.flatnonzero((np.array(lengths) >= length) & room)
     marks = np.zeros(len(symbols), bool)
     marks[hit] = True
@@ -242,7 +237,8 @@ def repeated(source: DataFrame, length: int = LENGTH, variants: int = VARIANTS,
         ranges = pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
         return pa.table({"key": table.column("key"), "body": table.column("body"), "ranges": ranges})
 
-    sorted_out = few.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards))).applyInArrow(shard, f"key long, body long, ranges {RANGES}")
+    dealt = few.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).repartition(shards, "shard")
+    sorted_out = dealt.groupBy("shard").applyInArrow(shard, f"key long, body long, ranges {RANGES}")
     # Keys with very many different stretches: equal windows are found by digest, whatever their number.
     opened = stretches.join(many, F.col("key") == F.col("_key"), "left_semi").select(
         "key", "body", "n", "text", F.explode(F.sequence(F.lit(0), (F.octet_length("text") - length))).alias("o")
