@@ -98,8 +98,8 @@ def samples_per_cluster(v):
     )
 
 
-PUSHED = """(SELECT source || '/' || lang || '/doc_' || CAST(doc_id AS STRING) || '.jpg' AS image_path,
- CASE WHEN doc_id % 5 = 0 THEN '-1' WHEN doc_id % 11 = 0 THEN '4-noise' ELSE CAST(doc_id % 7 AS STRING) END AS cluster_id FROM {documents} WHERE n_chars > 500)"""
+PUSHED = """(SELECT source || '/' || lang || '/doc_' || CAST(doc_id AS STRING) || CASE WHEN n_chars > 500 THEN '.jpg' ELSE '.png' END AS image_path,
+ CASE WHEN doc_id % 5 = 0 THEN '-1' WHEN doc_id % 11 = 0 THEN '4-noise' ELSE CAST(doc_id % 7 AS STRING) END AS cluster_id FROM {documents})"""
 
 
 @query(

@@ -117,11 +117,13 @@ def knn_index_blocks(v):
 
 @query("knn_copies")
 def knn_copies(v):
-    """Many copies of few vectors: one vector makes up a third of all rows."""
-    wanted = F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_orderkey") % 300)
-    rows = v.orders.select(F.col("o_orderkey").alias("id"), wanted.alias("w")).join(
+    """All vectors and many copies of them: one vector makes up about a third of all rows."""
+    count = v.embeddings.count()
+    wanted = F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_orderkey") % count)
+    copies = v.orders.select(F.col("o_orderkey").alias("id"), wanted.alias("w")).join(
         v.embeddings, F.col("w") == F.col("vec_id")
     )
+    rows = copies.select("id", "embedding").unionByName(v.embeddings.select((-1 - F.col("vec_id")).alias("id"), "embedding"))
     return knn.knn_join(rows, rows, 3, strategy="blocks", block_rows=256)
 
 
