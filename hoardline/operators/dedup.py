@@ -86,15 +86,19 @@ def _cosine_basis(side: int) -> np.ndarray:
 
 
 def perceptual_hash(pixels: Column) -> Column:
-    """64-bit hex hash of a 32x32 luminance array: low frequencies above their median."""
+    """64-bit hex hash of a 32x32 luminance array: low frequencies above their median. Null for an array of another size, or none."""
 
     @F.pandas_udf("string")
     def hashed(batch: pd.Series) -> pd.Series:
         basis = _cosine_basis(PICTURE_SIDE)[:HASH_SIDE]
-        images = np.stack(batch.to_numpy()).astype(np.float64)
-        images = images.reshape(-1, PICTURE_SIDE, PICTURE_SIDE)
-        low = (basis @ images @ basis.T).reshape(len(batch), -1)
-        bits = low > np.median(low, axis=1, keepdims=True)
-        return pd.Series([row.tobytes().hex() for row in np.packbits(bits, axis=1)])
+        out = pd.Series([None] * len(batch), dtype=object)
+        whole = np.flatnonzero([p is not None and len(p) == PICTURE_SIDE**2 for p in batch])
+        if len(whole):
+            images = np.stack(batch.iloc[whole].to_numpy()).astype(np.float64)
+            images = images.reshape(-1, PICTURE_SIDE, PICTURE_SIDE)
+            low = (basis @ images @ basis.T).reshape(len(whole), -1)
+            bits = low > np.median(low, axis=1, keepdims=True)
+            out.iloc[whole] = [row.tobytes().hex() for row in np.packbits(bits, axis=1)]
+        return out
 
     return hashed(pixels)

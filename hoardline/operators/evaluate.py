@@ -17,9 +17,12 @@ def confusion_matrix(predictions: DataFrame) -> DataFrame:
 
 
 def confusion_pivot(predictions: DataFrame, labels: list[str], normalized: bool = False) -> DataFrame:
-    """One row per true class, one column per predicted one; empty rows stay zero."""
+    """One row per true class, one column per predicted one; empty rows stay zero. Classes besides ``labels``, and missing
+    ones, are counted in the row and the column ``other``."""
     value = "share" if normalized else "rows"
-    cells = confusion_matrix(predictions)
+    named = [F.when(F.col(c).isin(labels), F.col(c)).otherwise("other").alias(c) for c in ("y_true", "y_pred")]
+    labels = [*labels, "other"]
+    cells = confusion_matrix(predictions.select(*named))
     wide = cells.groupBy("y_true").pivot("y_pred", labels).agg(F.max(value))
     every = predictions.sparkSession.createDataFrame([(x,) for x in labels], "label string")
     return every.join(wide, F.col("label") == F.col("y_true"), "left").drop("y_true").na.fill(0)

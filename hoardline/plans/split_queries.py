@@ -149,7 +149,9 @@ LANGS = ["de", "en", "es", "fr", "it"]
     views=["predictions"],
     sql="SELECT l.label, "
     + ", ".join(f"count(*) FILTER (p.y_pred = '{x}') AS {x}" for x in LANGS)
-    + " FROM (SELECT unnest(['de', 'en', 'es', 'fr', 'it']) AS label) l LEFT JOIN predictions p ON p.y_true = l.label GROUP BY 1",
+    + f", count(*) FILTER (p.id IS NOT NULL AND (p.y_pred IN {tuple(LANGS)}) IS NOT TRUE) AS other"
+    + f" FROM (SELECT unnest({[*LANGS, 'other']}) AS label) l LEFT JOIN predictions p"
+    + f" ON l.label = CASE WHEN p.y_true IN {tuple(LANGS)} THEN p.y_true ELSE 'other' END GROUP BY 1",
 )
 def confusion_pivot(v):
     return evaluate.confusion_pivot(v.predictions, LANGS)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hoardline.functions import text
-from hoardline.operators import knn, mutate, pairing
+from hoardline.operators import dedup, evaluate, knn, mutate, pairing
 
 
 def test_last_decision_counts(frame):
@@ -40,3 +40,15 @@ def test_numbers_of_all_kinds_are_word_characters(frame, value, found):
 def test_rows_without_vector_take_no_part(frame):
     rows = frame("id long, embedding array<float>", (1, [1.0, 0.0]), (2, None), (3, [0.9, 0.1]))
     assert [(r.query_id, r.neighbor_id) for r in knn.knn_join(rows, rows, 2).orderBy("query_id").collect()] == [(1, 3), (3, 1)]
+
+
+def test_pictures_of_another_size_have_no_hash(frame):
+    rows = frame("pixels array<double>", ([float(i % 7) for i in range(1024)],), (None,), ([1.0],))
+    hashes = [r[0] for r in rows.select(dedup.perceptual_hash(F.col("pixels"))).collect()]
+    assert len(hashes[0]) == 16 and hashes[1:] == [None, None]
+
+
+def test_unlisted_classes_are_counted(frame):
+    rows = frame("y_true string, y_pred string", ("a", "a"), ("a", "z"), ("z", "b"), (None, "a"))
+    got = {r.label: tuple(r)[1:] for r in evaluate.confusion_pivot(rows, ["a", "b"]).collect()}
+    assert got == {"a": (1, 0, 1), "b": (0, 0, 0), "other": (1, 1, 0)}
