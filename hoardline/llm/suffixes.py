@@ -115,13 +115,50 @@ def common_prefixes(s: list[int], sa: list[int], limit: int) -> tuple[list[int],
     return before, lengths
 
 
+def _shared_parts(texts: list[bytes], length: int) -> list[tuple[int, int, int]]:
+    """(text, start, end) of the parts in which every short gram occurs twice or more, if they are long enough for a window.
+    A window that starts anywhere else too lies within such a part."""
+    gram = max(1, length // 4)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    if len(data) < length:
+        return []
+    powers = np.cumprod(np.append(np.uint64(1), np.full(len(data), _BASE, np.uint64)))
+    inverse = np.cumprod(np.append(np.uint64(1), np.full(len(data), pow(_BASE, -1, 1 << 64), np.uint64)))
+    sums = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1]))
+    hashes = (sums[gram:] - sums[:-gram]) * inverse[: len(data) - gram + 1]
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    spots = np.flatnonzero(owner[: len(hashes)] == owner[gram - 1 :])  # grams within one text
+    order = spots[np.argsort(hashes[spots], kind="stable")]
+    again = hashes[order][1:] == hashes[order][:-1]
+    shared = np.zeros(len(data) + 1, np.int8)
+    shared[order] = np.append(again, False) | np.append(False, again)
+    shared[-1] = 0
+    edges = np.flatnonzero(np.diff(np.append(0, shared)) | np.append(0, np.diff(np.append(owner, -1)) != 0))
+    parts = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if shared[a] and b - a >= length - gram + 1:
+            text = int(owner[a])
+            parts.append((text, a - int(starts[text]), b - 1 + gram - int(starts[text])))
+    return parts
+
+
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
-    """Per text, a mark for each of its windows that also starts anywhere else in ``texts``."""
-    sizes = np.array([len(t) + 1 for t in texts])
+    """Per text, a mark for each of its windows that also starts anywhere else in ``texts``. Only the parts whose grams all recur are sorted."""
+    out = [np.zeros(max(0, len(t) - length + 1), bool) for t in texts]
+    parts = _shared_parts(texts, length)
+    for (text, start, _), marks in zip(parts, _repeated_in([texts[t][a:b] for t, a, b in parts], length), strict=True):
+        out[text][start : start + len(marks)] = marks
+    return out
+
+
+def _repeated_in(texts: list[bytes], length: int) -> list[np.ndarray]:
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
     offsets = (np.cumsum(sizes) - sizes).tolist()
     symbols = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int64) + 2
     symbols[np.cumsum(sizes) - 1] = 1  # between texts
-    symbols = np.append(symbols, 0)
+    symbols = np.append(symbols, 0)  # the end
     room = np.zeros(len(symbols), bool)
     for start, text in zip(offsets, texts, strict=True):
         room[start : start + max(0, len(text) - length + 1)] = True
