@@ -27,16 +27,17 @@ _POWERS = np.cumprod(np.full(1 << 16, 0x100000001B3, dtype=np.uint64))
 @dataclass(frozen=True)
 class Settings:
     """``sample_rows`` bounds the labelled rows that the model is fitted on; scoring covers every row.
-    ``terms`` most telling terms get weights, if they are in ``least_texts`` texts or more and their chi-square statistic is ``least_chi`` or more."""
+    Every term in ``least_texts`` of them or more gets a weight and factors, whatever it tells alone: what counts only in pairs is not seen
+    in single terms. ``least_chi`` above zero leaves out terms with a smaller chi-square statistic."""
 
     sample_rows: int = 12_000
-    terms: int = 1_024
     least_texts: int = 3
-    least_chi: float = 3.84  # the 5 % level
+    least_chi: float = 0.0
     factors: int = 8
     steps: int = 4_000
     batch: int = 64
     rate: float = 0.02
+    pull: float = 1.5
     linear_decay: float = 1e-4
     factor_decay: float = 1e-3
     seed: int = 11
@@ -114,40 +115,26 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margin(terms, offsets), -30, 30)))
 
 
-def _telling(terms: np.ndarray, owner: np.ndarray, labels: np.ndarray, s: Settings) -> np.ndarray:
-    """The terms whose presence depends most on the label, by the chi-square statistic; ties go to the smaller term."""
+def _trained(terms: np.ndarray, owner: np.ndarray, labels: np.ndarray, s: Settings) -> np.ndarray:
+    """The terms that get weights, in order."""
     size = 1 << BITS
     seen, toxic = np.bincount(terms, minlength=size), np.bincount(terms, labels[owner], minlength=size)
     n, p = len(labels), labels.mean()
     spread = np.maximum(seen * (1 - seen / n) * p * (1 - p), 1e-12)
     chi = np.where(seen >= s.least_texts, (toxic - seen * p) ** 2 / spread, -1.0)
-    order = np.argsort(-chi, kind="stable")[: s.terms]
-    return np.sort(order[chi[order] >= s.least_chi])
+    return np.flatnonzero(chi >= max(s.least_chi, 0.0))
 
 
-def fit(terms: np.ndarray, offsets: np.ndarray, labels: np.ndarray, s: Settings) -> Machine:
-    """Mini-batch training with the Adam rule on the logistic loss; the order of rows and the start come from the seed."""
-    size, n = 1 << BITS, len(labels)
-    weights, factors = np.zeros(size, np.float32), np.zeros((size, s.factors), np.float32)
-    p = labels.mean() if n else 0.0
-    if not 0 < p < 1:
-        return Machine(float(np.clip(np.log((p + 1e-3) / (1 - p + 1e-3)), -6, 6)), weights, factors)
-    owner = np.repeat(np.arange(n), np.diff(offsets))
-    chosen = _telling(terms, owner, labels, s)
-    index = np.full(size, -1)
-    index[chosen] = np.arange(len(chosen))
-    used = index[terms] >= 0
-    local, owner = index[terms[used]], owner[used]
-    starts = np.searchsorted(owner, np.arange(n + 1))
-    rng = np.random.default_rng(s.seed)
-    m = len(chosen)
-    params = np.concatenate([np.zeros((m, 1)), rng.normal(0, 0.02, (m, s.factors))], axis=1)
-    bias = float(np.log(p / (1 - p)))
-    first, second = np.zeros_like(params), np.zeros_like(params)
-    decay = np.array([s.linear_decay] + [s.factor_decay] * s.factors)
+def _descend(params: np.ndarray, bias: float, local: np.ndarray, starts: np.ndarray, labels: np.ndarray, steps: range, shrink: float, s: Settings, rng) -> float:
+    """Mini-batch Adam steps on ``params`` (a weight and factors per term) in place; gives the bias. With ``shrink``, each step also
+    moves weights, and the factors of a term as a whole, towards zero, so that only those stay whose slope keeps its sign."""
+    n, width = len(labels), params.shape[1]
+    first, second, slope, room = (np.zeros_like(params) for _ in range(4))
+    decay = np.array([s.linear_decay] + [s.factor_decay] * s.factors, np.float32)
+    columns = np.arange(width)
     order = rng.permutation(n)
-    for step in range(1, s.steps + 1):
-        at = (step - 1) * s.batch % n
+    for number, step in enumerate(steps, 1):
+        at = (number - 1) * s.batch % n
         rows = order[at : at + s.batch]
         if at + s.batch >= n:
             order = rng.permutation(n)
@@ -156,19 +143,65 @@ def fit(terms: np.ndarray, offsets: np.ndarray, labels: np.ndarray, s: Settings)
         spot = np.arange(counts.sum()) + np.repeat(starts[rows] - np.cumsum(counts) + counts, counts)
         feature = local[spot]
         value = params[feature]
-        sums = np.zeros((len(rows), params.shape[1]))
-        np.add.at(sums, group, value)
+        sums = np.stack([np.bincount(group, value[:, c], minlength=len(rows)) for c in columns], 1).astype(np.float32)
         squares = np.bincount(group, (value[:, 1:] ** 2).sum(1), minlength=len(rows))
         margin = bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(1) - squares)
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[rows]) / len(rows)
-        push = error[group][:, None] * np.concatenate([np.ones((len(group), 1)), sums[group, 1:] - value[:, 1:]], axis=1)
-        slope = params * decay
-        np.add.at(slope, feature, push)
-        first += 0.1 * (slope - first)
-        second += 0.001 * (slope**2 - second)
+        error = ((1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[rows]) / len(rows)).astype(np.float32)
+        push = sums[group] - value
+        push[:, 0] = 1
+        push *= error[group][:, None]
+        np.multiply(params, decay, out=slope)
+        np.add.at(slope.reshape(-1), (feature[:, None] * width + columns).ravel(), push.ravel())
+        first *= np.float32(0.9)
+        np.multiply(slope, np.float32(0.1), out=room)
+        first += room
+        second *= np.float32(0.999)
+        np.square(slope, out=room)
+        room *= np.float32(0.001)
+        second += room
         rate = s.rate * (1 - step / (s.steps + 1))
-        params -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        np.sqrt(second, out=room)
+        room *= np.float32((1 - 0.999**number) ** -0.5)
+        room += np.float32(1e-8)
+        np.divide(first, room, out=room)
+        room *= np.float32(rate / (1 - 0.9**number))
+        params -= room
+        if shrink:
+            less = np.float32(rate * shrink)
+            weight, pairs = params[:, 0], params[:, 1:]
+            weight -= np.clip(weight, -less, less)
+            norm = np.sqrt(np.einsum("ij,ij->i", pairs, pairs))
+            pairs *= np.maximum(1 - less * np.float32(np.sqrt(s.factors)) / np.maximum(norm, np.float32(1e-9)), 0)[:, None]
         bias -= rate * error.sum() * 5
+    return float(bias)
+
+
+def fit(terms: np.ndarray, offsets: np.ndarray, labels: np.ndarray, s: Settings) -> Machine:
+    """Mini-batch training with the Adam rule on the logistic loss; the order of rows and the start come from the seed.
+
+    All terms are trained together, weights and factors, under a pull to zero of ``pull`` standard deviations of a pass over the rows. What it
+    has put to zero after half of the steps tells nothing there, alone or in a pair; the second half goes on with the others."""
+    size, n = 1 << BITS, len(labels)
+    weights, factors = np.zeros(size, np.float32), np.zeros((size, s.factors), np.float32)
+    p = labels.mean() if n else 0.0
+    if not 0 < p < 1:
+        return Machine(float(np.clip(np.log((p + 1e-3) / (1 - p + 1e-3)), -6, 6)), weights, factors)
+    owner = np.repeat(np.arange(n), np.diff(offsets))
+    chosen = _trained(terms, owner, labels, s)
+    rng = np.random.default_rng(s.seed)
+    bias, params = float(np.log(p / (1 - p))), None
+    shrink = s.pull / np.sqrt(max(n / s.batch, 1.0))
+    for steps in (range(1, s.steps // 2 + 1), range(s.steps // 2 + 1, s.steps + 1)):
+        index = np.full(size, -1)
+        index[chosen] = np.arange(len(chosen))
+        used = index[terms] >= 0
+        local, starts = index[terms[used]], np.searchsorted(owner[used], np.arange(n + 1))
+        if params is None:  # the start of long texts is as quiet as that of short ones
+            spread = min(0.02, 0.1 / np.sqrt(max(len(local) / n, 1.0)))
+            params = np.concatenate([np.zeros((len(chosen), 1)), rng.normal(0, spread, (len(chosen), s.factors))], axis=1).astype(np.float32)
+        bias = _descend(params, bias, local, starts, labels, steps, shrink, s, rng)
+        some = params.any(axis=1)
+        chosen, params = chosen[some], params[some]
     weights[chosen] = np.where(params[:, 0] == 0, 1e-9, params[:, 0])
     factors[chosen] = params[:, 1:]
     return Machine(bias, weights, factors)
@@ -227,16 +260,15 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
         toxic = np.concatenate(labels_)[order] if labels_ else np.empty(0)
         machine = fit(terms, offsets, toxic, s)
         used = np.flatnonzero(machine.wanted)
-        arrays = [[machine.bias], [used.astype(np.int32)], [machine.weights[used]], [machine.factors[used].ravel()]]
-        kinds = [pa.float64(), pa.list_(pa.int32()), pa.list_(pa.float32()), pa.list_(pa.float32())]
-        yield pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], ["bias", "terms", "weights", "factors"])
+        parts = [a.tobytes() for a in (used.astype(np.int32), machine.weights[used], machine.factors[used])]
+        yield pa.RecordBatch.from_arrays([pa.array([machine.bias]), *(pa.array([p], pa.binary()) for p in parts)], ["bias", "terms", "weights", "factors"])
 
     fitted = rows.coalesce(1) if rows.rdd.getNumPartitions() == 1 else rows.repartition(1)
-    row = fitted.mapInArrow(fit_all, "bias double, terms array<int>, weights array<float>, factors array<float>").first()
+    row = fitted.mapInArrow(fit_all, "bias double, terms binary, weights binary, factors binary").first()
     machine = Machine(row.bias, np.zeros(1 << BITS, np.float32), np.zeros((1 << BITS, s.factors), np.float32))
-    used = np.array(row.terms, dtype=np.int64)
-    machine.weights[used] = row.weights
-    machine.factors[used] = np.array(row.factors, np.float32).reshape(len(used), s.factors)
+    used = np.frombuffer(row.terms, np.int32)
+    machine.weights[used] = np.frombuffer(row.weights, np.float32)
+    machine.factors[used] = np.frombuffer(row.factors, np.float32).reshape(len(used), s.factors)
     return machine
 
 

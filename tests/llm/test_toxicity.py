@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from hoardline.llm import toxicity as tx
 
@@ -45,6 +46,40 @@ def test_pairs_decide_where_single_terms_do_not(spark):
     assert np.mean([got[i].predicted == labels[i][1] for i in test]) > 0.9
 
 
+@pytest.mark.parametrize("words", [400, 3_000])
+def test_pairs_decide_under_the_settings_in_use(words):
+    """Neither word of the pair tells anything alone, and more terms than a thousand tell as little."""
+    rng = random.Random(5)
+    vocabulary, texts, labels = [f"w{i}" for i in range(words)], [], []
+    for _ in range(3_000):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        chosen = rng.choices(vocabulary, k=12) + ["blorg"] * insult + ["zanians"] * group
+        texts.append(" ".join(chosen).encode())
+        labels.append(float(insult == group))
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    terms, cuts = tx.hashed_terms(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    machine = tx.fit(terms[: cuts[2_400]], cuts[:2_401], np.array(labels[:2_400]), tx.Settings())
+    scores = machine.score(terms[cuts[2_400] :], cuts[2_400:] - cuts[2_400])
+    assert np.mean((scores >= 0.5) == np.array(labels[2_400:])) > 0.9
+
+
+def test_rarer_terms_count_too():
+    """2,000 toxic words, each in a few texts: more than any list of a thousand holds."""
+    rng = random.Random(7)
+    texts, labels = [], []
+    for i in range(8_000):
+        toxic = i % 2
+        chosen = rng.choices(WORDS, k=8) + [f"{'x' if toxic else 'y'}{rng.randrange(2_000)}q" for _ in range(6)]
+        texts.append(" ".join(chosen).encode())
+        labels.append(float(toxic))
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    terms, cuts = tx.hashed_terms(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    machine = tx.fit(terms[: cuts[6_000]], cuts[:6_001], np.array(labels[:6_000]), tx.Settings())
+    assert machine.wanted.sum() > 1_024
+    scores = machine.score(terms[cuts[6_000] :], cuts[6_000:] - cuts[6_000])
+    assert np.mean((scores >= 0.5) == np.array(labels[6_000:])) > 0.9
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     documents, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
