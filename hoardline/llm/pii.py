@@ -1,6 +1,6 @@
 """Personal data: fixed patterns, and identifiers that bootstrapped contexts give away.
 
-What the fixed patterns find seeds a graph of lexical contexts (the word before, and the words on both sides) and values.
+What the fixed patterns find seeds a graph of lexical contexts (the word before, the word behind, and both) and values.
 A context is trusted by the share of known values in it, a value by the contexts that it occurs in; a few rounds let
 trust spread. Values of fitting shape that trusted contexts surround, but that no fixed pattern accepts, are reported too. All of it
 is DataFrame expressions; texts are read once.
@@ -18,6 +18,7 @@ from hoardline.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
 NEAR = 64  # characters looked at on each side of a value
+START = "\x02"  # the word before a text's first
 
 # The stated patterns. Possessive repeats and look-behinds change no match; they keep long runs linear and off the stack.
 # A card with fewer than 12 digits is dropped anyway, and no part of its run can be longer.
@@ -71,21 +72,25 @@ FOUND = "array<struct<start:long,end:long,value:string,left:string,right:string>
 
 
 def _collected(text: Column, pattern: str, kind: str, item, empty: str) -> Column:
-    """Items of all matches in order: ``item(start, match, gap before, gap behind)`` gives an item or null. The texts between the
+    """Items of all matches in order: ``item(start, match, text before, text behind)`` gives an item or null; the texts reach back or on by
+    ``NEAR`` characters, over other matches too, or to the text's ends. The texts between the
     matches and the matches themselves tell where each one starts."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     n = F.size(matches)
+    none = F.array(F.lit(""))
     pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), n), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    zipped = F.zip_with(pairs, F.slice(gaps, F.lit(2), n), lambda x, h: F.struct(x["m"].alias("m"), x["g"].alias("g"), h.alias("h")))
+    behind = F.zip_with(F.slice(gaps, F.lit(2), n), F.concat(F.slice(matches, F.lit(2), n), none), lambda h, m: F.struct(h.alias("h"), F.substring(m, 1, NEAR).alias("next")))
+    zipped = F.zip_with(pairs, behind, lambda x, y: F.struct(x["m"].alias("m"), x["g"].alias("g"), y["h"].alias("h"), y["next"].alias("next")))
 
     def add(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["g"])
-        made = item(start, x["m"], x["g"], x["h"])
+        before = F.substring(F.concat(state["last"], F.substring(x["g"], -NEAR, NEAR)), -NEAR, NEAR)
+        made = item(start, x["m"], before, F.substring(F.concat(F.substring(x["h"], 1, NEAR), x["next"]), 1, NEAR))
         items = F.when(made.isNotNull(), F.concat(state["items"], F.array(made))).otherwise(state["items"])
-        return F.struct((start + F.length(x["m"])).cast("long").alias("at"), items.cast(empty).alias("items"))
+        return F.struct((start + F.length(x["m"])).cast("long").alias("at"), items.cast(empty).alias("items"), F.substring(x["m"], -NEAR, NEAR).alias("last"))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(empty).alias("items"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(empty).alias("items"), F.lit("").alias("last"))
     return F.when(F.size(matches) > 0, F.aggregate(zipped, start, add, lambda s: s["items"])).otherwise(F.array().cast(empty))
 
 
@@ -106,13 +111,15 @@ def base_spans(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Words that hold a digit or an at sign, without the signs around them, and the words on both sides in lower case."""
+    """Words that hold a digit or an at sign, without the signs around them, and the words on both sides in lower case;
+    ``START`` stands on the left of a text's first word."""
 
-    def item(start, m, gap, behind):
+    def item(start, m, before, behind):
         core = F.regexp_extract(m, r"[A-Za-z0-9@+](?:.*[A-Za-z0-9])?", 0)
         lead = F.length(F.regexp_extract(m, r"^[^A-Za-z0-9@+]*", 0))
-        left = F.lower(F.regexp_extract(F.substring(gap, -NEAR, NEAR), r"(\S+)\s+$", 1))
-        right = F.lower(F.regexp_extract(F.substring(behind, 1, NEAR), r"^\s+(\S+)", 1))
+        word = F.lower(F.regexp_extract(before, r"(\S+)\s+$", 1))
+        left = F.when((word == "") & (F.length(before) == start), F.lit(START)).otherwise(word)
+        right = F.lower(F.regexp_extract(behind, r"^\s+(\S+)", 1))
         at = (start + lead).cast("long")
         made = F.struct(at.alias("start"), (at + F.length(core)).alias("end"), core.alias("value"), left.alias("left"), right.alias("right"))
         return F.when((F.length(core) >= 5) & (F.length(core) <= 4 * NEAR), made)
@@ -132,21 +139,26 @@ def _shape(kind: str, value: Column) -> Column:
 
 
 def _occurrences(read: DataFrame) -> DataFrame:
-    """``row, kind, start, end, value, context, known``: each shaped token in each of its contexts, and whether a fixed pattern has it."""
+    """``row, kind, start, end, value, left, right, known``: each shaped token, whatever is around it, and whether a fixed pattern has it."""
     rows = read.select("row", "base", F.explode("tokens").alias("t")).select("row", "base", "t.*")
     hit = F.filter("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
     rows = rows.withColumn("kinds", F.transform(hit, lambda b: b["kind"])).drop("base")
     shaped = F.array_compact(F.array(*[F.when(_shape(k, F.col("value")), F.lit(k)) for k in KINDS]))
     kinds = F.when(F.size("kinds") > 0, F.array_distinct("kinds")).otherwise(shaped)
-    rows = rows.select("row", "start", "end", F.lower("value").alias("value"), "left", "right", (F.size("kinds") > 0).alias("known"), F.explode(kinds).alias("kind"))
-    both = F.when((F.col("left") != "") & (F.col("right") != ""), F.concat_ws(" _ ", "left", "right"))
-    contexts = F.array_compact(F.array(F.when(F.col("left") != "", F.concat("left", F.lit(" _"))), both))
-    return rows.select("row", "start", "end", "value", "known", "kind", F.explode(contexts).alias("context"))
+    return rows.select("row", "start", "end", F.lower("value").alias("value"), "left", "right", (F.size("kinds") > 0).alias("known"), F.explode(kinds).alias("kind"))
+
+
+def _in_contexts(occurrences: DataFrame) -> DataFrame:
+    """``kind, value, known, context``: a row for each context of each occurrence."""
+    left, right = F.col("left") != "", F.col("right") != ""
+    one_sided = F.when(left, F.concat("left", F.lit(" _"))), F.when(right, F.concat(F.lit("_ "), "right"))
+    contexts = F.array_compact(F.array(*one_sided, F.when(left & right, F.concat_ws(" _ ", "left", "right"))))
+    return occurrences.select("kind", "value", "known", F.explode(contexts).alias("context"))
 
 
 def trusted_values(occurrences: DataFrame, s: Settings) -> DataFrame:
     """``kind, value, score`` of values that no fixed pattern has, after the last round."""
-    edges = occurrences.groupBy("kind", "context", "value").agg(F.max("known").alias("known"))
+    edges = _in_contexts(occurrences).groupBy("kind", "context", "value").agg(F.max("known").alias("known"))
     edges = cut_lineage(edges, "pii-graph")
     scores = edges.groupBy("kind", "value").agg(F.max("known").cast("double").alias("score"))
     for _ in range(s.rounds):

@@ -65,6 +65,16 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(spans[i].startswith("email:24:") for i in range(12))
 
 
+def test_trusted_values_are_found_wherever_they_stand(spark):
+    """At the start of a text, behind a number and behind another identifier; a value at the start alone is judged by the word behind."""
+    more = [(104, "jane@intranet again"), (105, "room 12 jane@intranet"), (106, "1.2.3.4 jane@intranet"), (107, "jane@intranet")]
+    more += [(300 + i, f"x{i}@mail.example.com wrote this") for i in range(12)] + [(320, "kim@local wrote this")]
+    df = spark.createDataFrame(context_rows() + more, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.digest(pii.find(df)).collect()}
+    assert spans[104] == "context_email:0:13" and spans[105] == "context_email:8:21" and spans[107] == "context_email:0:13"
+    assert spans[106] == "ip:0:7,context_email:8:21" and spans[320] == "context_email:0:9"
+
+
 def test_masking(spark):
     rows = [(1, "mail a@b.c or 1.2.3.4!", "s"), (2, None, "s"), (3, "", None), (None, "x@y.z", "s"), (None, "x@y.z", "s"), (4, "clean é", "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
