@@ -23,7 +23,8 @@ BLOCKS = 4
 GRID = 2  # coordinates of a block that make its cells
 CELL_ROWS = 16_384  # larger cells are cut into tiles of two parts of about this many rows
 STRIP, PANEL = 256, 4_096  # rows and columns compared at a time
-SLACK = 2e-6  # on squared distances in single precision
+SLACK = 1e-5  # on squared distances in single precision, which only choose what is compared in double
+EDGE = 1e-9  # on squared distances in double precision
 
 
 def rotation(size: int, seed: int) -> np.ndarray:
@@ -167,10 +168,10 @@ def _tile_links(block: int, same: bool, part: np.ndarray, left_part: int, home:
             i, j = i[once], j[once]
         for a in range(0, len(i), 1 << 15):  # bounded whatever the number of pairs
             p, q = i[a : a + (1 << 15)], j[a : a + (1 << 15)]
-            for earlier in range(block):
-                cut = slice(edges[earlier], edges[earlier + 1])
-                apart = ((turned[p, cut] - turned[q, cut]) ** 2).sum(1) > within[earlier]
-                p, q = p[apart], q[apart]
+            for b in range(block + 1):  # in its own block and in no earlier one, by one and the same bound
+                cut = slice(edges[b], edges[b + 1])
+                inside = ((turned[p, cut] - turned[q, cut]) ** 2).sum(1) <= within[b] + EDGE
+                p, q = (p[inside], q[inside]) if b == block else (p[~inside], q[~inside])
             cosine = (x[p] * x[q]).sum(1) / (norm[p] * norm[q])
             linked = cosine >= threshold
             p, q = p[linked], q[linked]

@@ -46,6 +46,23 @@ def test_against_all_pairs(spark, size, threshold, cell_rows):
     assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == brute(rows, threshold)
 
 
+def test_a_pair_at_a_blocks_edge_counts_once():
+    """In the first block the squared distance is a millionth above its part: the second block alone has the pair."""
+    size, threshold = 4, 0.95
+    part = (2 - 2 * threshold) / 2
+    a = np.array([0.5, 0.5, 0.5, 0.5])
+    turn, goal = np.eye(size), part + 1e-6
+    low, high = 0.0, 1.0  # the angle in the first two coordinates that gives the distance
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if 2 * 0.5 * (1 - np.cos(mid)) < goal else (low, mid)
+    b = np.array([*(np.sqrt(0.5) * np.array([np.cos(np.pi / 4 + low), np.sin(np.pi / 4 + low)])), 0.5, 0.5])
+    x, ones, zeros = np.stack([a, b]), np.ones(2, np.int64), np.zeros(2, np.int64)
+    edges = np.array([0, 2, 4])
+    links = sum(subspaces._tile_links(block, True, zeros, 0, ones.astype(bool), x, ones, turn, edges, threshold)[0] for block in range(2))
+    assert links.tolist() == [1, 1]
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert subspaces.linked(empty).count() == 0
