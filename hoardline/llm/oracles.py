@@ -104,7 +104,57 @@ SELECT d.doc_id, c AS class_id, coalesce(n, 0)::BIGINT AS n_links, d.doc_id = c
 FROM documents d JOIN components p ON p.u = d.doc_id LEFT JOIN degrees g ON g.u = d.doc_id"""
 
 
+# crc32 of up to 20 digits, a bit at a time: 0xEDB88320 is 3988292384.
+TRIE = r"""
+WITH RECURSIVE crc(c, rest, v) AS (
+  SELECT DISTINCT conv_id, conv_id::VARCHAR, 4294967295::BIGINT FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT c, substr(rest, 2), list_reduce(list_prepend(xor(v, ascii(rest)::BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) FROM crc WHERE rest <> ''),
+shared AS (SELECT c, xor(v, 4294967295) % 4 AS h FROM crc WHERE rest = ''),
+turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(struct_pack(id := md5(length(role) || ':' || role || txt), words := len(regexp_extract_all(txt, '[^\x20\x09-\x0D]+')))
+    ORDER BY turn NULLS FIRST, role, substr(sha256(length(role) || ':' || role || txt), 1, 32)) AS t FROM turns GROUP BY c),
+whole AS (SELECT o.c, list_concat(coalesce(list_slice(b.t, 1, h), []), list_slice(o.t, h + 1, len(o.t))) AS t
+    FROM own o JOIN shared s ON s.c = o.c LEFT JOIN own b ON b.c = o.c - o.c % 20),
+members AS (SELECT c, len(t) AS n, d, list_transform(list_slice(t, 1, d), lambda x: x.id) AS p,
+    CASE WHEN d > 0 THEN t[d].words ELSE 0 END AS words FROM (SELECT c, t, unnest(range(len(t) + 1)) AS d FROM whole)),
+nodes AS (SELECT p, any_value(d) AS d, min(c) AS first, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends FROM members GROUP BY p),
+kids AS (SELECT list_slice(p, 1, d - 1) AS above, count(*) AS k FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(k, 0) AS k FROM nodes n LEFT JOIN kids ON above = p),
+sums AS (SELECT list_slice(p, 1, u) AS top, sum((k = 0)::BIGINT) AS leaves, sum((n_convs - 1) * words) AS saved
+    FROM (SELECT *, unnest(range(d + 1)) AS u FROM full_nodes) GROUP BY ALL)
+SELECT n.first AS conv_id, n.d::BIGINT AS depth, m.first AS parent_conv_id, n.n_convs::BIGINT AS n_convs, n.k::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM full_nodes n JOIN sums ON top = n.p LEFT JOIN nodes m ON n.d > 0 AND m.p = list_slice(n.p, 1, n.d - 1)"""
+
+
+PHRASES = r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS txt FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(txt, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM docs),
+runs AS (SELECT lang, size, unnest([array_to_string(list_slice(w, i, i + size - 1), ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+    FROM pieces, range(1, 5) t(size) WHERE len(w) >= size),
+totals AS (SELECT lang, count(*) AS n FROM runs WHERE size = 1 GROUP BY lang),
+f AS (SELECT lang, size, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM runs GROUP BY ALL HAVING count(*) >= 30),
+inside AS (SELECT lang, phrase, max(longer) AS longer FROM (
+    SELECT lang, a AS longer, unnest(flatten([[array_to_string(list_slice(w, i, i + m - 1), ' ') FOR i IN range(1, size - m + 2)] FOR m IN range(2, size)])) AS phrase
+    FROM f WHERE size > 2) GROUP BY ALL),
+kept AS (SELECT f.* FROM f LEFT JOIN inside i ON i.lang = f.lang AND i.phrase = f.phrase
+    WHERE size > 1 AND (longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)),
+cuts AS (SELECT lang, phrase, a, w, unnest(range(1, size)) AS k, size FROM kept),
+scored AS (SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, (2000000 * c.a::HUGEINT // (x.a::HUGEINT + y.a::HUGEINT))::BIGINT AS score FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, k), ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, k + 1, c.size), ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank FROM weakest) JOIN totals USING (lang)
+WHERE rank <= 2000"""
+
+
 ORACLES = {
+    "op12_conversation_trie": TRIE,
+    "op13_phrase_collocations": PHRASES,
     "op4_ngram_jaccard": JACCARD,
     "op2_vector_near_duplicates": NEAR_VECTORS,
     "op6_warc_archive": WARC,

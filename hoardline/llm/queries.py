@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hoardline.llm import forest, graphs, mixing, pii, secrets, segments, subspaces, suffixes, toxicity, warc
+from hoardline.llm import forest, graphs, mixing, packing, phrases, pii, secrets, segments, subspaces, suffixes, toxicity, trie, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,19 @@ def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.packed(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefixes(_table(spark, sf_dir, "conversations")).drop("turn_id")
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_contextual_pii": op1_contextual_pii,
     "op2_vector_near_duplicates": op2_vector_near_duplicates,
@@ -77,4 +90,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_source_mixing": op9_source_mixing,
     "op10_sampled_segmentations": op10_sampled_segmentations,
+    "op11_best_two_fit": op11_best_two_fit,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
