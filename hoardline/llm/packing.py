@@ -9,6 +9,8 @@ then ranked by Spark, in buckets, and every rank looks its place up in the plan.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from array import array
 
@@ -24,10 +26,10 @@ from hoardline.session import cut_lineage
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
-BLOCK_CHARS = 1 << 19
-CACHE_WORDS = 200_000
-CACHE_IDS = 2_000_000
-BUCKET_DIGITS = 3
+BLOCK_CHARS = 1 << 20
+CACHE_WORDS = 300_000
+CACHE_IDS = 3_000_000
+BUCKET_DIGITS = 2
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -36,40 +38,63 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class Numbered(dict):
+    """Numbers for parts in the order in which they are first asked for; ``fresh`` are those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.fresh.append(part)
+        return number
+
+
+# Closing punctuation after a letter or digit and before a blank is a match of its own.
+CLOSING = re.compile(r"(?<=[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])([.,;:!?]+)(?=[ \n]|$)")
+
+
 class Encoder:
     """Ids of whole texts, looked up by the parts between blanks; parts not met before go through the tokenizer.
 
-    The vocabulary drops white space and none of its patterns reaches over it, so the ids of a text are those of its parts."""
+    The vocabulary drops white space and case and none of its patterns reaches over a blank, so the ids of a text are those of its
+    parts in lower case. Texts that may hold special tokens, which are found before case is dropped, keep theirs."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks, not threads inside them, fill the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = False
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbered()
         self.lengths, self.values = array("q"), array("i")
 
+    def _forget(self) -> None:
+        """Drop the parts met last; those met first are the frequent ones."""
+        kept = CACHE_WORDS // 2 if sum(self.lengths[: CACHE_WORDS // 2]) <= CACHE_IDS // 2 else 0
+        known = Numbered()
+        known.update((part, number) for part, number in self.known.items() if number < kept)
+        self.known, self.lengths = known, self.lengths[:kept]
+        self.values = self.values[: sum(self.lengths)]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's ids end."""
         if len(self.known) > CACHE_WORDS or len(self.values) > CACHE_IDS:
-            self._clear()
+            self._forget()
         parts: list[str] = []
         ends = np.empty(len(texts), np.int64)
         for i, text in enumerate(texts):
-            parts += text.replace("\n", " ").split(" ")
+            if "<|" not in text:
+                text = text.encode().lower().decode()  # ASCII only, as other letters depend on their neighbours
+            parts += CLOSING.sub(r" \1", text).replace("\n", " ").split(" ")
             ends[i] = len(parts)
-        fresh = list(set(parts).difference(self.known))
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            for part, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[part] = len(self.lengths)
+        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        for first in range(0, len(self.known.fresh), 2048):
+            for coded in self.tokenizer.encode_batch_fast(self.known.fresh[first : first + 2048], add_special_tokens=False):
                 ids = coded.ids
                 self.lengths.append(len(ids))
                 self.values.extend(ids)
-        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        self.known.fresh.clear()
         lengths, values = np.array(self.lengths, np.int64), np.array(self.values, np.int32)
         starts = np.cumsum(lengths) - lengths
         taken = lengths[at]

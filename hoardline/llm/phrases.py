@@ -23,7 +23,7 @@ from hoardline.session import cut_lineage, scratch_path
 
 LONGEST = 4
 LEAST = 30
-SHARDS = 3
+SHARDS = 2
 SLOT_BITS = 24  # one byte each: what a scan is sent, whatever the corpus
 NEVER = 255
 BLOCK_BYTES = 1 << 21
