@@ -8,8 +8,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hoardline.operators import radius
 from hoardline.operators.components import connected_components
-from hoardline.operators.knn import BLOCK_ROWS, knn_join
 from hoardline.operators.ranking import spread_row_number
 from hoardline.session import cut_lineage
 
@@ -29,37 +29,33 @@ def density_clusters(
     min_samples: int = 10,
     min_cluster_size: int = 20,
     vector: str = "embedding",
-    strategy: str = "auto",
-    block_rows: int = BLOCK_ROWS,
+    tile_rows: int = radius.TILE_ROWS,
 ) -> DataFrame:
-    """Density clusters over the k-nearest-neighbour graph.
+    """Density clusters: rows with ``min_samples`` others within ``eps``, joined by steps of at most ``eps``.
 
-    The core distance of a row is the distance to its ``min_samples``-th neighbour. Graph edges whose
-    mutual reachability (the largest of both core distances and their own length) is at most ``eps``
-    join rows; connected groups of at least ``min_cluster_size`` rows are clusters, numbered by size,
-    and everything else is noise, -1. The graph has ``min_samples`` edges per row, so nothing here
-    grows with the square of a dense region. The result is that of a flat density cut rather than of a
-    hierarchy.
+    The core distance of a row is the distance to its ``min_samples``-th neighbour, and two rows hang together if
+    their mutual reachability (the largest of both core distances and their own length) is at most
+    ``eps``. Connected groups of at least ``min_cluster_size`` rows are clusters, numbered by size, and
+    everything else is noise, -1, rows without a vector included. Copies of a vector count as many rows but are
+    compared once; links are witnesses between groups (:mod:`hoardline.operators.radius`), so
+    nothing that is stored grows with the square of a dense region. The result is that of a flat density cut rather than of a hierarchy.
     """
-    found = knn_join(
-        df, df, min_samples, vector=vector, strategy=strategy, block_rows=block_rows
-    ).select(
-        "query_id", "neighbor_id", "rank",
-        F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("similarity"))).alias("distance"),
+    heads, members = radius.distinct_vectors(df, "id", vector)
+    heads, members = cut_lineage(heads, "density-vectors"), cut_lineage(members, "density-members")
+    placed = cut_lineage(radius.tiles(heads, eps, tile_rows), "density-tiles")
+    cores = cut_lineage(radius.core_distances(radius.packed(placed), eps, min_samples), "density-cores")
+    dense = placed.join(cores.select("_id"), "_id", "left_semi")
+    edges = radius.links(radius.packed(dense), eps)
+    roots = connected_components(cores.select(F.col("_id").alias("id")), edges)
+    found = (
+        members.join(roots.select(F.col("id").alias("_head"), "component"), "_head")
+        .join(cores.withColumnRenamed("_id", "_head"), "_head")
+        .select(F.col("id").alias("_member"), "component", "core")
     )
-    graph = cut_lineage(found, "density-graph")
-    cores = graph.where(F.col("rank") == min_samples).select(
-        F.col("query_id").alias("_id"), F.col("distance").alias("core")
+    members = cut_lineage(
+        df.select(F.col("id").cast("long").alias("id")).join(found, F.col("id") == F.col("_member"), "left").drop("_member"), "density-found"
     )
-    other = cores.select(F.col("_id").alias("_other"), F.col("core").alias("other_core"))
-    edges = (
-        graph.join(cores, F.col("query_id") == F.col("_id"))
-        .join(other, F.col("neighbor_id") == F.col("_other"))
-        .where(F.greatest("core", "other_core", "distance") <= eps)
-        .select(F.col("query_id").alias("u"), F.col("neighbor_id").alias("v"))
-    )
-    members = connected_components(df.select(F.col("id").cast("long").alias("id")), edges)
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(
+    sizes = members.where("component IS NOT NULL").groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(
         F.col("size") >= min_cluster_size
     )
     # Clusters numbered by size: ranked inside powers of two, so no task sees all clusters.
@@ -71,7 +67,6 @@ def density_clusters(
     ).select(F.col("component").alias("_component"), (F.col("_place") - 1).alias("cluster_id"))
     labelled = (
         members.join(numbered, F.col("component") == F.col("_component"), "left")
-        .join(cores, F.col("id") == F.col("_id"), "left")
         .select("id", F.coalesce("cluster_id", F.lit(-1)).cast("long").alias("cluster_id"), "core")
     )
     densest = labelled.groupBy(F.col("cluster_id").alias("_cluster")).agg(F.min("core").alias("_densest"))

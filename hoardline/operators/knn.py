@@ -274,8 +274,9 @@ def knn_join(
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query: query_id, rank, neighbor_id, similarity. Rows without a vector take no part.
 
-    ``strategy`` is ``broadcast`` (corpus within the byte budget), ``blocks``, or ``auto``, which
-    checks the corpus size first.
+    ``strategy`` is ``broadcast`` (corpus within the byte budget), ``blocks``, ``auto``, which
+    checks the corpus size first, or ``probed``, which searches the nearest cells of an inverted
+    index only (:mod:`hoardline.operators.cells`).
     """
     q = queries.select(F.col(query_id).cast("long").alias("_id"), F.col(vector).alias("_v")).where("_v IS NOT NULL")
     c = corpus.select(F.col(corpus_id).cast("long").alias("_id"), F.col(vector).alias("_v")).where("_v IS NOT NULL")
@@ -285,6 +286,10 @@ def knn_join(
             return _against_broadcast(q, table, k, exclude_self, decimals)
         if strategy == "broadcast":
             raise ValueError("the corpus exceeds the broadcast budget")
+    if strategy == "probed":
+        from hoardline.operators.cells import probed_neighbours
+
+        return probed_neighbours(q, c, k, exclude_self=exclude_self, decimals=decimals)
     return _knn_blocks(q, c, k, exclude_self, decimals, block_rows)
 
 
@@ -454,18 +459,58 @@ def _scorer(k: int, decimals: int):
     return score
 
 
-def _knn_blocks(
-    queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool, decimals: int, block_rows: int
+def over_distinct(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    exclude_self: bool,
+    solve: Callable[[DataFrame, DataFrame, int], DataFrame],
 ) -> DataFrame:
-    spark = queries.sparkSession
+    """Neighbours of all queries from those of each different query vector.
+
+    ``solve(queries, corpus, wanted)`` ranks the answers of different vectors (``_id, _v``; the corpus
+    with ``_n``, 1 for the first of its copies) and may return the query itself. Only the lowest ids of a
+    set of copies can be answers, so it never sees more than ``wanted`` copies of one vector.
+    """
     wanted = k + 1 if exclude_self else k
-    # 1. Solve each distinct query vector once; only the lowest ids of a set of copies can be answers.
     keyed = _keyed(queries)
     solved = first_rows(keyed, 1, by=["_h1", "_h2"], order=[F.col("_id")], name="_n").drop("_n")
     answers = first_rows(_keyed(corpus), wanted, by=["_h1", "_h2"], order=[F.col("_id")], name="_n")
     answers = cut_lineage(answers.select("_id", "_v", "_n"), "knn-corpus")
+    top = solve(solved, answers, wanted)
+    # Hand each answer to all copies of its query, minus the row itself.
+    answer = F.struct(F.col("rank"), F.col("neighbor_id"), F.col("similarity"))
+    per_query = top.groupBy("query_id").agg(F.array_sort(F.collect_list(answer)).alias("answers"))
+    per_key = solved.select("_id", "_h1", "_h2").join(
+        per_query, F.col("_id") == F.col("query_id")
+    ).select("_h1", "_h2", "answers")
+    own = F.filter("answers", lambda a: a["neighbor_id"] != F.col("_id")) if exclude_self else F.col("answers")
+    expanded = keyed.select("_id", "_h1", "_h2").join(per_key, ["_h1", "_h2"])
+    return expanded.select(
+        F.col("_id").alias("query_id"), F.posexplode(F.slice(own, 1, k)).alias("position", "a")
+    ).select(
+        "query_id",
+        (F.col("position") + 1).cast("long").alias("rank"),
+        "a.neighbor_id",
+        "a.similarity",
+    )
+
+
+def _knn_blocks(
+    queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool, decimals: int, block_rows: int
+) -> DataFrame:
+    def solve(solved: DataFrame, answers: DataFrame, wanted: int) -> DataFrame:
+        return _block_answers(solved, answers, wanted, decimals, block_rows)
+
+    return over_distinct(queries, corpus, k, exclude_self, solve)
+
+
+def _block_answers(
+    solved: DataFrame, answers: DataFrame, wanted: int, decimals: int, block_rows: int
+) -> DataFrame:
+    spark = solved.sparkSession
     rows = answers.count()
-    # 2. A bounded, repeatable sample of distinct corpus vectors as pivots.
+    # 1. A bounded, repeatable sample of distinct corpus vectors as pivots.
     size = int(np.clip(np.ceil(rows / block_rows), 8, MAX_PIVOTS))
     sample = (
         answers.where(F.col("_n") == 1).orderBy(F.xxhash64("_id"), "_id").limit(size).select("_v")
@@ -475,7 +520,7 @@ def _knn_blocks(
     pivots = spark.sparkContext.broadcast(
         unit_rows(matrix(sample.combine_chunks()["_v"].combine_chunks()))
     )
-    # 3. Cells around pivots, rings by distance to the pivot, blocks inside rings.
+    # 2. Cells around pivots, rings by distance to the pivot, blocks inside rings.
     vector_type = answers.schema["_v"].dataType.simpleString()
     placed = f"_id long, _v {vector_type}, cell long, distance double"
     assign = _assigner(pivots)
@@ -492,7 +537,7 @@ def _knn_blocks(
     )
     c_blocks = cut_lineage(_packed(c_placed, c_rings, "c"), "knn-blocks")
     q_blocks = cut_lineage(_packed(q_placed, _ring_sizes(q_placed, block_rows), "q"), "knn-blocks")
-    # 4. Bounds from the home block of each query block, and the block pairs they leave.
+    # 3. Bounds from the home block of each query block, and the block pairs they leave.
     home = c_rings.select(
         F.col("cell").alias("h_cell"), F.col("ring").alias("h_ring"), F.col("chunks").alias("h_chunks")
     )
@@ -522,29 +567,13 @@ def _knn_blocks(
         )
         .select(*q_key, "t.*", F.explode(F.sequence(F.lit(0), F.col("h_chunks") - 1)).alias("c_chunk"))
     )
-    # 5. Multiply the surviving pairs; a block is the largest thing a task holds.
+    # 4. Multiply the surviving pairs; a block is the largest thing a task holds.
     work = (
         pairs.join(c_blocks, ["c_cell", "c_ring", "c_chunk"])
         .join(q_blocks.join(bounded.drop("targets"), q_key), q_key)
         .select("q_ids", "c_ids", "bounds", "q_vectors", "c_vectors")
     )
-    top = _ranked(work.mapInArrow(_scorer(wanted, decimals), NEIGHBOUR_SCHEMA), wanted)
-    # 6. Hand each answer to all copies of its query, minus the row itself.
-    answer = F.struct(F.col("rank"), F.col("neighbor_id"), F.col("similarity"))
-    per_query = top.groupBy("query_id").agg(F.array_sort(F.collect_list(answer)).alias("answers"))
-    per_key = solved.select("_id", "_h1", "_h2").join(
-        per_query, F.col("_id") == F.col("query_id")
-    ).select("_h1", "_h2", "answers")
-    own = F.filter("answers", lambda a: a["neighbor_id"] != F.col("_id")) if exclude_self else F.col("answers")
-    expanded = keyed.select("_id", "_h1", "_h2").join(per_key, ["_h1", "_h2"])
-    return expanded.select(
-        F.col("_id").alias("query_id"), F.posexplode(F.slice(own, 1, k)).alias("position", "a")
-    ).select(
-        "query_id",
-        (F.col("position") + 1).cast("long").alias("rank"),
-        "a.neighbor_id",
-        "a.similarity",
-    )
+    return _ranked(work.mapInArrow(_scorer(wanted, decimals), NEIGHBOUR_SCHEMA), wanted)
 
 
 # ---- uses --------------------------------------------------------------------------------------
@@ -560,7 +589,11 @@ def knn_index(
     rows: DataFrame, k: int, *, strategy: str = "auto", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Neighbour table of all rows with distance, cluster and period of each neighbour."""
-    found = knn_join(rows, rows, k, strategy=strategy, block_rows=block_rows)
+    return described_index(knn_join(rows, rows, k, strategy=strategy, block_rows=block_rows), rows)
+
+
+def described_index(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Neighbours with distance, and cluster and period from ``rows``."""
     described = rows.select(
         "id",
         "cluster_id",

@@ -257,10 +257,24 @@ def pca_reduce(v):
     return reduced.select("id", F.size("reduced").alias("dimension"), F.lit(round(explained, 4)).alias("explained"))
 
 
-@query("density_cluster", views=["cluster_results"])
+def density_sql(rows: str, eps: float, min_samples: int, least: int, extra: str = "") -> str:
+    """Flat density cut over ``rows`` (id, embedding); the similarities are rounded as in the operators."""
+    return f"""WITH RECURSIVE pairs AS (SELECT a.id AS u, b.id AS v, sqrt(greatest(0, 2 - 2 * round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6))) AS d
+  FROM {rows} a JOIN {rows} b ON a.id <> b.id),
+ cores AS (SELECT u, d AS core FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY d) AS n FROM pairs) WHERE n = {min_samples} AND d <= {eps}),
+ steps AS (SELECT p.u, p.v FROM pairs p JOIN cores a ON p.u = a.u JOIN cores b ON p.v = b.u WHERE d <= {eps}),
+ reach AS (SELECT u, u AS c FROM cores UNION SELECT s.v, r.c FROM reach r JOIN steps s ON s.u = r.u),
+ parts AS (SELECT u, min(c) AS c FROM reach GROUP BY u),
+ numbered AS (SELECT c, row_number() OVER (ORDER BY count(*) DESC, c) - 1 AS cluster_id FROM parts GROUP BY c HAVING count(*) >= {least}),
+ found AS (SELECT r.id, coalesce(n.cluster_id, -1) AS cluster_id, core FROM {rows} r LEFT JOIN parts p ON p.u = r.id LEFT JOIN numbered n ON n.c = p.c LEFT JOIN cores k ON k.u = r.id)
+ SELECT id, cluster_id, round(CASE WHEN cluster_id < 0 THEN 0.0 WHEN core > 0 THEN min(core) OVER (PARTITION BY cluster_id) / core ELSE 1.0 END, 6) AS cluster_confidence{extra} FROM found"""
+
+
+@query("density_cluster", views=["cluster_results"], sql=density_sql("cluster_results", 1.05, 5, 10))
 def density_cluster(v):
     rows = v.cluster_results.select("id", "embedding")
-    return grouping.density_clusters(rows, eps=1.05, min_samples=5, min_cluster_size=10)
+    found = grouping.density_clusters(rows, eps=1.05, min_samples=5, min_cluster_size=10)
+    return found.select("id", "cluster_id", r6("cluster_confidence"))
 
 
 @query("kmeans_cluster", views=["cluster_results"])
@@ -271,8 +285,13 @@ def kmeans_cluster(v):
     )
 
 
-@query("drill_down", views=["cluster_results"])
+@query(
+    "drill_down",
+    views=["cluster_results"],
+    sql=density_sql("(SELECT * FROM cluster_results WHERE cluster_id = '3')", 1.2, 2, 5, ", '3' AS parent_id"),
+)
 def drill_down(v):
-    return grouping.drill_down(
+    found = grouping.drill_down(
         v.cluster_results.select("id", "embedding"), v.cluster_results, parent="3", eps=1.2
     )
+    return found.select("id", "cluster_id", r6("cluster_confidence"), "parent_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hoardline.functions import vectors
-from hoardline.operators import clusters, embeddings, evaluate, knn, search
+from hoardline.operators import cells, clusters, embeddings, evaluate, knn, search
 from hoardline.plans.registry import query
 from hoardline.plans.shaping import big, r6, vector_text
 
@@ -115,6 +115,14 @@ def knn_index_blocks(v):
 
 
 
+@query("knn_index_probed", views=["cluster_results"], sql=INDEX_SQL)
+def knn_index_probed(v):
+    """The inverted index with every cell probed, which makes it exact."""
+    rows = v.cluster_results.select(F.col("id").cast("long").alias("_id"), F.col("embedding").alias("_v")).where("_v IS NOT NULL")
+    found = cells.probed_neighbours(rows, rows, 5, probes=1 << 20)
+    return _index_columns(knn.described_index(found, v.cluster_results))
+
+
 @query("knn_copies")
 def knn_copies(v):
     """All vectors and many copies of them: one vector makes up about a third of all rows."""

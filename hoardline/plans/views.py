@@ -156,6 +156,8 @@ def with_views(names: Iterable[str], sql: str) -> str:
     body = sql.strip()
     if not ctes:
         return body
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes}, {body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes}, {body[5:]}"
     return f"WITH {ctes} {body}"

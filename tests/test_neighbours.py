@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hoardline.operators import components, dedup, grouping, knn, search
+from hoardline.operators import cells, components, dedup, grouping, knn, search
+from hoardline.session import cut_lineage
 
 
 def brute(ids, vectors, k, query_ids=None, decimals=6):
@@ -149,10 +150,84 @@ def test_density_clusters(spark):
     assert labels[:40] == [0] * 40 and labels[40:70] == [1] * 30 and labels[70:95] == [2] * 25
     assert labels[95:] == [-1] * 5
     assert all(0 < got[i]["cluster_confidence"] <= 1 for i in range(95))
-    shuffled = {r["id"]: r["cluster_id"] for r in grouping.density_clusters(rows.orderBy(F.desc("id")).repartition(3), eps=0.2, min_samples=4, min_cluster_size=10, strategy="blocks", block_rows=16).collect()}
+    shuffled = {r["id"]: r["cluster_id"] for r in grouping.density_clusters(rows.orderBy(F.desc("id")).repartition(3), eps=0.2, min_samples=4, min_cluster_size=10, tile_rows=16).collect()}
     assert shuffled == {i: got[i]["cluster_id"] for i in range(100)}
 
 
+def flat_cut(ids, vectors, eps, k, least):
+    """Clusters as sets of ids, with core distances, from the full distance matrix."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    d = np.sqrt(np.maximum(0, 2 - 2 * np.round(unit @ unit.T, 6)))
+    np.fill_diagonal(d, 0)
+    core = np.array([np.sort(np.delete(d[i], i))[k - 1] for i in range(len(d))])
+    dense = core <= eps
+    label = np.arange(len(d))
+    while True:
+        linked = (d <= eps) & dense[:, None] & dense[None, :]
+        new = np.array([label[linked[i]].min() if dense[i] else label[i] for i in range(len(d))])
+        if (new == label).all():
+            break
+        label = new
+    groups = {frozenset(np.asarray(ids)[(label == c) & dense].tolist()) for c in set(label[dense])}
+    return {g for g in groups if len(g) >= least}, dict(zip(ids, core, strict=True))
+
+
+def clusters_of(rows):
+    found = {}
+    for r in rows:
+        if r["cluster_id"] >= 0:
+            found.setdefault(r["cluster_id"], set()).add(r["id"])
+    return {frozenset(g) for g in found.values()}
+
+
+@pytest.mark.parametrize("tile_rows", [7, 1024])
+def test_two_dense_clumps_within_reach_are_one_cluster(spark, tile_rows):
+    angle = np.array([0.001 * i for i in range(6)] + [0.2 + 0.001 * i for i in range(6)])
+    rows = table(spark, range(12), np.stack([np.cos(angle), np.sin(angle)], axis=1))
+    got = grouping.density_clusters(rows, eps=0.5, min_samples=2, min_cluster_size=3, tile_rows=tile_rows).collect()
+    assert [r["cluster_id"] for r in got] == [0] * 12
+
+
+def test_half_of_the_rows_are_one_vector(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(120, 4))
+    vectors[:60] = vectors[0]
+    vectors[60:75] = vectors[60] + 0.1 * rng.normal(size=(15, 4))
+    ids = [int(i) for i in rng.permutation(1000)[:120]]
+    rows = table(spark, ids, vectors).unionByName(spark.createDataFrame([(5000, None)], "id long, embedding array<double>"))
+    for eps, k, least, tile_rows in ((0.3, 3, 4, 5), (1e-4, 4, 3, 16)):
+        got = grouping.density_clusters(rows, eps=eps, min_samples=k, min_cluster_size=least, tile_rows=tile_rows).collect()
+        wanted, core = flat_cut(ids, vectors, eps, k, least)
+        assert clusters_of(got) == wanted and len(got) == 121
+        best = {g: min(core[i] for i in g) for g in wanted}
+        for r in got:
+            mine = [g for g in wanted if r["id"] in g]
+            expected = 0.0 if not mine else best[mine[0]] / core[r["id"]] if core[r["id"]] > 0 else 1.0
+            assert abs(r["cluster_confidence"] - expected) < 1e-9
+
+
+def test_probed_cells(spark):
+    """Clustered vectors of 512 dimensions: few cells give nearly all neighbours, all cells give all."""
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(60, 512))
+    vectors = centers[rng.integers(0, 60, 4000)] + 0.7 * rng.normal(size=(4000, 512))
+    vectors[100:160] = vectors[100]
+    rows = cut_lineage(table(spark, range(4000), vectors).select(F.col("id").alias("_id"), F.col("embedding").alias("_v")), "test")
+    wanted = brute(np.arange(4000), vectors, 10)
+    compared = spark.sparkContext.accumulator(0)
+    found = {}
+    for r in cells.probed_neighbours(rows, rows, 10, probes=4, compared=compared).collect():
+        found.setdefault(r["query_id"], set()).add(r["neighbor_id"])
+    recall = np.mean([len(found[i] & set(w)) / 10 for i, w in wanted.items()])
+    assert recall >= 0.95 and compared.value <= 0.15 * 4000**2
+    few = rows.where("_id < 300")
+    exact = {}
+    for r in cells.probed_neighbours(few, few, 10, probes=1000, block_rows=16).orderBy("query_id", "rank").collect():
+        exact.setdefault(r["query_id"], []).append(r["neighbor_id"])
+    assert exact == brute(np.arange(300), vectors[:300], 10)
+    assert cells.probed_neighbours(few.limit(0), few.limit(0), 3).count() == 0
+
+
 def test_boost_reports_but_keeps_order(spark):
     results = spark.createDataFrame(
         [(1, 1, 10, 0.9, "greek"), (1, 2, 11, 0.89, "Celtic "), (1, 3, 12, 0.5, "other")],
