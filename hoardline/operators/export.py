@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from hoardline.functions.text import blank_to_null, resolved_period, safe_int, whole_number
 from hoardline.operators.catalog import has_text
-from hoardline.operators.ranking import seeded_cuts, within_cut
+from hoardline.operators.ranking import seeded_cuts, sorted_row_number, within_cut
 
 SIDES = {"obverse": "obv", "reverse": "rev", "unknown": "unk"}
-LOT_BUCKET = 256
+LEVEL_BITS = 5  # a block of one level is 32 of the level below
+LEVELS = 13  # enough for 64 bits
 
 
 def best_detection_per_side(
@@ -47,14 +48,47 @@ def best_detection_per_side(
     return best.select("coin_id", *columns)
 
 
+def range_pieces(start: Column, end: Column) -> Column:
+    """``[start, end]`` as blocks of ``(level, block)``: block b of level n holds the numbers from b * 32**n up to the next block.
+
+    On every level it takes the blocks that lie in the range and in no larger block that does, so there are
+    at most 62 on a level, and one level more for a range 32 times as long."""
+
+    def inside(level: int) -> tuple[Column, Column]:  # first and last whole block of a level
+        bits = level * LEVEL_BITS
+        mask = F.lit((1 << bits) - 1).cast("long")
+        complete = end.bitwiseAND(mask) == mask
+        return -F.shiftright(-start, bits), F.shiftright(end, bits) - F.when(complete, 0).otherwise(1)
+
+    nothing = F.array().cast("array<struct<level:int,block:bigint>>")
+
+    def run(level: int, first: Column, last: Column) -> Column:
+        blocks = F.transform(F.sequence(first, last), lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")))
+        return F.when(first <= last, blocks).otherwise(nothing)
+
+    levels = []
+    for level in range(LEVELS):
+        first, last = inside(level)
+        if level == LEVELS - 1:
+            levels.append(run(level, first, last))
+            continue
+        above_first, above_last = inside(level + 1)
+        some = above_first <= above_last
+        levels.append(run(level, first, F.when(some, F.shiftleft(above_first, LEVEL_BITS) - 1).otherwise(last)))
+        covered = F.shiftleft(above_last, LEVEL_BITS) + ((1 << LEVEL_BITS) - 1)
+        levels.append(F.when(some & (covered < last), run(level, covered + 1, last)).otherwise(nothing))
+    return F.concat(*levels)
+
+
 def with_lot_range(
     lots: DataFrame, ranges: DataFrame, *, first_range_only: bool = False, ignore_case: bool = False
 ) -> DataFrame:
     """Left join of lots to the lot ranges of their sale (house, sale, lot between start and end).
 
-    Ranges are cut into pieces of ``LOT_BUCKET`` lots, so the join key is (house, sale, piece) and
-    even the lots of one giant sale spread over many keys. A lot within several ranges yields several
-    rows, unless ``first_range_only`` keeps the range that starts (then ends) first.
+    Ranges are cut into blocks of 32**n lots (:func:`range_pieces`), a few dozen for a range of any length, and every lot
+    number that occurs in a sale is looked up by its block on each level that some range uses: an equality join
+    on (house, sale, level, block) of the numbers alone. Lots then join what their number found. A
+    lot within several ranges yields several rows, unless ``first_range_only`` keeps the range that starts (then ends) first.
     """
 
     def key(column: str) -> Column:
@@ -62,44 +96,34 @@ def with_lot_range(
 
     lot = safe_lot(F.col("lot_number"))
     # Lots without a number match nothing; a hash keeps them from sharing one key per sale.
-    unmatched = -1 - F.pmod(F.xxhash64("lot_number"), F.lit(1 << 20))
-    left = lots.withColumns(
-        {"_lot": lot, "_piece": F.coalesce(F.floor(lot / LOT_BUCKET), unmatched)}
-    )
-    pieces = ranges.where(F.col("lot_start") <= F.col("lot_end")).select(
+    spread = F.coalesce(lot, -1 - F.pmod(F.xxhash64("lot_number"), F.lit(1 << 20)))
+    left = lots.withColumns({"_lot": lot, "_spread": spread, "_own_house": key("auction_house"), "_own_sale": key("sale_id")})
+    valid = ranges.where(F.col("lot_start") <= F.col("lot_end")).select(
         key("auction_house").alias("_house"),
         key("sale_id").alias("_sale"),
-        F.col("lot_start").alias("_start"),
-        F.col("lot_end").alias("_end"),
+        F.col("lot_start").cast("long").alias("_start"),
+        F.col("lot_end").cast("long").alias("_end"),
         F.col("period").alias("auction_period"),
         F.col("auction_house").alias("range_house"),
-        F.explode(
-            F.sequence(F.floor(F.col("lot_start") / LOT_BUCKET), F.floor(F.col("lot_end") / LOT_BUCKET))
-        ).alias("_range_piece"),
     )
+    pieces = valid.select("*", F.explode(range_pieces(F.col("_start"), F.col("_end"))).alias("_p")).select("*", "_p.level", "_p.block").drop("_p")
+    numbers = left.where("_lot IS NOT NULL AND _own_house IS NOT NULL AND _own_sale IS NOT NULL")
+    numbers = numbers.select(F.col("_own_house").alias("_house"), F.col("_own_sale").alias("_sale"), F.col("_lot").alias("_number")).distinct()
+    used = pieces.agg(F.collect_set("level")).scalar()  # one row: at most LEVELS numbers
+    probes = numbers.withColumn("_levels", used).select(
+        "_house", "_sale", "_number", F.explode(F.expr(f"transform(_levels, n -> struct(n AS level, shiftright(_number, n * {LEVEL_BITS}) AS block))")).alias("_p")
+    ).select("_house", "_sale", "_number", "_p.level", "_p.block")
+    hits = probes.join(pieces, ["_house", "_sale", "level", "block"])
     if first_range_only:
-        order = F.struct("_start", "_end")
-        # Pieces keep every range, so the choice is made per lot after the join.
-        joined = _range_join(left, pieces, key)
-        return (
-            joined.groupBy(*lots.columns)
-            .agg(
-                F.min_by(F.struct("auction_period", "range_house"), order).alias("_first")
-            )
-            .select(*lots.columns, "_first.auction_period", "_first.range_house")
-        )
-    return _range_join(left, pieces, key).select(*lots.columns, "auction_period", "range_house")
-
-
-def _range_join(left: DataFrame, pieces: DataFrame, key) -> DataFrame:
-    return left.join(
-        pieces,
-        (key("auction_house") == F.col("_house"))
-        & (key("sale_id") == F.col("_sale"))
-        & (F.col("_piece") == F.col("_range_piece"))
-        & F.col("_lot").between(F.col("_start"), F.col("_end")),
+        first = F.min_by(F.struct("auction_period", "range_house"), F.struct("_start", "_end"))
+        hits = hits.groupBy("_house", "_sale", "_number").agg(first.alias("_first")).select("_house", "_sale", "_number", "_first.*")
+    hits = hits.select("_house", "_sale", "_number", "auction_period", "range_house")
+    joined = left.join(
+        hits,
+        (F.col("_own_house") == F.col("_house")) & (F.col("_own_sale") == F.col("_sale")) & (F.col("_spread") == F.col("_number")) & F.col("_lot").isNotNull(),
         "left",
     )
+    return joined.select(*lots.columns, "auction_period", "range_house")
 
 
 def safe_lot(lot: Column) -> Column:
@@ -293,16 +317,16 @@ def label_mapping(df: DataFrame, columns: list[str], skip: tuple[str, ...] = (""
 
     Labels are reduced to distinct values first; those few rows are then numbered.
     """
-    from pyspark.sql.window import Window
-
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("label")) for c in columns])
         ).alias("pair")
     ).select("pair.field", "pair.label")
     labels = long.where(F.col("label").isNotNull() & ~F.col("label").isin(*skip)).distinct()
-    position = F.row_number().over(Window.partitionBy("field").orderBy("label")) - 1
-    return labels.withColumn("label_index", position.cast("long"))
+    ranked = sorted_row_number(labels, "_place", ["field", "label"])
+    first = ranked.groupBy(F.col("field").alias("_field")).agg(F.min("_place").alias("_first"))  # a row per column
+    joined = ranked.join(F.broadcast(first), F.col("field") == F.col("_field"))
+    return joined.select("field", "label", (F.col("_place") - F.col("_first")).alias("label_index"))
 
 
 def export_statistics(pairs: DataFrame) -> DataFrame:

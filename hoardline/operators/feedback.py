@@ -81,12 +81,19 @@ def verified_feedback(
     )
 
 
+def verified_ids(feedback: DataFrame) -> DataFrame:
+    """``id`` of every row that feedback confirms or corrects, once."""
+    named = feedback.where(F.col("feedback_type").isin("confirm", "correction"))
+    return named.select(F.col("ml_dataset_id").alias("id")).distinct()
+
+
+def mark_ids(dataset: DataFrame, ids: DataFrame) -> DataFrame:
+    return update_by_id(dataset, ids, {"is_verified": F.lit(1), "needs_review": F.lit(0)})
+
+
 def mark_verified(dataset: DataFrame, feedback: DataFrame) -> DataFrame:
     """Rows with feedback become verified and leave the review queue."""
-    ids = feedback.where(F.col("feedback_type").isin("confirm", "correction")).select(
-        F.col("ml_dataset_id").alias("id")
-    )
-    return update_by_id(dataset, ids, {"is_verified": F.lit(1), "needs_review": F.lit(0)})
+    return mark_ids(dataset, verified_ids(feedback))
 
 
 def live_accuracy(log: DataFrame) -> DataFrame:

@@ -156,13 +156,28 @@ def within_cut(name: str, key: str, seed: int = 42) -> Column:
     return F.coalesce(own <= F.col(f"_cut_{name}"), F.lit(False))
 
 
-def id_row_number(
-    df: DataFrame, name: str, key: str, *, width: int = 100_000, by: Sequence[str] = ()
-) -> DataFrame:
-    """Rank rows by an integer key; each task ranks one key range of ``width`` values."""
-    return spread_row_number(
-        df, name, bucket=F.floor(F.col(key) / F.lit(width)), order=[F.col(key)], by=by
-    )
+def sorted_row_number(df: DataFrame, name: str, order: Sequence[Column | str]) -> DataFrame:
+    """Rank every row of a table by ``order``, from 1.
+
+    The rows are ranged into partitions that follow the order and stored; each partition ranks its own, and
+    the rows in front of it are the summed counts of the partitions before. Only one count per partition is
+    brought together, so neither sparse keys nor many rows meet in one task."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    stored = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranked")
+    counts = sorted((r["_part"], r["n"]) for r in stored.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
+    before, offsets = 0, []
+    for part, n in counts:
+        offsets.append((part, before))
+        before += n
+    starts = df.sparkSession.createDataFrame(offsets, "_of int, _before long")  # a row per partition
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    ranked = stored.withColumn("_local", local).join(F.broadcast(starts), F.col("_part") == F.col("_of"))
+    return ranked.select(*df.columns, (F.col("_before") + F.col("_local")).cast("long").alias(name))
+
+
+def id_row_number(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Rank rows by a key of any kind, dense or sparse."""
+    return sorted_row_number(df, name, [key])
 
 
 def first_rows(

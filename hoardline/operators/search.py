@@ -14,6 +14,8 @@ from hoardline.session import cut_lineage
 BOOST_BASE = 0.04
 BOOST_EXTRA = 0.10
 
+MAX_WANTED = 10_000  # partition values sent to every task
+
 
 def boost_weight(confidence: Column) -> Column:
     return F.lit(BOOST_BASE) + F.lit(BOOST_EXTRA) * F.greatest(F.lit(0.0), confidence - 0.5) / 0.5
@@ -49,6 +51,33 @@ def search(
     return found.join(fields, F.col("neighbor_id") == F.col("_id")).drop("_id")
 
 
+def wanted_partitions(queries: DataFrame, corpus: DataFrame, partition: str, wanted: str) -> DataFrame:
+    """The rows of ``corpus``, stored by folders of ``partition``, that some query asks for.
+
+    The folders are chosen at run time from the query table, so those that nobody asks for are never
+    listed among the files to read. The wanted values are sent to all tasks only after a row-limited read has shown
+    that they are few; beyond that the join is left to Spark."""
+    # Folder values are never empty texts; Spark prunes at run time only for conditions that may leave something out.
+    values = queries.select(F.col(wanted).alias("_wanted")).where(F.col("_wanted").cast("string") != "").distinct()
+    few = len(values.limit(MAX_WANTED + 1).take(MAX_WANTED + 1)) <= MAX_WANTED
+    return corpus.join(F.broadcast(values) if few else values, F.col(partition) == F.col("_wanted"), "left_semi")
+
+
+def search_partitions(
+    queries: DataFrame, corpus: DataFrame, k: int = 10, *, partition: str = "period", wanted: str = "period"
+) -> DataFrame:
+    """Top-k rows of each query's own partition: query_id, rank, neighbor_id, similarity.
+
+    ``corpus`` is stored by folders of ``partition`` and ``wanted`` names a query's. Queries without one find nothing."""
+
+    def marked(column: str) -> Column:  # the bounded text is contained in another only if it is equal
+        return F.concat(F.lit("\x01"), F.col(column).cast("string"), F.lit("\x01"))
+
+    asked = queries.where(F.col(wanted).isNotNull()).withColumn("_wanted", marked(wanted))
+    rows = wanted_partitions(queries, corpus, partition, wanted).withColumn("_partition", marked(partition))
+    return top_k(asked, rows, k, filters={"_partition": "_wanted"})
+
+
 def with_period_boost(
     results: DataFrame, queries: DataFrame, classes: list[str], rerank: bool = False
 ) -> DataFrame:

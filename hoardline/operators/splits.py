@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from hoardline.operators.catalog import has_text
 from hoardline.operators.ranking import (
@@ -12,6 +11,7 @@ from hoardline.operators.ranking import (
     seeded_cuts,
     seeded_order,
     seeded_row_number,
+    sorted_row_number,
     within_cut,
 )
 
@@ -111,8 +111,8 @@ def class_weights(df: DataFrame, label: str, cap: float = 10.0) -> DataFrame:
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """Alphabetical index from 0 over the distinct labels."""
     labels = df.where(has_text(label)).select(label).distinct()
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(label)) - 1
-    return labels.withColumn("label_index", place.cast("long"))
+    ranked = sorted_row_number(labels, "_place", [label])
+    return ranked.select(label, (F.col("_place") - 1).alias("label_index"))
 
 
 def pairs_to_sides(pairs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hoardline import schemas
 from hoardline.functions.labels import keyword_label
-from hoardline.operators import knn, splits
+from hoardline.operators import knn, search, splits
 from hoardline.plans import label_sql as S
 from hoardline.plans.catalogue_queries import FEEDBACK
 from hoardline.plans.registry import query
@@ -276,6 +276,22 @@ def compaction(v):
     )
 
 
+@query(
+    "search_period_pruned",
+    views=["cluster_results"],
+    sql="""WITH q AS (SELECT id AS query_id, parser_period AS period, embedding AS e FROM cluster_results WHERE parser_period IN ('greek', 'islamic')),
+ s AS (SELECT query_id, c.id AS neighbor_id, round(list_cosine_similarity(CAST(q.e AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6) AS similarity FROM q JOIN cluster_results c ON c.parser_period = q.period)
+ SELECT query_id, rank, neighbor_id, similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, neighbor_id) AS rank FROM s) WHERE rank <= 5""",
+)
+def search_period_pruned(v):
+    """Each query searches its own period's partitions; the others are not opened."""
+    root = scratch_path(v.spark, "corpus")
+    snapshots.write_snapshot(v.cluster_results, root, 1, "parser_period")
+    asked = v.cluster_results.where(F.col("parser_period").isin("greek", "islamic"))
+    asked = asked.select(F.col("id").alias("query_id"), F.col("parser_period").alias("period"), "embedding")
+    return search.search_partitions(asked, snapshots.read_current(v.spark, root, 1), 5, partition="parser_period", wanted="period")
+
+
 @query(
     "period_prefilter",
     views=["cluster_results"],
@@ -289,22 +305,61 @@ def period_prefilter(v):
     return current.where(F.col("parser_period") == "greek").select("id", "cluster_id")
 
 
+def _streamed(v):
+    """Feedback of three deliveries, a file a batch: the log, the log again, and older entries that come late."""
+    log, again, target, marks = (scratch_path(v.spark, x) for x in ("log", "log-part", "feedback", "marks"))
+    late = F.col("event_id") % 7 == 0
+    for part in (v.feedback_log.where(~late), v.feedback_log.where(~late), v.feedback_log.where(late)):
+        lines = feedback_lines(part)
+        lines.coalesce(1).write.mode("append").text(log)
+    feedback_stream.sync_feedback(
+        v.spark, log, v.ml_dataset, target, scratch_path(v.spark, "checkpoint"), marks=marks, files_per_batch=1
+    ).awaitTermination()
+    return target, marks
+
+
+def feedback_lines(log):
+    """The entries of ``feedback_log`` as the apps write them, one JSON object a line."""
+    correction = F.col("kind") == "correction"
+    return log.select(
+        F.to_json(
+            F.struct(
+                F.col("event_id").alias("timestamp"), "filename",
+                F.when(correction, F.col("predicted")).alias("original_prediction"),
+                F.when(correction, F.col("confidence")).alias("original_confidence"),
+                F.when(correction, F.col("actual")).alias("corrected_label"),
+                F.when(~correction, F.col("actual")).alias("label"),
+                F.when(~correction, F.col("confidence")).alias("confidence"),
+            )
+        ).alias("value")
+    )
+
+
 @query(
     "feedback_stream",
     views=["feedback_log", "ml_dataset"],
     sql=f"WITH {FEEDBACK} SELECT * FROM fb",
 )
 def feedback_streamed(v):
-    log, target = scratch_path(v.spark, "log"), scratch_path(v.spark, "feedback")
-    _write_log(v, log)
-    feedback_stream.sync_feedback(
-        v.spark, log, v.ml_dataset, target, scratch_path(v.spark, "checkpoint")
-    ).awaitTermination()
+    target, _ = _streamed(v)
     return v.spark.read.parquet(target).select(
         "ml_dataset_id", "model_prediction", "model_confidence", "human_label", "feedback_type"
     )
 
 
+@query(
+    "feedback_stream_verified",
+    views=["feedback_log", "ml_dataset"],
+    sql=f"""WITH {FEEDBACK} SELECT id, CAST(CASE WHEN id IN (SELECT ml_dataset_id FROM fb) THEN 1 ELSE is_verified END AS INT) AS is_verified,
+ CAST(CASE WHEN id IN (SELECT ml_dataset_id FROM fb) THEN 0 ELSE needs_review END AS INT) AS needs_review FROM ml_dataset""",
+)
+def feedback_stream_verified(v):
+    _, marks = _streamed(v)
+    return feedback_stream.verified_dataset(v.ml_dataset, marks).select(
+        "id", F.col("is_verified").cast("int"), F.col("needs_review").cast("int")
+    )
+
+
 @query(
     "new_lots_stream",
     views=["auction_data"],

@@ -56,12 +56,13 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return parsed_lines(spark.read.text(path), schema)
 
 
-def parsed_lines(lines: DataFrame, schema: str) -> DataFrame:
-    """The fields of ``schema`` from lines of JSON in ``value``. A field that cannot be read as its type is null; numbers may be written as
+def parsed_lines(lines: DataFrame, schema: str, keep: list[str] | None = None) -> DataFrame:
+    """The fields of ``schema`` from lines of JSON in ``value``, beside the columns to ``keep``. A field that cannot be read as its type is null; numbers may be written as
     text. Only lines that are not JSON objects are dropped."""
-    fields = lines.select(F.from_json("value", "map<string,string>").alias("fields")).where("fields IS NOT NULL AND size(fields) > 0")
+    keep = keep or []
+    fields = lines.select(F.from_json("value", "map<string,string>").alias("fields"), *keep).where("fields IS NOT NULL AND size(fields) > 0")
     wanted = T.StructType.fromDDL(schema)
-    return fields.select(*[F.col("fields").getItem(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
+    return fields.select(*[F.col("fields").getItem(f.name).try_cast(f.dataType).alias(f.name) for f in wanted], *keep)
 
 
 def read_cluster_results(spark: SparkSession, path: str) -> DataFrame:

@@ -7,17 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hoardline import schemas
-from hoardline.operators.feedback import align_logs, verified_feedback
+from hoardline.operators.feedback import align_logs, mark_ids, verified_feedback, verified_ids
 from hoardline.sources.files import parsed_lines
 
 EVENT_KEY = ["filename", "type", "timestamp"]
 ENTRY = [*EVENT_KEY, "corrected_label", "label"]  # two answers for one file are two entries
 
 
-def read_log_stream(spark: SparkSession, path: str) -> DataFrame:
-    return parsed_lines(spark.readStream.text(path), schemas.FEEDBACK)
-
-
 def with_kind(log: DataFrame) -> DataFrame:
     """``log`` with ``type`` taken from the fields where the entry does not say it."""
     guessed = F.when(F.col("corrected_label").isNotNull(), "correction").when(F.col("label").isNotNull(), "confirmation")
@@ -38,33 +34,48 @@ def feedback_rows(log: DataFrame, dataset: DataFrame, match: str = "basename") -
 
 
 def sync_feedback(
-    spark: SparkSession, log_path: str, dataset: DataFrame, target: str, checkpoint: str
+    spark: SparkSession,
+    log_path: str,
+    dataset: DataFrame,
+    target: str,
+    checkpoint: str,
+    *,
+    marks: str | None = None,
+    remember: str = "30 days",
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Append the feedback of all new log files to ``target``.
+    """Append the feedback of all new log files to ``target`` and, in ``marks``, the rows it verifies.
 
-    Each micro-batch writes its own folder, named by the batch id, so a batch that is run again after a
-    failure replaces its own output instead of adding to it. Entries that an earlier batch has already
-    stored are left out by their key and label; the stored entries are read for that in each batch.
+    Entries are told apart by their key and label. The stream's keyed state holds those of files that
+    arrived within ``remember``, by the files' time and not by that of the entries, so an entry that a log reports late still counts, one
+    that is delivered again within that time does not, and the state stays bounded. No stored feedback is
+    read again. Each micro-batch writes folders of its own, named by the batch id, so a batch that is run
+    again after a failure replaces its output instead of adding to it.
     """
-    entries = read_log_stream(spark, log_path)
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    lines = reader.format("text").load(log_path).select("value", F.col("_metadata.file_modification_time").alias("arrived"))
+    entries = with_kind(parsed_lines(lines, schemas.FEEDBACK, keep=["arrived"]))
+    fresh = entries.withWatermark("arrived", remember).dropDuplicatesWithinWatermark(ENTRY).drop("arrived")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = with_kind(batch).dropDuplicates(ENTRY)
-        if batch_id > 0:
-            stored = batch.sparkSession.read.parquet(target).where(F.col("batch") < batch_id)
-            known = stored.select(*[F.col(c).alias(f"_{c}") for c in EVENT_KEY], F.col("human_label").alias("_label")).distinct()
-            label = F.when(F.col("type") == "correction", F.col("corrected_label")).otherwise(F.col("label"))
-            same = label.eqNullSafe(F.col("_label"))
-            for c in EVENT_KEY:
-                same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
-            fresh = fresh.join(known, same, "left_anti")
-        keyed = split_log(fresh, EVENT_KEY[1:])
-        rows = verified_feedback(keyed, dataset, keep=EVENT_KEY)
-        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        rows = verified_feedback(split_log(batch, EVENT_KEY[1:]), dataset, keep=EVENT_KEY)
+        folder = f"{target}/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(folder)
+        if marks:
+            stored = batch.sparkSession.read.schema(rows.schema).parquet(folder)
+            verified_ids(stored).write.mode("overwrite").parquet(f"{marks}/batch={batch_id}")
 
     return (
-        entries.writeStream.foreachBatch(write)
+        fresh.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def verified_dataset(dataset: DataFrame, marks: str) -> DataFrame:
+    """``dataset`` with the rows marked verified that any batch of the stream has named."""
+    ids = dataset.sparkSession.read.schema("id long, batch long").parquet(marks).select("id")
+    return mark_ids(dataset, ids)

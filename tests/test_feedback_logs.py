@@ -2,7 +2,7 @@
 
 from hoardline import schemas
 from hoardline.sources.files import read_json_lines
-from hoardline.streaming.feedback import feedback_rows, split_log, sync_feedback
+from hoardline.streaming.feedback import feedback_rows, split_log, sync_feedback, verified_dataset
 
 LINES = [
     '{"timestamp": 1, "filename": "a.jpg", "original_prediction": "greek", "original_confidence": "0.91", "corrected_label": "roman"}',
@@ -38,3 +38,20 @@ def test_stream_stores_each_answer_once(spark, frame, tmp_path):
         sync_feedback(spark, *paths).awaitTermination()
     stored = spark.read.parquet(f"file://{tmp_path}/out").collect()
     assert sorted(r.human_label for r in stored) == ["greek", "islamic", "roman"]
+
+
+def test_batches_mark_rows_and_keep_state(spark, frame, tmp_path):
+    """Three files, one a batch: the second repeats the first, the third holds an entry older than all."""
+    dataset = frame("id long, image_path string, is_verified int, needs_review int", (7, "raw/a.jpg", 0, 1), (8, "raw/b.jpg", 0, 1), (9, "raw/c.jpg", 0, 1))
+    late = '{"timestamp": -5, "filename": "b.jpg", "label": "roman", "confidence": 0.4}'
+    for lines in (LINES[:2], LINES[:2] + LINES[:1], [late]):
+        write(tmp_path / "log", lines)
+    out, marks = f"file://{tmp_path}/out", f"file://{tmp_path}/marks"
+    query = sync_feedback(spark, f"file://{tmp_path}/log", dataset, out, f"file://{tmp_path}/state", marks=marks, files_per_batch=1)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+    assert any(s["operatorName"] == "dedupeWithinWatermark" for p in query.recentProgress for s in p["stateOperators"])
+    stored = spark.read.parquet(out).collect()
+    assert sorted((r.ml_dataset_id, r.human_label) for r in stored) == [(7, "greek"), (7, "roman"), (8, "roman")]
+    got = {r.id: (r.is_verified, r.needs_review) for r in verified_dataset(dataset, marks).collect()}
+    assert got == {7: (1, 0), 8: (1, 0), 9: (0, 1)}

@@ -256,3 +256,19 @@ def test_perceptual_hash(spark):
                 low[u, w] = cu @ image.astype(np.float64) @ cw
         bits = "".join("1" if x > np.median(low) else "0" for x in low.ravel())
         assert got[i] == format(int(bits, 2), "016x")
+
+
+def test_search_opens_only_wanted_partitions(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(60, 8))
+    periods = ["greek", "greek imperial", "roman", None]
+    corpus = spark.createDataFrame([(i, [float(x) for x in v], periods[i % 4]) for i, v in enumerate(vectors)], "id long, embedding array<double>, period string")
+    corpus.write.partitionBy("period").parquet(f"file://{tmp_path}/store")
+    store = spark.read.parquet(f"file://{tmp_path}/store")
+    asked = spark.createDataFrame([(1, [float(x) for x in vectors[0]], "greek"), (2, [float(x) for x in vectors[2]], "roman"), (3, [1.0] * 8, None), (4, [1.0] * 8, "celtic")], "query_id long, embedding array<double>, period string")
+    found = {}
+    for r in search.search_partitions(asked, store, 50).collect():
+        found.setdefault(r["query_id"], set()).add(r["neighbor_id"])
+    assert found == {1: set(range(0, 60, 4)), 2: set(range(2, 60, 4))}
+    plan = search.wanted_partitions(asked, store, "period", "period")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan

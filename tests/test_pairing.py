@@ -159,3 +159,28 @@ def test_box_is_clamped(frame):
         box_with_margin(F.lit(5), F.lit(90), F.lit(50), F.lit(20), F.lit(100), F.lit(100)).alias("b")
     ).first()["b"]
     assert tuple(row) == (0, 84, 61, 16)
+
+
+def test_ranges_of_any_length(spark, frame):
+    import random
+
+    rng = random.Random(7)
+    ranges = [("h", "s", 1, 10**12, "wide"), ("h", "s", -5, 3, "low"), ("h", "s", 0, (1 << 63) - 1, "all"), ("g", "s", 9, 8, "none")]
+    for i in range(60):
+        a = rng.choice([rng.randrange(100), rng.randrange(10**6), rng.randrange(10**13)])
+        ranges.append(("h", "s", a, a + rng.choice([0, 31, 32, 1000, 10**5, 10**9]), f"r{i}"))
+    numbers = sorted({x for _, _, a, b, _ in ranges for x in (a, b, a - 1, b + 1) if x < 1 << 63} | {0, 31, 32, 33, 1023, 1024})
+    lots = [(i, "h", "s", str(n)) for i, n in enumerate(numbers)] + [(900, "h", "s", "x"), (901, "h", "s", None), (902, None, "s", "5"), (903, "g", "s", "8"), (904, "h", "s", "5"), (905, "h", "s", "5")]
+    left = frame("id long, auction_house string, sale_id string, lot_number string", *lots)
+    right = frame("auction_house string, sale_id string, lot_start long, lot_end long, period string", *ranges)
+    wanted = []
+    for i, h, s, n in lots:
+        n = int(n) if n and n.lstrip("-").isdigit() else None
+        hits = [p for rh, rs, a, b, p in ranges if n is not None and h == rh and s == rs and a <= n <= b]
+        wanted += [(i, p) for p in hits or [None]]
+    got = [(r["id"], r["auction_period"]) for r in export.with_lot_range(left, right).collect()]
+    assert sorted(got, key=str) == sorted(wanted, key=str)
+    first = {r["id"]: r["auction_period"] for r in export.with_lot_range(left, right, first_range_only=True).collect()}
+    assert len(first) == len(lots) and first[904] == "all" and first[903] is None
+    pieces = right.select(F.size(export.range_pieces(F.col("lot_start"), F.col("lot_end"))).alias("n")).agg(F.max("n")).first()[0]
+    assert pieces <= 62 * 13

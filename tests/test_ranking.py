@@ -37,7 +37,7 @@ def test_null_groups_are_ranked(frame):
 
 def test_ids_are_dense_and_ordered(spark):
     rows = spark.range(1000).select((F.col("id") * 977 - 400_000).alias("id"))
-    got = ranking.id_row_number(rows, "r", "id", width=1000).orderBy("id").collect()
+    got = ranking.id_row_number(rows, "r", "id").orderBy("id").collect()
     assert [r["r"] for r in got] == list(range(1, 1001))
 
 
@@ -90,3 +90,21 @@ def test_class_weights(frame):
     rows = [(i, "a") for i in range(30)] + [(99, "b")]
     got = {r["period"]: r["weight"] for r in splits.class_weights(frame("id long, period string", *rows), "period").collect()}
     assert got["b"] == 10.0 and abs(got["a"] - 31 / 60) < 1e-12
+
+
+def test_sparse_keys_are_ranked_without_one_window(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("id"))
+    ranked = ranking.id_row_number(rows, "r", "id")
+    assert [r["r"] for r in ranked.orderBy("id").collect()] == list(range(1, 5001))
+    plan = ranked._jdf.queryExecution().toString()
+    assert "windowspecdefinition(id" not in plan.split("Physical Plan")[1] and "_part" in plan
+    assert ranking.id_row_number(rows.limit(0), "r", "id").count() == 0
+
+
+def test_label_indexes(spark):
+    from hoardline.operators import export, splits
+
+    rows = spark.createDataFrame([("b", "x"), ("a", "x"), ("b", None), ("", "unknown"), ("c", "w")], "p string, d string")
+    assert sorted(map(tuple, splits.label_index(rows, "p").collect())) == [("a", 0), ("b", 1), ("c", 2)]
+    got = sorted(map(tuple, export.label_mapping(rows, ["p", "d"]).collect()))
+    assert got == [("d", "w", 0), ("d", "x", 1), ("p", "a", 0), ("p", "b", 1), ("p", "c", 2)]
