@@ -58,7 +58,7 @@ def wanted_partitions(queries: DataFrame, corpus: DataFrame, partition: str, wan
     listed among the files to read. The wanted values are sent to all tasks only after a row-limited read has shown
     that they are few; beyond that the join is left to Spark."""
     # Folder values are never empty texts; Spark prunes at run time only for conditions that may leave something out.
-    values = queries.select(F.col(wanted).alias("_wanted")).where(F.col("_wanted").cast("string") != "").distinct()
+    values = queries.select(F.col(wanted).alias("_wanted")).where(F.length(F.col("_wanted").cast("string")) > 0).distinct()
     few = len(values.limit(MAX_WANTED + 1).take(MAX_WANTED + 1)) <= MAX_WANTED
     return corpus.join(F.broadcast(values) if few else values, F.col(partition) == F.col("_wanted"), "left_semi")
 
