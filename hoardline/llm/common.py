@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +30,38 @@ def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]):
     return run
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers serve one task after the other and keep what the largest one took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, giving memory back when a task ends."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """``wanted`` with underscores in front until none is a column of ``df``, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def binary_values(column: pa.Array) -> list[bytes]:
     """A binary column as Python bytes; nulls become empty."""
     return [b"" if v is None else v for v in column.to_pylist()]
@@ -61,6 +96,11 @@ def span_text(spans: Column) -> Column:
     )
 
 
+def row_hash(*values: Column) -> Column:
+    """A 64-bit key of texts; null and the text "null" differ as xxhash64 skips nulls in order."""
+    return F.xxhash64(*[F.coalesce(v, F.lit("\x00")) for v in values])
+
+
 def row_key(df: DataFrame, *columns: str) -> Column:
-    """A 64-bit key of a row's content; null and the text "null" differ as xxhash64 skips nulls in order."""
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
+    """:func:`row_hash` of a row's columns."""
+    return row_hash(*[F.col(c).cast("string") for c in columns])

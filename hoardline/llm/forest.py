@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoardline.llm.common import binary_values, by_batch, list_parts, mix64, row_key, text_or_empty
+from hoardline.llm.common import binary_values, by_batch, list_parts, mix64, row_key, text_or_empty, tidy
 from hoardline.llm.subspaces import Labels
 from hoardline.operators.components import connected_components
 from hoardline.session import cut_lineage
@@ -105,7 +105,7 @@ def _signed(rows: DataFrame, words: int, values: int) -> DataFrame:
 
         yield from by_batch(one)(batches)
 
-    return rows.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, cls long, sig array<int>")
+    return rows.select("doc_id", "row", "text").mapInArrow(tidy(run), "doc_id long, row long, cls long, sig array<int>")
 
 
 def _prefixes(classes: DataFrame, depth: int, trees: int, width: int) -> DataFrame:
@@ -290,7 +290,7 @@ def join(
         return pa.RecordBatch.from_arrays(arrays, ["cls", "comp", "copies", "hashes"])
 
     carriers = rows.join(open_, F.col("row") == F.col("_row")).dropDuplicates(["cls"]).select("cls", "comp", "copies", "text")
-    texts = carriers.mapInArrow(by_batch(sets), "cls long, comp long, copies long, hashes array<long>")
+    texts = carriers.mapInArrow(tidy(by_batch(sets)), "cls long, comp long, copies long, hashes array<long>")
     tiles, bucket = _bucketed(_tiled(texts, ["comp"], counts, tile), ["comp", "left_part", "right_part"], tile)
     found = cut_lineage(tiles.groupBy(bucket).applyInArrow(_verified(threshold), "u long, v long, n long"), "forest-links")
     links = found.where("n > 0").groupBy(F.col("u").alias("_cls")).agg(F.sum("n").alias("_links"))

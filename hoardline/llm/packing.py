@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoardline.llm.common import text_or_empty
+from hoardline.llm.common import text_or_empty, tidy
 from hoardline.operators import ranking
 from hoardline.session import cut_lineage
 
@@ -159,7 +159,7 @@ def pieces(
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def _pair(left: np.ndarray, room: int) -> tuple[int, int]:

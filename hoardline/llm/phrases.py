@@ -17,7 +17,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoardline.llm.common import mix64, text_or_empty
+from hoardline.llm.common import mix64, text_or_empty, tidy
 from hoardline.operators.ranking import first_rows
 from hoardline.session import cut_lineage, scratch_path
 
@@ -26,7 +26,7 @@ LEAST = 30
 SHARDS = 2
 SLOT_BITS = 24  # one byte each: what a scan is sent, whatever the corpus
 NEVER = 255
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 TOP = 2000
 CONTAINED = (100, 80)  # a phrase goes if 100 times a longer one's count is at least 80 times its own
 SCALE = 2_000_000
@@ -228,7 +228,7 @@ def _scan(shard: DataFrame, step: int, shards: int, table, bits: int, longest: i
                         if not open_ones.any():
                             break
 
-    return shard.mapInArrow(run, COUNT_SCHEMA)
+    return shard.mapInArrow(tidy(run), COUNT_SCHEMA)
 
 
 def _slots_of(phrases: DataFrame, bits: int) -> DataFrame:

@@ -12,12 +12,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from hoardline.llm.common import row_key, span_text, text_or_empty
+from hoardline.llm.common import free_names, row_hash, row_key, span_text, text_or_empty
 from hoardline.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
 NEAR = 64  # characters looked at on each side of a value
+RUN = 128  # matches that are gathered in one go
 START = "\x02"  # the word before a text's first
 
 # The stated patterns. Possessive repeats and look-behinds change no match; they keep long runs linear and off the stack.
@@ -83,15 +85,36 @@ def _collected(text: Column, pattern: str, kind: str, item, empty: str) -> Colum
     behind = F.zip_with(F.slice(gaps, F.lit(2), n), F.concat(F.slice(matches, F.lit(2), n), none), lambda h, m: F.struct(h.alias("h"), F.substring(m, 1, NEAR).alias("next")))
     zipped = F.zip_with(pairs, behind, lambda x, y: F.struct(x["m"].alias("m"), x["g"].alias("g"), y["h"].alias("h"), y["next"].alias("next")))
 
+    ends = F.transform(matches, lambda m: F.substring(m, -NEAR, NEAR))
+    zipped = F.zip_with(zipped, F.concat(none, ends), lambda x, p: F.struct(x["m"].alias("m"), x["g"].alias("g"), x["h"].alias("h"), x["next"].alias("next"), p.alias("prev")))
+    zipped = F.slice(zipped, F.lit(1), n)
+
     def add(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["g"])
-        before = F.substring(F.concat(state["last"], F.substring(x["g"], -NEAR, NEAR)), -NEAR, NEAR)
+        before = F.substring(F.concat(x["prev"], F.substring(x["g"], -NEAR, NEAR)), -NEAR, NEAR)
         made = item(start, x["m"], before, F.substring(F.concat(F.substring(x["h"], 1, NEAR), x["next"]), 1, NEAR))
         items = F.when(made.isNotNull(), F.concat(state["items"], F.array(made))).otherwise(state["items"])
-        return F.struct((start + F.length(x["m"])).cast("long").alias("at"), items.cast(empty).alias("items"), F.substring(x["m"], -NEAR, NEAR).alias("last"))
+        return F.struct((start + F.length(x["m"])).cast("long").alias("at"), items.cast(empty).alias("items"))
+
+    def whole(z: Column) -> Column:
+        """Items of all matches, run by run of ``RUN`` matches, so that no growing array is copied for each of them."""
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(z) - 1) / RUN).cast("int")), lambda i: F.slice(z, i * RUN + 1, F.lit(RUN)))
+        return _let(runs, lambda r: _let(_offsets(r), lambda at: F.flatten(F.zip_with(r, at, lambda run, first: F.aggregate(
+            run, F.struct(first.alias("at"), F.array().cast(empty).alias("items")), add, lambda s: s["items"])))))
+
+    found = F.when(n > 0, _let(zipped, whole))
+    return F.coalesce(found, F.array().cast(empty))
+
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(empty).alias("items"), F.lit("").alias("last"))
-    return F.when(F.size(matches) > 0, F.aggregate(zipped, start, add, lambda s: s["items"])).otherwise(F.array().cast(empty))
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _offsets(runs: Column) -> Column:
+    """Where the first text of each run starts: the lengths of the runs before it, added up."""
+    sizes = F.transform(runs, lambda run: F.aggregate(run, F.lit(0).cast("long"), lambda t, x: t + F.length(x["g"]) + F.length(x["m"])))
+    return F.aggregate(sizes, F.array(F.lit(0).cast("long")), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)), lambda done: F.slice(done, F.lit(1), F.size(done) - 1))
 
 
 def base_spans(text: Column) -> Column:
@@ -212,22 +235,20 @@ def digest(found: DataFrame) -> DataFrame:
 
 def masked(documents: DataFrame, settings: Settings | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``documents`` with every span of ``find`` in ``text_column`` replaced by its kind in angle brackets; overlapping spans are
-    replaced as one, by the kind of the first. Null texts stay null; all columns and rows stay."""
-    spans = find(documents, settings, id_column, text_column)
-    spans = spans.select(F.col("row").alias("_row"), F.array_sort(F.concat("base", "added")).alias("_spans")).where(F.size("_spans") > 0).dropDuplicates(["_row"])
-    keyed = documents.withColumn("_text", text_or_empty(text_column)).withColumn("_id", F.col(id_column).cast("long"))
-    keyed = keyed.withColumn("_own", row_key(keyed, "_id", "_text"))
+    replaced as one, by the kind of the first. Null and empty texts stay as they are, and so do all other columns, whatever their names, and
+    all rows, repeated ones too; an empty table stays empty."""
+    key, own, marks, done = free_names(documents, "_key", "_own", "_marks", "_done")
+    spans = find(documents, settings, id_column, text_column).select("row", F.array_sort(F.concat("base", "added")).alias("spans"))
+    spans = spans.where(F.size("spans") > 0).dropDuplicates(["row"]).select("row", F.posexplode("spans").alias("pos", "s"))
+    before = Window.partitionBy("row").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("at", F.coalesce(F.max("s.end").over(before), F.lit(0)))  # where the spans before end
+    mark = F.when(F.col("s.start") >= F.col("at"), F.struct("pos", "at", "s.start", "s.kind"))
+    replaced = spans.groupBy(F.col("row").alias(key)).agg(F.sort_array(F.collect_list(mark)).alias(marks), F.max("s.end").alias(done))
     text = F.col(text_column)
-
-    def add(state: Column, x: Column) -> Column:
-        fresh = x["start"] >= state["at"]
-        gap = F.substring(text, (state["at"] + 1).cast("int"), (x["start"] - state["at"]).cast("int"))
-        parts = F.when(fresh, F.concat(state["parts"], F.array(gap, F.concat(F.lit("<"), x["kind"], F.lit(">"))))).otherwise(state["parts"])
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), parts.alias("parts"))
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-    done = F.aggregate("_spans", start, add)
-    rest = F.substring(text, (done["at"] + 1).cast("int"), F.length(text))
-    replaced = F.when(F.col("_spans").isNull() | text.isNull(), text).otherwise(F.concat(F.array_join(done["parts"], ""), rest))
-    joined = keyed.join(spans, F.col("_own") == F.col("_row"), "left")
-    return joined.select(*[replaced.alias(c) if c == text_column else F.col(c) for c in documents.columns])
+    # Names of the input are read before any is added, so none can be mistaken for a helper column.
+    own_key = row_hash(F.col(id_column).cast("long").cast("string"), text_or_empty(text_column))
+    joined = documents.withColumn(own, own_key).join(replaced, F.col(own) == F.col(key), "left")
+    parts = F.transform(marks, lambda m: F.concat(F.substring(text, (m["at"] + 1).cast("int"), (m["start"] - m["at"]).cast("int")), F.lit("<"), m["kind"], F.lit(">")))
+    rest = F.substring(text, (F.col(done) + 1).cast("int"), F.length(text))
+    new = F.when(F.col(marks).isNull() | text.isNull(), text).otherwise(F.concat(F.array_join(parts, ""), rest))
+    return joined.select(*[new.alias(c) if c == text_column else F.col(f"`{c}`") for c in documents.columns])

@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoardline.llm.common import by_batch, list_parts, mix64, row_key, text_or_empty, uniforms
+from hoardline.llm.common import by_batch, give_back, list_parts, mix64, row_key, text_or_empty, tidy, uniforms
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHARPNESS = 1.0  # 0: all segmentations alike; large: the likeliest only
-BLOCK_CHARS = 1 << 19
+BLOCK_CHARS = 1 << 17
 CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 
 
@@ -416,6 +416,7 @@ def encode(
             drawn = sampler.block(rows.column(2).to_pylist(), keys)
             flat = [s for row in drawn for s in row]
             ids = [sampler.ids(s[0]) for s in flat]
+            sampler.lattices = None
             values = np.concatenate(ids) if ids else np.empty(0, np.int32)
             cuts = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int64)
             parts = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, pa.int32()))]
@@ -433,10 +434,12 @@ def encode(
                 done = sizes[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(sizes, done + BLOCK_CHARS, side="right")))
                 yield block(batch, start, stop)
+                if sizes[stop - 1] - done > 8 * BLOCK_CHARS:
+                    give_back()  # after a very long text
                 start = stop
 
     source = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    return source.select("doc_id", row_key(source, "doc_id", "text").alias("key"), "text").mapInArrow(run, schema)
+    return source.select("doc_id", row_key(source, "doc_id", "text").alias("key"), "text").mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, ids_column: str = "ids", vocab: Vocabulary | None = None) -> DataFrame:
@@ -456,7 +459,7 @@ def decode(encoded: DataFrame, ids_column: str = "ids", vocab: Vocabulary | None
         yield from by_batch(one)(batches)
 
     source = encoded.withColumn(ids_column, F.coalesce(F.col(ids_column), F.array().cast("array<int>"))).drop("decoded")
-    return source.select(*columns, ids_column).mapInArrow(run, schema)
+    return source.select(*columns, ids_column).mapInArrow(tidy(run), schema)
 
 
 def drawn(documents: DataFrame, **options) -> DataFrame:

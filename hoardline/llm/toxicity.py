@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoardline.llm.common import by_batch, list_parts, mix64, text_or_empty
+from hoardline.llm.common import by_batch, list_parts, mix64, text_or_empty, tidy
 from hoardline.session import cut_lineage
 
 BITS = 18
@@ -224,7 +224,7 @@ def _terms_column(documents: DataFrame, columns: list[str]) -> DataFrame:
         arrays = [batch.column(c) for c in columns] + [pa.array(found, pa.list_(pa.int32()))]
         return pa.RecordBatch.from_arrays(arrays, [*columns, "terms"])
 
-    return documents.mapInArrow(by_batch(one), schema)
+    return documents.mapInArrow(tidy(by_batch(one)), schema)
 
 
 def _prepared(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -264,7 +264,7 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
         yield pa.RecordBatch.from_arrays([pa.array([machine.bias]), *(pa.array([p], pa.binary()) for p in parts)], ["bias", "terms", "weights", "factors"])
 
     fitted = rows.coalesce(1) if rows.rdd.getNumPartitions() == 1 else rows.repartition(1)
-    row = fitted.mapInArrow(fit_all, "bias double, terms binary, weights binary, factors binary").first()
+    row = fitted.mapInArrow(tidy(fit_all), "bias double, terms binary, weights binary, factors binary").first()
     machine = Machine(row.bias, np.zeros(1 << BITS, np.float32), np.zeros((1 << BITS, s.factors), np.float32))
     used = np.frombuffer(row.terms, np.int32)
     machine.weights[used] = np.frombuffer(row.weights, np.float32)
@@ -294,7 +294,7 @@ def with_scores(rows: DataFrame, machine: Machine, text_column: str) -> DataFram
 
         yield from by_batch(one)(batches)
 
-    return rows.select(*[f.name for f in columns]).mapInArrow(run, schema)
+    return rows.select(*[f.name for f in columns]).mapInArrow(tidy(run), schema)
 
 
 def accepted(documents: DataFrame, machine: Machine, text_column: str = "text", threshold: float = 0.5) -> DataFrame:

@@ -95,3 +95,21 @@ def test_small_tables(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert [r.spans for r in pii.digest(pii.find(df)).collect()] == [""] * len(rows)
     assert pii.masked(df).where(F.col("text").isNull()).count() == len(rows)
+
+
+def test_many_numbers_in_one_text_take_linear_time(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    def seconds(n):
+        text = " ".join(f"n{i} 192.168.{i % 250}.{i % 251}" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        row = df.select(pii.base_spans(F.col("text")).alias("b"), pii.tokens(F.col("text")).alias("t")).first()
+        assert [text[s.start : s.end] for s in row.b] == re.findall(r"(?<= )192[.][0-9.]+", text)
+        assert all(text[t.start : t.end] == t.value for t in row.t)
+        return time.perf_counter() - start
+
+    seconds(10)
+    assert seconds(20_000) < 12

@@ -1,6 +1,8 @@
 import collections
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from hoardline.llm import forest, pii, toxicity
 
@@ -74,3 +76,29 @@ def test_stages_take_effect(spark):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
     assert forest.THRESHOLD == 0.8 and forest.WORDS == 5
+
+
+CLASHES = ["row", "_row", "_text", "_own", "_id", "_spans", "_times", "_copy", "_key", "_marks", "_done", "_kept", "_taken", "source_size", "kind", "Score", "spans"]
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    docs = docs.select("*", *[F.concat(F.lit(c + ":"), F.col("doc_id")).alias(c) for c in CLASHES])
+    secret = docs.where("doc_id = 1").drop("text", "doc_id").selectExpr("77 AS doc_id", "'write to jane.doe@example.com today' AS text", "*").select(*docs.columns)
+    docs = docs.unionByName(secret)
+    for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.mask_personal_data, corpus_pipeline.mix_sources):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}:{1 if r.doc_id == 77 else r.doc_id}" for r in rows for c in CLASHES)
+        if stage is corpus_pipeline.mask_personal_data:
+            assert [r.text for r in rows if r.doc_id == 77] == ["write to <email> today"]
+            assert not any("jane.doe" in str(v) for r in rows for v in r)
+
+
+def test_empty_and_all_toxic_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    docs.selectExpr("doc_id", "1 AS quality", "1 AS toxic").write.parquet(f"file://{tmp_path}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs.where("text <> ''"), f"file://{tmp_path}").count() == 0
