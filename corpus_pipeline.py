@@ -2,47 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoardline.llm import forest, mixing, pii, segments, toxicity
-from hoardline.llm.common import row_key, text_or_empty
+from hoardline.llm.common import free_names, row_hash, text_or_empty
 from hoardline.session import cut_lineage
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", text_or_empty("text"))
-    return keyed.withColumn("_row", row_key(keyed, "_id", "_text")).drop("_id", "_text")
+def _row(docs: DataFrame) -> Column:
+    """The key by which the operators name a document of this id and text."""
+    return row_hash(F.col("doc_id").cast("long").cast("string"), text_or_empty("text"))
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine does not call toxic."""
+    """Documents that the factorization machine does not call toxic.
+
+    Null and empty texts are scored as texts without terms; repeated rows share their score; all columns stay,
+    whatever their names; an empty table, or one where all are toxic, gives none."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return toxicity.accepted(docs, toxicity.train(docs, labels))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word runs, directly or through others."""
-    kept = forest.join(docs).where("kept").select("row").distinct()
-    once = _keyed(docs).join(kept, F.col("_row") == F.col("row"), "left_semi").dropDuplicates(["_row"])
-    return once.select(*docs.columns)
+    """One document of each group that shares four fifths of its five-word runs, directly or through others.
+
+    The smallest id stays. Null and empty texts are one group; of rows that repeat an id and text one stays, with the other columns of
+    any of them; all columns stay, whatever their names; an empty table stays empty."""
+    key, name = free_names(docs, "_row", "_kept")
+    kept = forest.join(docs).where("kept").select(F.col("row").alias(name)).distinct()
+    once = docs.withColumn(key, _row(docs)).join(kept, F.col(key) == F.col(name), "left_semi").dropDuplicates([key])
+    return once.select(*_columns(docs))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind; ``n_chars`` follows the text."""
+    """Documents with personal data replaced by its kind; ``n_chars``, where there is one, follows the text.
+
+    Null and empty texts, repeated rows and further columns stay as they are; an empty table stays empty."""
     masked = pii.masked(docs)
     return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    times = mixing.mix(docs).where("taken > 0").groupBy("row").agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    taken = _keyed(docs).dropDuplicates(["_row"]).join(times, F.col("_row") == F.col("row"))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """Documents as often as the mix takes them.
+
+    Texts without a word are never taken; a null source is a source; rows that repeat an id and text are taken as often as
+    all of them together; all columns stay, whatever their names; an empty table stays empty."""
+    key, name, times, copy = free_names(docs, "_row", "_taken", "_times", "_copy")
+    each = F.sum(F.col("taken") / F.col("size")).cast("int")
+    taken = mixing.mix(docs).where("taken > 0").groupBy(F.col("row").alias(name)).agg(each.alias(times))
+    rows = docs.withColumn(key, _row(docs)).dropDuplicates([key]).join(taken, F.col(key) == F.col(name))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*_columns(docs))
 
 
 def sample_segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of each document."""
+    """Sampled segmentations of each document, a row each.
+
+    Null and empty texts have none; repeated rows repeat theirs; other columns than id and text are left out."""
     return segments.drawn(docs)
 
 
