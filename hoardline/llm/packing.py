@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
 BLOCK_CHARS = 1 << 20
-CACHE_WORDS = 300_000
-CACHE_IDS = 3_000_000
+CACHE_WORDS = 700_000
+CACHE_IDS = 7_000_000
 BUCKET_DIGITS = 2
 
 
@@ -52,14 +53,28 @@ class Numbered(dict):
 
 
 # Closing punctuation after a letter or digit and before a blank is a match of its own.
-CLOSING = re.compile(r"(?<=[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])([.,;:!?]+)(?=[ \n]|$)")
+CLOSING = re.compile(r"([.,;:!?](?<=[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF].)[.,;:!?]*)(?=[ \n]|$)")
+
+
+# Small letters that every normal form leaves alone: such a part is one word, and only its bytes' characters are to be looked up.
+PLAIN = re.compile("[a-z\u00DF-\u00F6\u00F8-\u00FF]+")
+PROBE = "Straße, don't été 12 a1! naïve... X-Ray (ok)? ÉCOLE"
+
+
+def byte_characters() -> dict[int, str]:
+    """The characters that stand for the bytes in byte-level vocabularies: visible Latin-1 ones for themselves, then those from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
 class Encoder:
-    """Ids of whole texts, looked up by the parts between blanks; parts not met before go through the tokenizer.
+    """Ids of whole texts, looked up by the parts between blanks; parts not met before go through the tokenizer, plain words
+    straight through its model.
 
     The vocabulary drops white space and case and none of its patterns reaches over a blank, so the ids of a text are those of its
-    parts in lower case. Texts that may hold special tokens, which are found before case is dropped, keep theirs."""
+    parts in lower case. Texts that may hold special tokens, which are found before case is dropped, keep theirs. A vocabulary of another
+    kind is refused."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks, not threads inside them, fill the cores
@@ -68,6 +83,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known = Numbered()
         self.lengths, self.values = array("q"), array("i")
+        self.characters = byte_characters()
+        if self.encode([PROBE])[0].tolist() != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
+            raise ValueError("the vocabulary must drop case and white space")
+
+    def _ids(self, part: str) -> list[int]:
+        named = part if part.isascii() else part.encode().decode("latin-1").translate(self.characters)
+        return [token.id for token in self.tokenizer.model.tokenize(named)]
 
     def _forget(self) -> None:
         """Drop the parts met last; those met first are the frequent ones."""
@@ -89,12 +111,15 @@ class Encoder:
             parts += CLOSING.sub(r" \1", text).replace("\n", " ").split(" ")
             ends[i] = len(parts)
         at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        for first in range(0, len(self.known.fresh), 2048):
-            for coded in self.tokenizer.encode_batch_fast(self.known.fresh[first : first + 2048], add_special_tokens=False):
-                ids = coded.ids
-                self.lengths.append(len(ids))
-                self.values.extend(ids)
-        self.known.fresh.clear()
+        fresh = self.known.fresh
+        plain = [PLAIN.fullmatch(part) is not None for part in fresh]
+        others = [part for part, is_plain in zip(fresh, plain, strict=True) if not is_plain]
+        coded = (c.ids for at in range(0, len(others), 2048) for c in self.tokenizer.encode_batch_fast(others[at : at + 2048], add_special_tokens=False))
+        for part, is_plain in zip(fresh, plain, strict=True):
+            ids = self._ids(part) if is_plain else next(coded)
+            self.lengths.append(len(ids))
+            self.values.extend(ids)
+        fresh.clear()
         lengths, values = np.array(self.lengths, np.int64), np.array(self.values, np.int32)
         starts = np.cumsum(lengths) - lengths
         taken = lengths[at]
@@ -103,6 +128,12 @@ class Encoder:
         return values[spots], np.append(0, stops)[ends]
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: loading the vocabulary and meeting its words takes as long as many texts do."""
+    return Encoder(path)
+
+
 def _blocks(texts: list[str]):
     start, chars = 0, 0
     for i, text in enumerate(texts):
@@ -132,11 +163,11 @@ def pieces(
     schema = "doc_id long, piece int, start long, length int, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def run(batches):
-        encoder = Encoder(path)
+        coder = encoder(path)
         for batch in batches:
             texts, doc_ids = batch.column(1).to_pylist(), batch.column(0)
             for first, last in _blocks(texts):
-                values, ends = encoder.encode(texts[first:last])
+                values, ends = coder.encode(texts[first:last])
                 rows, numbers, starts, lengths, sums, parts = [], [], [], [], [], []
                 for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True), first):
                     ids = np.append(values[a:b], np.int32(end_id)).astype("<u4")
