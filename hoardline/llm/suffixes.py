@@ -28,132 +28,169 @@ _BASE = 0x9E3779B97F4A7C15
 # ---- induced sorting ------------------------------------------------------------------------------------------------
 
 
-def suffix_array(symbols, alphabet: int) -> list[int]:
+def suffix_array(symbols, alphabet: int) -> np.ndarray:
     """The suffixes of ``symbols`` in order; they end with their only 0 and are below ``alphabet``."""
-    numbers = np.asarray(symbols, np.int64)
-    s = numbers.tolist()
+    s = np.asarray(symbols, np.int32)
     n = len(s)
     if n < 3:
-        return list(range(n - 1, -1, -1))
+        return np.arange(n - 1, -1, -1, dtype=np.int32)
     # A suffix is smaller than the next one if its first character that differs from the one behind it is smaller.
-    turn = np.sign(numbers[1:] - numbers[:-1])
+    turn = np.sign(s[1:] - s[:-1])
     differs = np.where(turn != 0, np.arange(n - 1), n)
     next_turn = np.minimum.accumulate(differs[::-1])[::-1]
-    marks = np.append(turn[next_turn] > 0, True)
-    smaller = marks.astype(np.uint8).tobytes()  # 1: the suffix is smaller than the next one
-    leftmost = (np.flatnonzero(marks[1:] & ~marks[:-1]) + 1).tolist()
-    sizes = np.bincount(numbers, minlength=alphabet).tolist()
-    starts, ends, total = [0] * alphabet, [0] * alphabet, 0
-    for c, size in enumerate(sizes):
-        starts[c] = total
-        total += size
-        ends[c] = total
-    order = _induced(s, smaller, leftmost, starts, ends)
+    smaller = np.append(turn[next_turn] > 0, True)
+    leftmost = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
+    sizes = np.bincount(s, minlength=alphabet)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    induced = _induced_by_buckets if _bucket_passes(s, sizes) * 32 < n else _induced_by_steps
+    order = induced(s, smaller, leftmost, starts, ends)
     # Name the substrings between leftmost-smaller positions in their order.
     chosen = np.zeros(n, bool)
     chosen[leftmost] = True
-    stop, names = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    stop, names = np.zeros(n, np.int32), np.zeros(n, np.int32)
     stop[leftmost] = np.append(leftmost[1:], n - 1) + 1
-    is_chosen = chosen.tobytes()
-    places = [i for i in order if is_chosen[i]]
-    order = np.array(places)
-    parts = [s[a:b] for a, b in zip(places, stop[order].tolist(), strict=True)]
-    names[order] = np.cumsum([0, *(a != b for a, b in zip(parts, parts[1:], strict=False))])
-    name = int(names[order[-1]])
+    places = order[chosen[order]]
+    names[places] = np.cumsum(_differs_from_last(s, places, stop[places] - places))
+    name = int(names[places[-1]])
     reduced = names[leftmost]
     if name + 1 == len(leftmost):
-        ranked = [0] * len(leftmost)
-        for place, value in enumerate(reduced.tolist()):
-            ranked[value] = place
+        ranked = np.empty(len(leftmost), np.int32)
+        ranked[reduced] = np.arange(len(leftmost))
     else:
         ranked = suffix_array(reduced, name + 1)
-    return _induced(s, smaller, [leftmost[i] for i in ranked], starts, ends)
+    return induced(s, smaller, leftmost[ranked], starts, ends)
+
+
+def _bucket_passes(s: np.ndarray, sizes: np.ndarray) -> int:
+    """An upper bound of the array passes that sorting by buckets takes: one for each symbol and each place in its longest run."""
+    edges = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+    longest = np.zeros(len(sizes), np.int64)
+    np.maximum.at(longest, s[edges], np.diff(np.append(edges, len(s))))
+    return len(sizes) + int(longest.sum())
+
+
+def _differs_from_last(s: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether each substring (place, size) has other symbols than the one before it; False for the first."""
+    other = np.append(False, sizes[1:] != sizes[:-1])
+    same = np.flatnonzero(~other)[1:]
+    if len(same):
+        length = sizes[same].astype(np.int64)
+        begins = np.cumsum(length) - length
+        inside = np.arange(int(length.sum())) - np.repeat(begins, length)
+        unlike = s[np.repeat(places[same], length) + inside] != s[np.repeat(places[same - 1], length) + inside]
+        other[same] = np.logical_or.reduceat(unlike, begins)
+    return other
+
+
+def _induced_by_buckets(s, smaller, seeds, starts, ends) -> np.ndarray:
+    """All suffixes, ordered as far as the order of ``seeds`` tells: larger ones from the left, then smaller ones from the right.
+    Each bucket is read in a few passes, for runs of its own symbol add to it while it is read."""
+    alphabet, sa = len(starts), np.empty(len(s), np.int32)
+    symbols = s.astype(np.uint16) if alphabet <= 1 << 16 else s  # short numbers are sorted by radix
+
+    def dealt(places):
+        """Places by symbol, in their order within one; each one's rank there; the symbols' counts."""
+        of = symbols[places]
+        order = np.argsort(of, kind="stable")
+        counts = np.bincount(of, minlength=alphabet)
+        return places[order], of[order], np.arange(len(places)) - np.repeat(np.cumsum(counts) - counts, counts), counts
+
+    placed, of, rank, counts = dealt(seeds)
+    first_seed = ends - counts
+    sa[first_seed[of] + rank] = placed
+    head, tail = starts.copy(), ends.copy()
+    used = np.flatnonzero(ends > starts).tolist()
+
+    def larger(read):
+        before = read[read > 0] - 1
+        placed, of, rank, counts = dealt(before[~smaller[before]])
+        sa[head[of] + rank] = placed
+        np.add(head, counts, out=head)
+
+    for c in used:
+        done = starts[c]
+        while done < head[c]:
+            done, read = head[c], sa[done : head[c]]
+            larger(read)
+        if first_seed[c] < ends[c]:
+            larger(sa[first_seed[c] : ends[c]])
+
+    def lesser(read):
+        before = read[::-1]
+        before = before[before > 0] - 1
+        placed, of, rank, counts = dealt(before[smaller[before]])
+        sa[tail[of] - 1 - rank] = placed
+        np.subtract(tail, counts, out=tail)
+
+    for c in reversed(used):
+        done = ends[c]
+        while done > tail[c]:
+            done, read = tail[c], sa[tail[c] : done]
+            lesser(read)
+        if starts[c] < head[c]:
+            lesser(sa[starts[c] : head[c]])
+    return sa
 
 
-def _induced(s, smaller, seeds, starts, ends):
-    """All suffixes, ordered as far as the order of ``seeds`` tells: larger ones from the left, then smaller ones from the right."""
+def _induced_by_steps(s, smaller, seeds, starts, ends) -> np.ndarray:
+    """The same, suffix by suffix: for alphabets or runs that are long beside the text."""
     sa = [-1] * len(s)
-    tail = ends[:]
-    for i in reversed(seeds):
-        c = s[i]
+    tail, symbols = ends.tolist(), s.tolist()
+    for i in reversed(seeds.tolist()):
+        c = symbols[i]
         tail[c] -= 1
         sa[tail[c]] = i
-    head = starts[:]
+    # By place: the symbol before it if a larger, or a smaller, suffix starts there; else -1, also for place -1.
+    nothing = np.full(1, -1, np.int32)
+    to_right = np.concatenate([nothing, np.where(smaller, -1, s)[:-1], nothing]).tolist()
+    to_left = np.concatenate([nothing, np.where(smaller, s, -1)[:-1], nothing]).tolist()
+    head = starts.tolist()
     for i in sa:  # grows to the right of the reader
-        if i > 0 and not smaller[i - 1]:
-            c = s[i - 1]
+        c = to_right[i]
+        if c >= 0:
             sa[head[c]] = i - 1
             head[c] += 1
-    tail = ends[:]
-    for at in range(len(sa) - 1, -1, -1):
-        i = sa[at] - 1
-        if i >= 0 and smaller[i]:
-            c = s[i]
+    tail = ends.tolist()
+    for i in reversed(sa):  # grows to the left of the reader
+        c = to_left[i]
+        if c >= 0:
             tail[c] -= 1
-            sa[tail[c]] = i
-    return sa
+            sa[tail[c]] = i - 1
+    return np.array(sa, np.int32)
 
 
-def common_prefixes(s: list[int], sa: list[int], limit: int) -> tuple[list[int], list[int]]:
+def common_prefixes(symbols, sa: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """In text order: the suffix before each suffix in the array (-1 for the first), and the length of their common prefix,
-    counted up to ``limit``."""
+    counted up to ``limit``.
+
+    Where a suffix and its neighbour both follow on the last ones and those began alike, their prefix is the last one without its
+    first symbol; so symbols are compared only at the end of each such run."""
+    s = np.asarray(symbols, np.int32)
     n = len(s)
-    before = [-1] * n
-    for a, b in zip(sa, sa[1:], strict=False):
-        before[b] = a
-    lengths, length = [0] * n, 0
-    for i in range(n):
-        j = before[i]
-        if j < 0:
-            length = 0
-            continue
-        while length < limit and s[i + length] == s[j + length]:
-            length += 1
-        lengths[i] = length
-        if length:
-            length -= 1
-    return before, lengths
-
-
-def _shared_parts(texts: list[bytes], length: int) -> list[tuple[int, int, int]]:
-    """(text, start, end) of the parts in which every short gram occurs twice or more, if they are long enough for a window.
-    A window that starts anywhere else too lies within such a part."""
-    gram = max(1, length // 4)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    if len(data) < length:
-        return []
-    powers = np.cumprod(np.append(np.uint64(1), np.full(len(data), _BASE, np.uint64)))
-    inverse = np.cumprod(np.append(np.uint64(1), np.full(len(data), pow(_BASE, -1, 1 << 64), np.uint64)))
-    sums = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1]))
-    hashes = (sums[gram:] - sums[:-gram]) * inverse[: len(data) - gram + 1]
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    spots = np.flatnonzero(owner[: len(hashes)] == owner[gram - 1 :])  # grams within one text
-    order = spots[np.argsort(hashes[spots], kind="stable")]
-    again = hashes[order][1:] == hashes[order][:-1]
-    shared = np.zeros(len(data) + 1, np.int8)
-    shared[order] = np.append(again, False) | np.append(False, again)
-    shared[-1] = 0
-    edges = np.flatnonzero(np.diff(np.append(0, shared)) | np.append(0, np.diff(np.append(owner, -1)) != 0))
-    parts = []
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if shared[a] and b - a >= length - gram + 1:
-            text = int(owner[a])
-            parts.append((text, a - int(starts[text]), b - 1 + gram - int(starts[text])))
-    return parts
+    before = np.full(n, -1, np.int32)
+    before[sa[1:]] = sa[:-1]
+    alike = (before >= 0) & (s == s[before])
+    follows = alike[:-1] & (before[1:] == before[:-1] + 1)
+    last = np.flatnonzero(np.append(~follows, True))
+    # Four symbols in a number, so that four are compared at once; the text ends with its only 0, so no prefix passes it.
+    padded = np.append(s, np.zeros(limit + 8, np.int32)).astype(np.uint64)
+    fours = padded[:-3] | padded[1:-2] << np.uint64(16) | padded[2:-1] << np.uint64(32) | padded[3:] << np.uint64(48)
+    tail = np.zeros(len(last), np.int64)
+    open_ = np.flatnonzero(alike[last])
+    for done in range(0, limit, 4):
+        if not len(open_):
+            break
+        apart = fours[last[open_] + done] ^ fours[before[last[open_]] + done]
+        same = sum(((apart & np.uint64((1 << 16 * k) - 1)) == 0).astype(np.int64) for k in (1, 2, 3)) + (apart == 0)
+        tail[open_] = done + same
+        open_ = open_[same == 4]
+    reach = np.repeat(last + tail, np.diff(np.append(-1, last)))
+    return before, np.minimum(reach - np.arange(n), limit)
 
 
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
-    """Per text, a mark for each of its windows that also starts anywhere else in ``texts``. Only the parts whose grams all recur are sorted."""
-    out = [np.zeros(max(0, len(t) - length + 1), bool) for t in texts]
-    parts = _shared_parts(texts, length)
-    for (text, start, _), marks in zip(parts, _repeated_in([texts[t][a:b] for t, a, b in parts], length), strict=True):
-        out[text][start : start + len(marks)] = marks
-    return out
-
-
-def _repeated_in(texts: list[bytes], length: int) -> list[np.ndarray]:
+    """Per text, a mark for each of its windows that also starts anywhere else in ``texts``."""
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     offsets = (np.cumsum(sizes) - sizes).tolist()
     symbols = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int64) + 2
@@ -162,11 +199,11 @@ def _repeated_in(texts: list[bytes], length: int) -> list[np.ndarray]:
     room = np.zeros(len(symbols), bool)
     for start, text in zip(offsets, texts, strict=True):
         room[start : start + max(0, len(text) - length + 1)] = True
-    before, lengths = common_prefixes(symbols.tolist(), suffix_array(symbols, 258), length)
-    hit = np.flatnonzero((np.array(lengths) >= length) & room)
+    before, lengths = common_prefixes(symbols, suffix_array(symbols, 258), length)
+    hit = np.flatnonzero((lengths >= length) & room)
     marks = np.zeros(len(symbols), bool)
     marks[hit] = True
-    marks[np.array(before)[hit]] = True
+    marks[before[hit]] = True
     return [marks[a : a + max(0, len(t) - length + 1)] for a, t in zip(offsets, texts, strict=True)]
 
 
@@ -248,10 +285,10 @@ RANGES = "array<struct<a:long,b:long>>"
 
 def repeated(source: DataFrame, length: int = LENGTH, variants: int = VARIANTS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``row, ranges``: for each key ``row`` of ``source`` (row, text as bytes) the first and last windows that also start elsewhere."""
-    every = _stretches(source, length)
+    every = cut_lineage(_stretches(source, length), "suffix-stretches")
     keys = every.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n"), F.min("body").alias("_low"), F.max("body").alias("_high"))
     keys = keys.where("_n > 1").select("_key", (F.col("_low") != F.col("_high")).alias("mixed"))
-    hits = cut_lineage(every.join(keys, F.col("key") == F.col("_key")).drop("_key"), "suffix-stretches")
+    hits = cut_lineage(every.join(keys, F.col("key") == F.col("_key")).drop("_key"), "suffix-hits")
     whole = hits.where("NOT mixed").select("row", F.col("first").alias("a"), F.col("last").alias("b"))
     # One text for each different stretch of the other keys.
     different = hits.where("mixed").groupBy("key", "body").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last")).alias("at"))

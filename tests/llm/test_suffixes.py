@@ -48,16 +48,29 @@ def test_against_counting_windows(spark, monkeypatch, seed, length, variants):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=str) == brute(data, length)
 
 
-def test_suffix_arrays():
+def check_array(s, alphabet):
+    sa = sx.suffix_array(s, alphabet)
+    assert sa.tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+    before, lengths = sx.common_prefixes(s, sa, 10)
+    for a, b in zip(sa, sa[1:]):
+        same = next(k for k in range(len(s)) if s[a + k] != s[b + k])
+        assert before[b] == a and lengths[b] == min(same, 10)
+
+
+@pytest.mark.parametrize("passes", [0, 1 << 40])  # always by buckets, always by steps
+def test_suffix_arrays(monkeypatch, passes):
+    monkeypatch.setattr(sx, "_bucket_passes", lambda *_: passes)
     rng = random.Random(0)
     for _ in range(400):
-        s = [rng.randint(1, rng.choice([1, 2, 5, 200])) for _ in range(rng.randint(0, 60))] + [0]
-        sa = sx.suffix_array(s, 201)
-        assert sa == sorted(range(len(s)), key=lambda i: s[i:])
-        before, lengths = sx.common_prefixes(s, sa, 10)
-        for a, b in zip(sa, sa[1:]):
-            same = next(k for k in range(len(s)) if s[a + k] != s[b + k])
-            assert before[b] == a and lengths[b] == min(same, 10)
+        check_array([rng.randint(1, rng.choice([1, 2, 5, 200])) for _ in range(rng.randint(0, 60))] + [0], 201)
+
+
+def test_suffix_arrays_of_longer_texts():
+    rng = random.Random(1)
+    passage = [rng.randint(1, 4) for _ in range(300)]
+    check_array([x for _ in range(6) for x in passage + [rng.randint(1, 4)]] * 2 + [0], 5)
+    check_array([1] * 900 + [2] * 700 + [1] * 900 + [0], 3)
+    check_array([x for i in range(400) for x in (2, 1 + i % 3, 3)] + [0], 4)
 
 
 def test_empty_table(spark):
