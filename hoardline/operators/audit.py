@@ -30,28 +30,43 @@ def issues(df: DataFrame, category: str, key: Column | str, details: Column) ->
     )
 
 
+Check = tuple[str, Column, Column]  # category, condition, details
+
+
+def findings(rows: DataFrame, checks: list[Check]) -> DataFrame:
+    """All findings of row-level checks from one scan: each row makes an array of what was found, which is then opened."""
+    found = [F.when(condition, F.struct(F.lit(category).alias("category"), details.alias("details"))) for category, condition, details in checks]
+    hit = rows.where(reduce(lambda a, b: a | b, [F.coalesce(condition, F.lit(False)) for _, condition, _ in checks]))
+    opened = hit.select(F.col("id").cast("long").alias("id"), F.inline(F.filter(F.array(*found), lambda f: f.isNotNull())))
+    return opened.select("category", "id", "details")
+
+
+def confidence_checks() -> list[Check]:
+    """Zero confidence with a period, and no period with a confidence above one half."""
+    details = F.concat(F.lit("period="), F.coalesce("period", F.lit("NULL")))
+    return [
+        ("CONFIDENCE_ZERO_WITH_PERIOD", (F.col("label_confidence") == 0) & has_text("period"), details),
+        ("NULL_PERIOD_HIGH_CONFIDENCE", F.col("period").isNull() & (F.col("label_confidence") > 0.5), details),
+    ]
+
+
 def confidence_issues(dataset: DataFrame) -> DataFrame:
-    """Zero confidence with a period, and no period with a confidence above one half; one scan."""
-    zero = (F.col("label_confidence") == 0) & has_text("period")
-    unset = F.col("period").isNull() & (F.col("label_confidence") > 0.5)
-    category = F.when(zero, "CONFIDENCE_ZERO_WITH_PERIOD").when(unset, "NULL_PERIOD_HIGH_CONFIDENCE")
-    return (
-        dataset.withColumn("category", category)
-        .where(F.col("category").isNotNull())
-        .select(
-            "category",
-            F.col("id").cast("long").alias("id"),
-            F.concat(F.lit("period="), F.coalesce("period", F.lit("NULL"))).alias("details"),
-        )
-    )
+    return findings(dataset, confidence_checks())
+
+
+def with_parent(rows: DataFrame, reference: str, parents: DataFrame) -> DataFrame:
+    """``rows`` with ``_parent``: the parent id that ``reference`` names, null if there is none."""
+    ids = parents.select(F.col("id").alias("_parent")).distinct()
+    return rows.join(ids, F.col(reference) == F.col("_parent"), "left")
+
+
+def orphan_check(reference: str, category: str) -> Check:
+    return category, F.col("_parent").isNull(), F.concat(F.lit(f"missing {reference}="), F.col(reference).cast("string"))
 
 
 def orphans(rows: DataFrame, reference: str, parents: DataFrame, category: str) -> DataFrame:
     """Rows whose ``reference`` no parent id matches."""
-    ids = parents.select(F.col("id").alias("_parent"))
-    lost = rows.join(ids, F.col(reference) == F.col("_parent"), "left_anti")
-    details = F.concat(F.lit(f"missing {reference}="), F.col(reference).cast("string"))
-    return issues(lost, category, "id", details)
+    return findings(with_parent(rows, reference, parents), [orphan_check(reference, category)])
 
 
 def duplicate_hashes(dataset: DataFrame) -> DataFrame:
@@ -73,10 +88,14 @@ def duplicate_hash_members(dataset: DataFrame) -> DataFrame:
     )
 
 
+def path_period_check() -> Check:
+    folder = parent_folder(F.col("image_path"))
+    wrong = F.col("period").isNotNull() & (F.col("period") != folder)
+    return "PATH_PERIOD_MISMATCH", wrong, F.concat_ws(" / ", folder, F.col("period"))
+
+
 def path_period_mismatches(dataset: DataFrame) -> DataFrame:
-    return dataset.withColumn("path_folder", parent_folder(F.col("image_path"))).where(
-        F.col("period").isNotNull() & (F.col("period") != F.col("path_folder"))
-    )
+    return dataset.withColumn("path_folder", parent_folder(F.col("image_path"))).where(path_period_check()[1])
 
 
 def path_period_counts(dataset: DataFrame) -> DataFrame:
@@ -85,22 +104,23 @@ def path_period_counts(dataset: DataFrame) -> DataFrame:
     )
 
 
+def metric_check() -> Check:
+    outside = reduce(lambda a, b: a | b, [(F.col(m) < 0) | (F.col(m) > 1) for m in METRICS])
+    return "INVALID_DETECTION_METRICS", outside, F.lit("score outside 0..1")
+
+
 def metric_issues(detections: DataFrame) -> DataFrame:
     """Detections with a score outside 0..1."""
-    outside = reduce(
-        lambda a, b: a | b, [(F.col(m) < 0) | (F.col(m) > 1) for m in METRICS]
-    )
-    return issues(
-        detections.where(outside),
-        "INVALID_DETECTION_METRICS",
-        "id",
-        F.lit("score outside 0..1"),
-    )
+    return findings(detections, [metric_check()])
+
+
+def flag_check() -> Check:
+    both = (F.col("needs_review") == 1) & (F.col("is_verified") == 1)
+    return "CONFLICTING_FLAGS", both, F.lit("needs_review and is_verified")
 
 
 def flag_issues(dataset: DataFrame) -> DataFrame:
-    both = dataset.where((F.col("needs_review") == 1) & (F.col("is_verified") == 1))
-    return issues(both, "CONFLICTING_FLAGS", "id", F.lit("needs_review and is_verified"))
+    return findings(dataset, [flag_check()])
 
 
 def bucket_counts(df: DataFrame, value: str, edges: list[tuple[float, str]], last: str) -> DataFrame:
@@ -148,26 +168,15 @@ def missing_files(rows: DataFrame, listing: DataFrame, roots: list[str]) -> Data
 
 
 def all_issues(dataset: DataFrame, detections: DataFrame, lots: DataFrame) -> DataFrame:
-    """The union of all row-level checks."""
-    mismatches = path_period_mismatches(dataset)
+    """The union of all checks: one scan of each table for its row-level checks, one more of the dataset for repeated hashes."""
+    repeated = F.concat(F.lit("copies="), F.col("copies").cast("string"))
     checks = [
-        confidence_issues(dataset),
-        orphans(dataset, "coin_detection_id", detections, "ORPHAN_ML_DATASET"),
-        orphans(detections, "auction_record_id", lots, "ORPHAN_DETECTION"),
-        issues(
-            duplicate_hashes(dataset),
-            "DUPLICATE_HASH",
-            "first_id",
-            F.concat(F.lit("copies="), F.col("copies").cast("string")),
-        ),
-        issues(
-            mismatches,
-            "PATH_PERIOD_MISMATCH",
-            "id",
-            F.concat_ws(" / ", "path_folder", "period"),
+        findings(
+            with_parent(dataset, "coin_detection_id", detections),
+            [*confidence_checks(), orphan_check("coin_detection_id", "ORPHAN_ML_DATASET"), path_period_check(), flag_check()],
         ),
-        metric_issues(detections),
-        flag_issues(dataset),
+        findings(with_parent(detections, "auction_record_id", lots), [orphan_check("auction_record_id", "ORPHAN_DETECTION"), metric_check()]),
+        issues(duplicate_hashes(dataset), "DUPLICATE_HASH", "first_id", repeated),
     ]
     return reduce(DataFrame.unionByName, checks)
 

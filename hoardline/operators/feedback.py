@@ -64,12 +64,68 @@ def match_by_suffix(entries: DataFrame, rows: DataFrame) -> DataFrame:
     return names.join(tails, F.col("filename") == F.col("_suffix")).drop("_suffix")
 
 
+def with_pattern(entries: DataFrame) -> DataFrame:
+    """``entries`` with their ``filename`` read as a pattern: ``_`` is any one character, ``%`` any characters, a backslash
+    makes the next character plain.
+
+    ``_like`` is the pattern with a ``%`` in front, ``_shape`` the distances from the end of the plain characters behind the last ``%``
+    and ``_key`` those characters; where there are none, ``_piece`` is the longest plain piece."""
+    tokens = F.regexp_extract_all(F.col("filename"), F.lit(r"(?s)(\\.|.)"), F.lit(0))
+    wild = lambda t: t.isin("_", "%")
+    plain = lambda t: F.substring(t, -1, 1)
+    quoted = lambda t: F.when(wild(t), t).when(plain(t).isin("_", "%", "\\"), F.concat(F.lit("\\"), plain(t))).otherwise(plain(t))
+    rows = entries.withColumn("_tokens", tokens)
+    like = F.concat(F.lit("%"), F.array_join(F.transform("_tokens", quoted), ""))
+    from_end = F.reverse("_tokens")
+    stop = F.array_position(from_end, "%")
+    tail = F.when(stop == 0, from_end).otherwise(F.slice(from_end, F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int")))
+    rows = rows.withColumn("_like", like).withColumn("_tail", F.transform(tail, lambda t, i: F.struct(t.alias("token"), i.alias("at"))))
+    kept = F.filter("_tail", lambda t: ~wild(t["token"]))
+    pieces = F.split(F.array_join(F.transform("_tokens", lambda t: F.when(wild(t), F.lit("\0")).otherwise(plain(t))), ""), "\0")
+    longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("size"), p.alias("piece"))))["piece"]
+    return (
+        rows.withColumn("_shape", F.transform(kept, lambda t: t["at"]))
+        .withColumn("_key", F.array_join(F.transform(kept, lambda t: plain(t["token"])), ""))
+        .withColumn("_piece", longest)
+        .drop("_tokens", "_tail")
+    )
+
+
+def match_by_pattern(entries: DataFrame, rows: DataFrame) -> DataFrame:
+    """Entries joined to the rows whose path ends with the file name as a pattern (``LIKE '%name'``).
+
+    A pattern fixes characters at certain distances from the end of the path: paths give the characters at the same places for each
+    set of distances that occurs, so this is an equality join. Patterns that end in ``%`` and wildcards fix none;
+    they meet paths through their longest plain piece, among all pieces of a path of the lengths that occur. Names that
+    are null or have no plain character match nothing. Names compare exactly, case included."""
+    patterns = with_pattern(entries.where(F.col("filename").isNotNull()))
+    anchored, loose = patterns.where(F.size("_shape") > 0), patterns.where((F.size("_shape") == 0) & (F.col("_piece") != ""))
+    path = F.col("image_path")
+    # The shapes, and lengths, of file names: far fewer than names, as names of one origin look alike.
+    shapes = anchored.agg(F.collect_set("_shape")).scalar()
+    sizes = loose.agg(F.collect_set(F.length("_piece"))).scalar()
+
+    letters = F.reverse(F.split(path, ""))
+    fits = F.filter("_shapes", lambda shape: F.array_max(shape) < F.size("_letters"))
+    ends = rows.withColumn("_shapes", shapes).withColumn("_letters", letters).select(*rows.columns, "_letters", F.explode(fits).alias("_at"))
+    ends = ends.withColumn("_end", F.array_join(F.transform("_at", lambda i: F.col("_letters")[i]), "")).drop("_letters")
+    same = (F.col("_key") == F.col("_end")) & (F.col("_shape") == F.col("_at")) & F.expr(r"image_path LIKE _like ESCAPE '\\'")
+    first = anchored.join(ends, same)
+
+    fitting = F.filter("_sizes", lambda n: n <= F.length(path))
+    cut = F.flatten(F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(path) - n + 1), lambda i: F.substring(path, i, n))))
+    parts = rows.withColumn("_sizes", sizes).select(*rows.columns, F.explode(F.array_distinct(cut)).alias("_part"))
+    second = loose.join(parts, (F.col("_piece") == F.col("_part")) & F.expr(r"image_path LIKE _like ESCAPE '\\'"))
+    columns = [*entries.columns, *rows.columns]
+    return first.select(*columns).unionByName(second.select(*columns))
+
+
 def verified_feedback(
     log: DataFrame, dataset: DataFrame, match: str = "basename", keep: list[str] | None = None
 ) -> DataFrame:
     """Feedback rows for the dataset pictures the log entries name."""
     rows = dataset.select("id", "image_path")
-    joined = {"basename": match_by_basename, "suffix": match_by_suffix}[match](log, rows)
+    joined = {"basename": match_by_basename, "suffix": match_by_suffix, "like": match_by_pattern}[match](log, rows)
     return joined.select(
         F.col("id").alias("ml_dataset_id"),
         F.col("predicted").alias("model_prediction"),

@@ -268,6 +268,25 @@ def feedback_suffix(v):
     )
 
 
+LIKE_NAMES = """CASE event_id % 5 WHEN 0 THEN filename WHEN 1 THEN replace(filename, '1', '_') WHEN 2 THEN replace(filename, '.', '%')
+ WHEN 3 THEN replace(filename, '_', '\\_') ELSE replace(filename, 'jpg', '%') END"""
+
+
+@query(
+    "feedback_like",
+    views=["feedback_log", "ml_dataset"],
+    sql=f"""WITH f AS (SELECT DISTINCT {LIKE_NAMES} AS filename FROM feedback_log)
+ SELECT f.filename, count(*) AS pictures, min(d.id) AS first_id, max(d.id) AS last_id
+ FROM f JOIN ml_dataset d ON d.image_path LIKE '%' || f.filename ESCAPE '\\' GROUP BY 1""",
+)
+def feedback_like(v):
+    names = v.feedback_log.select(F.expr(LIKE_NAMES.replace("\\", "\\\\")).alias("filename")).distinct()
+    matched = feedback.match_by_pattern(names, v.ml_dataset.select("id", "image_path"))
+    return matched.groupBy("filename").agg(
+        F.count(F.lit(1)).alias("pictures"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
+    )
+
+
 @query(
     "verified_update",
     views=["feedback_log", "ml_dataset"],
