@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -83,15 +85,62 @@ def density_clusters(
 def kmeans_clusters(
     df: DataFrame, k: int, *, vector: str = "embedding", seed: int = 42, max_iter: int = 20
 ) -> DataFrame:
-    """Partition-based clusters with the same output columns, for very large corpora."""
+    """Partition-based clusters with the same output columns, for very large corpora.
+
+    The confidence is 1 less the distance to the nearest centre as a share of that to the second: 1 on a centre, 0 half-way
+    between two (or where two centres coincide), 1 if there is one centre only."""
     features = df.select("id", array_to_vector(vector).alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features)
-    assigned = model.transform(features)
-    return assigned.select(
-        "id",
-        F.col("prediction").cast("long").alias("cluster_id"),
-        F.lit(1.0).alias("cluster_confidence"),
+    centres = np.array(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features).clusterCenters())
+    place = nearest_centre(centres)
+    return df.select("id", place(F.col(vector).cast("array<double>")).alias("_place")).select("id", "_place.*")
+
+
+def nearest_centre(centres: np.ndarray):
+    """A function of a vector column: the nearest of ``centres`` (k rows, so its size is a parameter's) and the confidence in it."""
+
+    @F.pandas_udf("struct<cluster_id:long,cluster_confidence:double>")
+    def place(vectors: pd.Series) -> pd.DataFrame:
+        x = np.stack(vectors.to_numpy()) if len(vectors) else np.zeros((0, centres.shape[1]))
+        squares = (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)
+        # Exact distances of the two nearest only: the expanded square loses digits near a centre.
+        two = np.argsort(squares, 1, kind="stable")[:, :2]
+        distances = np.sqrt(((x[:, None, :] - centres[two]) ** 2).sum(2))
+        swap = np.argsort(distances, 1, kind="stable")
+        two, distances = np.take_along_axis(two, swap, 1), np.take_along_axis(distances, swap, 1)
+        sure = np.ones(len(x))
+        if centres.shape[0] > 1:
+            second = distances[:, 1]
+            sure = np.where(second > 0, 1 - distances[:, 0] / np.where(second > 0, second, 1), 0.0)
+        return pd.DataFrame({"cluster_id": two[:, 0].astype(np.int64), "cluster_confidence": sure})
+
+    return place
+
+
+def with_plane(df: DataFrame, vector: str = "embedding") -> DataFrame:
+    """``df`` with ``x`` and ``y``, its first two principal components. The largest loading of a component is positive, so that
+    reruns do not mirror the map."""
+    reduced, model = reduce_dimensions(df, 2, vector)
+    loadings = model.pc.toArray()
+    signs = np.sign(loadings[np.abs(loadings).argmax(0), [0, 1]])
+    axes = {name: F.col("reduced")[i] * float(signs[i]) for i, name in enumerate("xy")}
+    return reduced.withColumns(axes).drop("reduced")
+
+
+def variance_parts(df: DataFrame, clusters: DataFrame, vector: str = "embedding") -> DataFrame:
+    """One row: ``rows``, ``clusters``, and the squared distances ``within`` clusters (to their means) and ``between`` them (means to the
+    common mean). Their sum does not depend on the clusters."""
+    found = clusters.select(F.col("id").alias("_id"), "cluster_id")
+    parts = df.join(found, F.col("id") == F.col("_id")).select("cluster_id", F.posexplode(F.col(vector).cast("array<double>")).alias("axis", "value"))
+    each = parts.groupBy("cluster_id", "axis").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"), (F.var_pop("value") * F.count("value")).alias("within")
+    )
+    axes = each.groupBy("axis").agg(
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("clusters"),
+        F.sum("within").alias("within"),
+        (F.sum(F.col("n") * F.col("mean") * F.col("mean")) - F.sum(F.col("n") * F.col("mean")) ** 2 / F.sum("n")).alias("between"),
     )
+    return axes.agg(F.max("n").alias("rows"), F.max("clusters").alias("clusters"), F.sum("within").alias("within"), F.sum("between").alias("between"))
 
 
 def drill_down(

@@ -280,8 +280,25 @@ def density_cluster(v):
 @query("kmeans_cluster", views=["cluster_results"])
 def kmeans_cluster(v):
     found = grouping.kmeans_clusters(v.cluster_results.select("id", "embedding"), 10)
-    return grouping.result_rows(v.cluster_results, found).select(
-        "id", "cluster_id", "visual_cluster", "cluster_confidence"
+    return grouping.result_rows(grouping.with_plane(v.cluster_results), found).select(
+        "id", "cluster_id", "visual_cluster", r6("cluster_confidence"), r6("x"), r6("y")
+    )
+
+
+@query(
+    "kmeans_variance",
+    views=["cluster_results"],
+    sql="""WITH p AS (SELECT id, unnest(range(len(embedding))) AS axis, CAST(unnest(embedding) AS DOUBLE) AS value FROM cluster_results),
+ a AS (SELECT axis, count(*) AS n, var_pop(value) * count(*) AS squares FROM p GROUP BY axis)
+ SELECT max(n) AS rows, CAST(10 AS BIGINT) AS clusters, round(sum(squares), 4) AS total, 1 AS closer FROM a""",
+)
+def kmeans_variance(v):
+    """The squares within and between the clusters make up those of the whole, and clusters are closer than the whole."""
+    rows = v.cluster_results.select("id", "embedding")
+    parts = grouping.variance_parts(rows, grouping.kmeans_clusters(rows, 10))
+    whole = F.col("within") + F.col("between")
+    return parts.select(
+        "rows", "clusters", F.round(whole, 4).alias("total"), F.when(F.col("within") < whole, 1).otherwise(0).alias("closer")
     )
 
 

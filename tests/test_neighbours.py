@@ -272,3 +272,32 @@ def test_search_opens_only_wanted_partitions(spark, tmp_path):
     assert found == {1: set(range(0, 60, 4)), 2: set(range(2, 60, 4))}
     plan = search.wanted_partitions(asked, store, "period", "period")._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def test_kmeans_confidence_plane_and_variance(spark):
+    rng = np.random.default_rng(5)
+    spots = rng.normal(size=(3, 6)) * 8
+    x = np.concatenate([s + rng.normal(size=(40, 6)) for s in spots])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>").repartition(3)
+    found = {r.id: r for r in grouping.kmeans_clusters(rows, 3).collect()}
+    label = np.array([found[i].cluster_id for i in range(len(x))])
+    centres = np.array([x[label == c].mean(0) for c in range(3)])
+    far = np.sort(np.sqrt(((x[:, None] - centres) ** 2).sum(2)), 1)
+    assert np.allclose([found[i].cluster_confidence for i in range(len(x))], 1 - far[:, 0] / far[:, 1])
+    plane = {r.id: (r.x, r.y) for r in grouping.with_plane(rows).collect()}
+    _, _, axes = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    axes = [a * np.sign(a[np.abs(a).argmax()]) for a in axes[:2]]
+    assert np.allclose([plane[i] for i in range(len(x))], x @ np.array(axes).T)
+    parts = grouping.variance_parts(rows, grouping.kmeans_clusters(rows, 3)).first()
+    within = sum(((x[label == c] - centres[c]) ** 2).sum() for c in range(3))
+    assert (parts.rows, parts.clusters) == (120, 3)
+    assert np.allclose([parts.within, parts.within + parts.between], [within, ((x - x.mean(0)) ** 2).sum()])
+
+
+def test_place_by_centres(spark):
+    place = grouping.nearest_centre(np.array([[0.0, 0.0], [2.0, 0.0], [0.0, 0.0]]))
+    rows = spark.createDataFrame([([0.0, 0.0],), ([2.0, 0.0],), ([1.5, 0.0],)], "v array<double>")
+    alone = rows.select(grouping.nearest_centre(np.zeros((1, 2)))("v").alias("p")).select("p.*")
+    assert {tuple(r) for r in alone.collect()} == {(0, 1.0)}
+    got = [(r.p.cluster_id, r.p.cluster_confidence) for r in rows.select(place("v").alias("p")).collect()]
+    assert [g[0] for g in got] == [0, 1, 1] and np.allclose([g[1] for g in got], [0.0, 1.0, 2 / 3])
