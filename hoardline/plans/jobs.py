@@ -127,7 +127,7 @@ def cluster(spark: SparkSession, table: Table, out: str, eps: str = "0.5") -> No
     """Density clusters of ``vectors`` (id, period, embedding) with summary and suggested names."""
     vectors = table("vectors")
     found = grouping.density_clusters(vectors.select("id", "embedding"), eps=float(eps))
-    rows = grouping.result_rows(vectors.withColumnRenamed("period", "parser_period"), found)
+    rows = grouping.result_rows(grouping.with_plane(vectors.withColumnRenamed("period", "parser_period")), found)
     rows = cut_lineage(rows, "clusters")
     rows.drop("embedding").write.parquet(f"{out}/cluster_results")
     summary = clusters.cluster_summary(rows)
