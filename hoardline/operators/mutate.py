@@ -32,12 +32,9 @@ def update_by_id(df: DataFrame, ids: DataFrame, changes: dict[str, Column], key:
     ).select(*df.columns)
 
 
-def last_changes(changes: DataFrame, key: str, columns: list[str], order: str | None = None, first_of_all: Column | None = None) -> DataFrame:
-    """One row per key: ``_id`` and ``_<column>`` of the last change by ``order``, ties and changes without an order by their values.
-    A change for which ``first_of_all`` holds wins over all others."""
-    rank = [F.coalesce(first_of_all, F.lit(False))] if first_of_all is not None else []
-    rank += [F.col(order)] if order else []
-    rank = F.struct(*[c.alias(f"_rank{i}") for i, c in enumerate(rank)], *[F.col(c).alias(f"_tie_{c}") for c in columns])
+def last_changes(changes: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
+    """One row per key: ``_id`` and ``_<column>`` of the last change by ``order``, ties by their values."""
+    rank = F.struct(F.col(order).alias("_rank"), *[F.col(c).alias(f"_tie_{c}") for c in columns])
     values = F.struct(*[F.col(c).alias(f"_{c}") for c in columns])
     last = changes.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id")).agg(F.max_by(values, rank).alias("_last"))
     return last.select("_id", "_last.*")
@@ -47,8 +44,8 @@ def mark_processed(lots: DataFrame, ids: DataFrame) -> DataFrame:
     return update_by_id(lots, ids, {"vision_processed": F.lit(1)})
 
 
-def set_lot_metadata(lots: DataFrame, metadata: DataFrame, order: str | None = None) -> DataFrame:
-    """Site and sale taken from ``metadata`` (id, site, sale_id) where present there; of several rows for a lot the last counts."""
+def set_lot_metadata(lots: DataFrame, metadata: DataFrame, order: str) -> DataFrame:
+    """Site and sale taken from ``metadata`` (id, site, sale_id) where present there; of several rows for a lot the last by ``order`` counts."""
     new = last_changes(metadata, "id", ["site", "sale_id"], order)
     found = F.col("_id").isNotNull()
     return (
@@ -102,17 +99,26 @@ def exclude_matching(dataset: DataFrame, pattern: Column, reason: str) -> DataFr
     return exclude(dataset.withColumn("_pattern", pattern), condition, reason).drop("_pattern")
 
 
-def apply_decisions(dataset: DataFrame, decisions: DataFrame, order: str | None = None) -> DataFrame:
-    """Review decisions: rows become verified; a period is taken unless blank, and a subperiod unless
-    missing (blank clears it). Rows decided as ``delete`` go away, whatever else was decided for them; otherwise the last decision counts."""
-    new = last_changes(decisions, "id", ["action", "period", "subperiod"], order, F.col("action") == "delete")
-    joined = dataset.join(new, F.col("id") == F.col("_id"), "left").where(
-        F.coalesce(F.col("_action") != "delete", F.lit(True))
+def apply_decisions(dataset: DataFrame, decisions: DataFrame, order: str) -> DataFrame:
+    """Review decisions in the order of a column, as if they were made one by one: rows become verified; a period is taken
+    unless blank, and a subperiod unless missing (blank clears it), so that an earlier period stays when a later decision
+    leaves it blank. Rows decided as ``delete`` go away, whatever else was decided for them. Decisions at the same place
+    count by value; a missing place comes first."""
+
+    def last(column: str, given: Column) -> Column:
+        place = F.struct(F.col(order).alias("_place"), F.col(column).alias("_value"))
+        return F.max(F.when(given, place))["_value"].alias(f"_{column}")
+
+    new = decisions.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_id")).agg(
+        F.bool_or(F.coalesce(F.col("action") == "delete", F.lit(False))).alias("_delete"),
+        last("period", blank_to_null(F.col("period")).isNotNull()),
+        last("subperiod", F.col("subperiod").isNotNull()),
     )
+    joined = dataset.join(new, F.col("id") == F.col("_id"), "left").where(~F.coalesce(F.col("_delete"), F.lit(False)))
     decided = F.col("_id").isNotNull()
     return joined.withColumns(
         {
-            "period": F.coalesce(blank_to_null(F.col("_period")), F.col("period")),
+            "period": F.coalesce(F.col("_period"), F.col("period")),
             "subperiod": F.coalesce(F.col("_subperiod"), F.col("subperiod")),
             "needs_review": F.when(decided, F.lit(0)).otherwise(F.col("needs_review")),
             "is_verified": F.when(decided, F.lit(1)).otherwise(F.col("is_verified")),

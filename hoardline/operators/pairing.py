@@ -132,7 +132,7 @@ def pairing_statistics(new: DataFrame) -> DataFrame:
 
 def link_detections(detections: DataFrame, links: DataFrame) -> DataFrame:
     """Detections with coin, side and side confidence replaced where a link exists; of several links the one to the newest coin counts."""
-    changes = last_changes(links, "detection_id", ["coin_id", "side", "side_confidence"])
+    changes = last_changes(links, "detection_id", ["coin_id", "side", "side_confidence"], "coin_id")
     linked = F.col("_id").isNotNull()
     joined = detections.join(changes, F.col("id") == F.col("_id"), "left")
     return joined.withColumns(

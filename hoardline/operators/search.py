@@ -78,6 +78,62 @@ def search_partitions(
     return top_k(asked, rows, k, filters={"_partition": "_wanted"})
 
 
+SIDES = ("obverse", "reverse")
+
+
+def picture_queries(queries: DataFrame) -> DataFrame:
+    """One query per side of a split picture, or one for a whole picture: query_id, image_id, split_status, side, embedding.
+
+    ``queries`` holds image_id (integer, below 2^61), side and embedding; a row that is neither obverse nor reverse stands
+    for the whole picture. A picture with exactly one vector of either side is ``split`` and its whole vector is not asked;
+    any other is ``single`` and asks its whole vector (of several the smallest), or nothing if it has none. Rows without a
+    vector or an image_id are left out."""
+    is_side = {side: F.coalesce(F.col("side") == side, F.lit(False)) for side in SIDES}
+    whole = ~(is_side["obverse"] | is_side["reverse"])
+    counted = queries.where(F.col("embedding").isNotNull() & F.col("image_id").isNotNull()).groupBy("image_id").agg(
+        *[F.count_if(at).alias(f"_n_{side}") for side, at in is_side.items()],
+        *[F.min(F.when(at, F.col("embedding"))).alias(f"_{side}") for side, at in is_side.items()],
+        F.min(F.when(whole, F.col("embedding"))).alias("_whole"),
+    )
+    split = (F.col("_n_obverse") == 1) & (F.col("_n_reverse") == 1)
+
+    def one(code: int, side: str | None, vector: str) -> Column:
+        return F.struct(F.lit(code).alias("code"), F.lit(side).cast("string").alias("side"), F.col(vector).alias("embedding"))
+
+    sides = F.array(*[one(i + 1, side, f"_{side}") for i, side in enumerate(SIDES)])
+    asked = counted.select(
+        "image_id",
+        F.when(split, "split").otherwise("single").alias("split_status"),
+        F.explode(F.when(split, sides).otherwise(F.array(one(0, None, "_whole")))).alias("_asked"),
+    ).where(F.col("_asked.embedding").isNotNull())
+    number = F.shiftleft(F.col("image_id").cast("long"), 2) + F.col("_asked.code")
+    return asked.select(number.alias("query_id"), "image_id", "split_status", "_asked.side", "_asked.embedding")
+
+
+def search_sides(queries: DataFrame, corpus: DataFrame, k: int = 10, *, same_side: bool = False) -> DataFrame:
+    """Top-k rows for each side of a picture: image_id, split_status, side, rank, neighbor_id, similarity.
+
+    Sides are searched in one pass over ``corpus`` (id, embedding), each to its own ``k``; whole pictures have a null side.
+    With ``same_side`` a side only meets corpus rows of that ``side``, and whole pictures meet all. Queries as in
+    :func:`picture_queries`."""
+    asked = picture_queries(queries)
+    found = top_k(asked, corpus, k, filters={"side": "side"} if same_side else None)
+    code = F.col("query_id").bitwiseAND(F.lit(3))
+    names = F.when(code == 1, SIDES[0]).when(code == 2, SIDES[1])
+    return found.select(
+        F.shiftright("query_id", 2).alias("image_id"),
+        F.when(code == 0, "single").otherwise("split").alias("split_status"),
+        names.alias("side"), "rank", "neighbor_id", "similarity",
+    )
+
+
+def side_responses(results: DataFrame) -> DataFrame:
+    """One row per picture: image_id, split_status and ``coins``, the ranked results of each side (two lists of k rows at most)."""
+    hit = F.struct("rank", "neighbor_id", "similarity")
+    sides = results.groupBy("image_id", "split_status", "side").agg(F.sort_array(F.collect_list(hit)).alias("results"))
+    return sides.groupBy("image_id", "split_status").agg(F.sort_array(F.collect_list(F.struct("side", "results"))).alias("coins"))
+
+
 def with_period_boost(
     results: DataFrame, queries: DataFrame, classes: list[str], rerank: bool = False
 ) -> DataFrame:

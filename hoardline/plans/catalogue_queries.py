@@ -398,12 +398,38 @@ def apply_decisions(v):
         F.when(F.col("toxic") == 1, "delete").otherwise("update").alias("action"),
         F.when(good, "greek").when(~odd, "").alias("period"),
         F.when(~good, "").when(F.col("doc_id") % 3 == 0, "early").alias("subperiod"),
+        F.col("doc_id").alias("at"),
     )
-    return mutate.apply_decisions(v.ml_dataset, decisions).select(
+    return mutate.apply_decisions(v.ml_dataset, decisions, "at").select(
         "id", "period", "subperiod", F.col("needs_review").cast("int"), F.col("is_verified").cast("int")
     )
 
 
+@query(
+    "decisions_in_order",
+    views=["ml_dataset"],
+    sql="""WITH e AS (SELECT user_id * 5 + event_id % 5 AS id, event_id AS place, event_type = 'error' AND event_id % 17 = 0 AS gone,
+  CASE event_type WHEN 'view' THEN 'roman' WHEN 'click' THEN 'greek' WHEN 'purchase' THEN '' END AS period,
+  CASE event_type WHEN 'signup' THEN 'early' WHEN 'purchase' THEN '' END AS subperiod FROM events),
+ d AS (SELECT id, bool_or(gone) AS gone, arg_max(period, place) FILTER (period <> '') AS period, arg_max(subperiod, place) FILTER (subperiod IS NOT NULL) AS subperiod FROM e GROUP BY id)
+ SELECT m.id, coalesce(d.period, m.period) AS period, coalesce(d.subperiod, m.subperiod) AS subperiod,
+  CAST(CASE WHEN d.id IS NOT NULL THEN 1 ELSE m.is_verified END AS INT) AS is_verified
+ FROM ml_dataset m LEFT JOIN d ON m.id = d.id WHERE d.gone IS DISTINCT FROM true""",
+)
+def decisions_in_order(v):
+    """Many decisions for a row, made one after the other by the number of the event."""
+    kind = F.col("event_type")
+    decisions = v.events.select(
+        (F.col("user_id") * 5 + F.col("event_id") % 5).alias("id"),
+        F.col("event_id").alias("at"),
+        F.when((kind == "error") & (F.col("event_id") % 17 == 0), "delete").otherwise("update").alias("action"),
+        F.when(kind == "view", "roman").when(kind == "click", "greek").when(kind == "purchase", "").alias("period"),
+        F.when(kind == "signup", "early").when(kind == "purchase", "").alias("subperiod"),
+    )
+    changed = mutate.apply_decisions(v.ml_dataset, decisions, "at")
+    return changed.select("id", "period", "subperiod", F.col("is_verified").cast("int"))
+
+
 @query(
     "mark_processed",
     views=["auction_data", "coin_detections"],
@@ -427,8 +453,27 @@ def set_lot_metadata(v):
         F.col("c_custkey").alias("id"),
         F.col("c_mktsegment").alias("site"),
         F.col("c_nationkey").cast("string").alias("sale_id"),
+        F.col("c_custkey").alias("at"),
+    )
+    return mutate.set_lot_metadata(v.auction_data, metadata, "at").select("id", "site", "sale_id")
+
+
+@query(
+    "metadata_in_order",
+    views=["auction_data"],
+    sql="""WITH n AS (SELECT l_orderkey AS id, max({'n': l_linenumber, 'site': l_returnflag || l_linestatus, 'sale': CAST(l_suppkey AS VARCHAR)}) AS last FROM lineitem WHERE l_quantity < 30 GROUP BY 1)
+ SELECT a.id, CASE WHEN n.id IS NOT NULL THEN n.last.site ELSE a.site END AS site, CASE WHEN n.id IS NOT NULL THEN n.last.sale ELSE a.sale_id END AS sale_id
+ FROM auction_data a LEFT JOIN n ON a.id = n.id""",
+)
+def metadata_in_order(v):
+    """Several site and sale changes for a lot, the one with the highest line number last, ties by value."""
+    metadata = v.lineitem.where(F.col("l_quantity") < 30).select(
+        F.col("l_orderkey").alias("id"),
+        F.concat("l_returnflag", "l_linestatus").alias("site"),
+        F.col("l_suppkey").cast("string").alias("sale_id"),
+        F.col("l_linenumber").alias("at"),
     )
-    return mutate.set_lot_metadata(v.auction_data, metadata).select("id", "site", "sale_id")
+    return mutate.set_lot_metadata(v.auction_data, metadata, "at").select("id", "site", "sale_id")
 
 
 @query(

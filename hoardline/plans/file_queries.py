@@ -400,3 +400,23 @@ def vector_delta_stream(v):
     )
 
 
+
+
+# ---- databases ----------------------------------------------------------------------------------
+
+
+@query(
+    "jdbc_lots",
+    views=["auction_data"],
+    sql="SELECT id, sale_id, lot_number FROM auction_data WHERE id > 100",
+)
+def jdbc_lots(v):
+    """Lots written to a database and read back in key ranges; the filter is left to the database.
+
+    The database is embedded and opens for one Java process only, so this query is for local sessions; ``read_jdbc`` is not."""
+    v.spark.sparkContext._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
+    url = f"jdbc:derby:{scratch_path(v.spark, 'lots').removeprefix('file:')};create=true"
+    options = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    lots = v.auction_data.select("id", "sale_id", "lot_number")
+    lots.write.mode("append").options(**options).option("createTableColumnTypes", "sale_id VARCHAR(64), lot_number VARCHAR(64)").jdbc(url, "lots")
+    return tables.read_jdbc(v.spark, url, "lots", rows=20_000, options=options).where(F.col("id") > 100)

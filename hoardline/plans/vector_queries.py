@@ -258,6 +258,47 @@ def search_boosted_reranked(v):
     return _boosted(v, rerank=True)
 
 
+SIDE_HITS = f"""pic AS (SELECT CAST(floor(vec_id / 3.0) AS BIGINT) AS image_id, count(*) FILTER (side = 'obverse') AS no, count(*) FILTER (side = 'reverse') AS nr,
+  min({DOUBLES}) FILTER (side = 'obverse') AS o, min({DOUBLES}) FILTER (side = 'reverse') AS r, min({DOUBLES}) FILTER (side = 'unknown') AS w FROM side_embeddings GROUP BY 1),
+ asked AS (SELECT image_id, 'split' AS split_status, 'obverse' AS side, o AS q FROM pic WHERE no = 1 AND nr = 1 UNION ALL SELECT image_id, 'split', 'reverse', r FROM pic WHERE no = 1 AND nr = 1
+  UNION ALL SELECT image_id, 'single', NULL, w FROM pic WHERE NOT (no = 1 AND nr = 1) AND w IS NOT NULL),
+ near AS (SELECT image_id, split_status, asked.side AS side, vec_id AS neighbor_id, round(list_cosine_similarity(q, {DOUBLES}), 6) AS similarity FROM asked, side_embeddings s {{on}}),
+ hit AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id, side ORDER BY similarity DESC, neighbor_id) AS rank FROM near) WHERE rank <= 5)"""
+
+
+def _by_side(v, same_side):
+    pictures = v.side_embeddings.select(F.floor(F.col("vec_id") / 3).alias("image_id"), "side", "embedding")
+    corpus = v.side_embeddings.select(F.col("vec_id").alias("id"), "side", "embedding")
+    return search.search_sides(pictures, corpus, 5, same_side=same_side)
+
+
+@query(
+    "search_by_side",
+    views=["side_embeddings"],
+    sql=f"WITH {SIDE_HITS.format(on='')} SELECT image_id, split_status, side, rank, neighbor_id, similarity FROM hit",
+)
+def search_by_side(v):
+    """Every picture asks with its two sides, or as a whole where it was not split."""
+    return _by_side(v, same_side=False)
+
+
+@query(
+    "search_same_side",
+    views=["side_embeddings"],
+    sql=f"""WITH {SIDE_HITS.format(on="WHERE asked.side IS NULL OR asked.side = s.side")}, per AS (SELECT image_id, split_status, side, count(*) AS hits, max(similarity) AS best, sum(neighbor_id * rank) AS places FROM hit GROUP BY 1, 2, 3)
+ SELECT image_id, split_status, CAST(count(*) AS INT) AS sides, CAST(sum(hits) AS BIGINT) AS hits, max(best) AS best, CAST(sum(places) AS BIGINT) AS places FROM per GROUP BY 1, 2""",
+)
+def search_same_side(v):
+    """Sides against rows of their own side, put together as one answer a picture."""
+    hits = F.flatten(F.transform("coins", lambda c: c["results"]))
+    zero = F.lit(0).cast("bigint")
+    return search.side_responses(_by_side(v, same_side=True)).select(
+        "image_id", "split_status", F.size("coins").alias("sides"), F.size(hits).cast("bigint").alias("hits"),
+        F.array_max(F.transform(hits, lambda h: h["similarity"])).alias("best"),
+        F.aggregate(hits, zero, lambda total, h: total + h["neighbor_id"] * h["rank"]).alias("places"),
+    )
+
+
 @query(
     "period_index",
     views=["cluster_results"],

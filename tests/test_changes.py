@@ -17,10 +17,22 @@ def test_last_decision_counts(frame):
     assert [(r.id, r.period, r.is_verified) for r in rows] == [(1, "islamic", 1), (3, None, 0)]
 
 
+def test_decisions_apply_one_after_the_other(frame):
+    data = frame("id long, period string, subperiod string, needs_review int, is_verified int", (1, "greek", "old", 1, 0), (2, "greek", "old", 1, 0), (3, "greek", "old", 1, 0))
+    decisions = frame(
+        "id long, action string, period string, subperiod string, at int",
+        (1, "keep", "roman", None, 1), (1, "keep", "", "late", 2), (1, "keep", None, None, 3),  # the blank keeps roman, the missing keeps late
+        (2, "keep", "zeta", "early", 1), (2, "keep", "alpha", "", 2),  # the later one wins although it sorts first; blank clears
+        (3, "keep", "roman", None, None), (3, None, "alpha", None, 1),  # a missing place comes first
+    )
+    rows = mutate.apply_decisions(data, decisions, "at").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, "roman", "late", 0, 1), (2, "alpha", "", 0, 1), (3, "alpha", "old", 0, 1)]
+
+
 def test_repeated_metadata_and_links_keep_row_counts(frame):
     lots = frame("id long, site string, sale_id string", (1, "a", "1"), (2, "b", "2"))
-    news = frame("id long, site string, sale_id string", (1, "c", "3"), (1, "d", "4"))
-    assert sorted(map(tuple, mutate.set_lot_metadata(lots, news).collect())) == [(1, "d", "4"), (2, "b", "2")]
+    news = frame("id long, site string, sale_id string, at int", (1, "d", "4", 1), (1, "c", "3", 2))
+    assert sorted(map(tuple, mutate.set_lot_metadata(lots, news, "at").collect())) == [(1, "c", "3"), (2, "b", "2")]
     found = frame("id long, coin_id long, side string, side_confidence double", (7, None, None, None), (8, 1, "obverse", 0.5))
     links = frame("detection_id long, coin_id long, side string, side_confidence double", (7, 5, "obverse", 0.9), (7, 6, "reverse", 0.8))
     assert sorted(map(tuple, pairing.link_detections(found, links).collect())) == [(7, 6, "reverse", 0.8), (8, 1, "obverse", 0.5)]

@@ -70,7 +70,7 @@ def test_decisions(frame):
         "id long, action string, period string, subperiod string",
         (1, "update", "", ""), (2, "update", "b", None), (3, "delete", None, None),
     )
-    got = {r["id"]: tuple(r)[1:] for r in mutate.apply_decisions(rows, decisions).collect()}
+    got = {r["id"]: tuple(r)[1:] for r in mutate.apply_decisions(rows, decisions, "id").collect()}
     assert got == {1: ("a", "", 0, 1), 2: ("b", "s", 0, 1), 4: ("a", "s", 1, 0)}
 
 
