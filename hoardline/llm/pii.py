@@ -1,9 +1,10 @@
 """Personal data: fixed patterns, and identifiers that bootstrapped contexts give away.
 
-What the fixed patterns find seeds a graph of lexical contexts (the word before, the word behind, and both) and values.
-A context is trusted by the share of known values in it, a value by the contexts that it occurs in; a few rounds let
-trust spread. Values of fitting shape that trusted contexts surround, but that no fixed pattern accepts, are reported too. All of it
-is DataFrame expressions; texts are read once.
+What the fixed patterns find seeds a graph of lexical contexts (one to three words before, behind, or on both sides, digits
+by their shape) and values (words, and digit groups with blanks between them). A context is trusted by the share of known values in it,
+provided that one of its words stands beside shaped values in a fair share of all its places in the corpus, so that everyday words give
+nothing away. A value is trusted by the contexts that it occurs in; a few rounds let trust spread. Values of fitting shape that trusted
+contexts surround, but that no fixed pattern accepts, are reported too. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -28,18 +29,23 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Up to 19 short groups of digits with single blanks between them, else a word with a digit or an at sign.
+GROUPS = r"[+(]{0,2}[0-9][0-9()-]{0,8}+(?:\x20[(]?[0-9][0-9()-]{0,8}+){1,18}(?![^\s.,;:!?\"'])"
+TOKEN = rf"(?<!\S)(?:{GROUPS}|[^\s0-9@]*+[0-9@]\S*+)"
+WORDS = 3  # words of a context on each side
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """A context is trusted from ``least_values`` known values and a share of ``least_share``; a value is reported from ``least_score``."""
+    """A context is trusted from ``least_values`` known values and a share of ``least_share``, if ``least_rate`` of all places of
+    one of its words are within three words of a shaped value of the kind; a value is reported from ``least_score``."""
 
     rounds: int = 3
     least_values: int = 3
     least_share: float = 0.6
     least_score: float = 0.8
+    least_rate: float = 0.05
 
 
 def _digits(value: Column) -> Column:
@@ -133,16 +139,21 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[one(n, k) for n, k in enumerate(KINDS)])
 
 
+def _plain(words: Column) -> Column:
+    """Words of a context: lower case, single blanks, each digit as 0."""
+    return F.translate(F.regexp_replace(F.lower(F.trim(words)), r"\s+", " "), "123456789", "0" * 9)
+
+
 def tokens(text: Column) -> Column:
-    """Words that hold a digit or an at sign, without the signs around them, and the words on both sides in lower case;
-    ``START`` stands on the left of a text's first word."""
+    """Digit groups with single blanks between them, taken together, and other words that hold a digit or an at sign, without the signs around
+    them; and up to ``WORDS`` words on both sides. ``START`` stands on the left of a text's first word."""
 
     def item(start, m, before, behind):
-        core = F.regexp_extract(m, r"[A-Za-z0-9@+](?:.*[A-Za-z0-9])?", 0)
-        lead = F.length(F.regexp_extract(m, r"^[^A-Za-z0-9@+]*", 0))
-        word = F.lower(F.regexp_extract(before, r"(\S+)\s+$", 1))
-        left = F.when((word == "") & (F.length(before) == start), F.lit(START)).otherwise(word)
-        right = F.lower(F.regexp_extract(behind, r"^\s+(\S+)", 1))
+        core = F.regexp_extract(m, r"[A-Za-z0-9@+(](?:.*[A-Za-z0-9])?", 0)
+        lead = F.length(F.regexp_extract(m, r"^[^A-Za-z0-9@+(]*", 0))
+        words = _plain(F.regexp_extract(before, rf"(?:(?<!\S)\S+\s+){{1,{WORDS}}}$", 0))
+        left = F.when((words == "") & (F.length(before) == start), F.lit(START)).otherwise(words)
+        right = _plain(F.regexp_extract(behind, rf"^(?:\s+\S+){{1,{WORDS}}}", 0))
         at = (start + lead).cast("long")
         made = F.struct(at.alias("start"), (at + F.length(core)).alias("end"), core.alias("value"), left.alias("left"), right.alias("right"))
         return F.when((F.length(core) >= 5) & (F.length(core) <= 4 * NEAR), made)
@@ -156,42 +167,74 @@ def _shape(kind: str, value: Column) -> Column:
     return {
         "email": value.rlike(r"^[^@]+@[^@]+$"),
         "ip": value.rlike(r"^[0-9]+(?:\.[0-9]+){2,}(?::[0-9]+)?$"),
-        "card": value.rlike(r"^[0-9-]+$") & n.between(12, 19),
-        "phone": value.rlike(r"^[+(]?[0-9][0-9().-]+$") & n.between(7, 15) & ~value.rlike(r"^[0-9]+(?:\.[0-9]+){2,}$"),
+        "card": value.rlike(r"^[0-9]+(?:[ -][0-9]+)*$") & n.between(12, 19),
+        "phone": value.rlike(r"^[+(]?[0-9][0-9() .-]+$") & n.between(7, 15) & ~value.rlike(r"^[0-9]+(?:\.[0-9]+){2,}$"),
     }[kind]
 
 
 def _occurrences(read: DataFrame) -> DataFrame:
-    """``row, kind, start, end, value, left, right, known``: each shaped token, whatever is around it, and whether a fixed pattern has it."""
+    """``row, kind, start, end, value, left, right, known``: each shaped token, whatever is around it, and whether a fixed pattern has it.
+
+    A token is known if it has more than half of a base span; one that has less of it is a part of it and no value of its own. Cards and phones are
+    the same value however their digits are grouped."""
     rows = read.select("row", "base", F.explode("tokens").alias("t")).select("row", "base", "t.*")
     hit = F.filter("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    rows = rows.withColumn("kinds", F.transform(hit, lambda b: b["kind"])).drop("base")
+    most = F.filter("hit", lambda b: 2 * (F.least(b["end"], F.col("end")) - F.greatest(b["start"], F.col("start"))) > b["end"] - b["start"])
+    rows = rows.withColumn("hit", hit).withColumn("kinds", F.transform(most, lambda b: b["kind"]))
+    rows = rows.where((F.size("hit") == 0) | (F.size("kinds") > 0))
     shaped = F.array_compact(F.array(*[F.when(_shape(k, F.col("value")), F.lit(k)) for k in KINDS]))
     kinds = F.when(F.size("kinds") > 0, F.array_distinct("kinds")).otherwise(shaped)
-    return rows.select("row", "start", "end", F.lower("value").alias("value"), "left", "right", (F.size("kinds") > 0).alias("known"), F.explode(kinds).alias("kind"))
+    rows = rows.select("row", "start", "end", "value", "left", "right", (F.size("kinds") > 0).alias("known"), F.explode(kinds).alias("kind"))
+    return rows.withColumn("value", F.when(F.col("kind").isin("card", "phone"), _digits(F.col("value"))).otherwise(F.lower("value")))
+
+
+def anchors(text_rows: DataFrame, occurrences: DataFrame, least_rate: float) -> DataFrame:
+    """``kind, word``: words of which at least ``least_rate`` of all places in the texts are near shaped values of the kind."""
+    around = F.filter(F.split(F.concat_ws(" ", "left", "right"), " "), lambda w: ~w.isin("", START))
+    near = occurrences.select("kind", F.explode(around).alias("word")).groupBy("kind", "word").agg(F.count(F.lit(1)).alias("near"))
+    words = text_rows.select(F.explode(F.split(F.translate(F.lower("text"), "123456789", "0" * 9), r"\s+")).alias("_word"))
+    everywhere = words.groupBy("_word").agg(F.count(F.lit(1)).alias("places"))
+    met = near.join(everywhere, F.col("word") == F.col("_word"))
+    return met.where(F.col("near") >= least_rate * F.col("places")).select("kind", "word")
 
 
 def _in_contexts(occurrences: DataFrame) -> DataFrame:
-    """``kind, value, known, context``: a row for each context of each occurrence."""
-    left, right = F.col("left") != "", F.col("right") != ""
-    one_sided = F.when(left, F.concat("left", F.lit(" _"))), F.when(right, F.concat(F.lit("_ "), "right"))
-    contexts = F.array_compact(F.array(*one_sided, F.when(left & right, F.concat_ws(" _ ", "left", "right"))))
-    return occurrences.select("kind", "value", "known", F.explode(contexts).alias("context"))
+    """``kind, value, known, stem, context``: a row for each context of each occurrence. Contexts with the same side and nearest
+    words share their ``stem``; what they say about a value is not independent."""
+    left, right = (F.filter(F.split(side, " "), lambda w: w != "") for side in ("left", "right"))
+
+    def side(words: Column, n: int, mark: str) -> Column:
+        part = F.array_join(F.slice(words, -n, n) if mark == "left" else F.slice(words, 1, n), " ")
+        return F.when(F.size(words) >= n, F.concat(part, F.lit(" _")) if mark == "left" else F.concat(F.lit("_ "), part))
+
+    def context(stem: Column, text: Column) -> Column:
+        return F.when(text.isNotNull(), F.struct(stem.alias("stem"), text.alias("context")))
+
+    both = F.concat(side(left, 1, "left"), F.substring(side(right, 1, "right"), 2, 4 * NEAR))
+    made = [context(side(left, 1, "left"), side(left, n, "left")) for n in range(1, WORDS + 1)]
+    made += [context(side(right, 1, "right"), side(right, n, "right")) for n in range(1, WORDS + 1)]
+    rows = occurrences.select("kind", "value", "known", F.explode(F.array_compact(F.array(*made, context(both, both)))).alias("c"))
+    return rows.select("kind", "value", "known", "c.*")
+
 
+def trusted_values(occurrences: DataFrame, words: DataFrame, s: Settings) -> DataFrame:
+    """``kind, value, score`` of values that no fixed pattern has, after the last round; ``words`` are the :func:`anchors`.
 
-def trusted_values(occurrences: DataFrame, s: Settings) -> DataFrame:
-    """``kind, value, score`` of values that no fixed pattern has, after the last round."""
-    edges = _in_contexts(occurrences).groupBy("kind", "context", "value").agg(F.max("known").alias("known"))
-    edges = cut_lineage(edges, "pii-graph")
+    Only values trusted already count for a context: half-trusted ones would raise the share of the very context that they have it from."""
+    edges = _in_contexts(occurrences).groupBy("kind", "context", "stem", "value").agg(F.max("known").alias("known"))
+    parts = edges.select("kind", "context").distinct().withColumn("word", F.explode(F.split("context", " ")))
+    anchored = parts.join(words, ["kind", "word"], "left_semi").select("kind", "context").distinct()
+    edges = cut_lineage(edges.join(anchored, ["kind", "context"], "left_semi"), "pii-graph")
     scores = edges.groupBy("kind", "value").agg(F.max("known").cast("double").alias("score"))
     for _ in range(s.rounds):
         weighed = edges.join(scores, ["kind", "value"])
-        contexts = weighed.groupBy("kind", "context").agg(F.sum("score").alias("mass"), F.count(F.lit(1)).alias("n"))
+        contexts = weighed.groupBy("kind", "context").agg(F.sum(F.when(F.col("score") >= s.least_score, F.col("score")).otherwise(0.0)).alias("mass"), F.count(F.lit(1)).alias("n"))
         contexts = contexts.where((F.col("mass") >= s.least_values) & (F.col("mass") / F.col("n") >= s.least_share))
         contexts = contexts.select("kind", "context", F.least(F.col("mass") / F.col("n"), F.lit(0.99)).alias("share"))
-        doubt = edges.join(contexts, ["kind", "context"], "left").groupBy("kind", "value").agg(
-            F.max("known").alias("known"), F.exp(F.sum(F.log1p(-F.coalesce("share", F.lit(0.0))))).alias("doubt")
+        best = edges.join(contexts, ["kind", "context"], "left").groupBy("kind", "value", "stem").agg(
+            F.max("known").alias("known"), F.max(F.coalesce("share", F.lit(0.0))).alias("share")
         )
+        doubt = best.groupBy("kind", "value").agg(F.max("known").alias("known"), F.exp(F.sum(F.log1p(-F.col("share")))).alias("doubt"))
         scores = doubt.select("kind", "value", "known", F.when(F.col("known"), 1.0).otherwise(1 - F.col("doubt")).alias("score"))
         scores = cut_lineage(scores, "pii-scores")
     return scores.where((~F.col("known")) & (F.col("score") >= s.least_score)).select("kind", "value", "score")
@@ -202,15 +245,15 @@ def find(documents: DataFrame, settings: Settings | None = None, id_column: str
 
     ``base`` are the matches of the fixed patterns, ``added`` those that contexts give away, of kind ``context_email`` and so on. Null and
     empty texts have none; rows that repeat an id and text get the same spans; a null id is kept. ``row`` is a hash of id and text.
-    Other columns are ignored. Values longer than 256 characters seed no contexts."""
+    Other columns are ignored. Values shorter than 5 or longer than 256 characters seed no contexts and are not added."""
     s = settings or Settings()
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     rows = rows.withColumn("row", row_key(rows, "doc_id", "text"))
     text = F.col("text")
     seen = rows.select("doc_id", "row", base_spans(text).alias("base"), F.when(text.rlike("[0-9@]"), tokens(text)).otherwise(F.array().cast(FOUND)).alias("tokens"))
     seen = cut_lineage(seen, "pii-read")
-    occurrences = _occurrences(seen.dropDuplicates(["row"]))
-    values = trusted_values(occurrences, s).withColumnsRenamed({"kind": "_kind", "value": "_value"})
+    occurrences = _occurrences(seen)
+    values = trusted_values(occurrences, anchors(rows, occurrences, s.least_rate), s).withColumnsRenamed({"kind": "_kind", "value": "_value"})
     numbers = F.create_map(*[x for n, k in enumerate(KINDS) for x in (F.lit(k), F.lit(n + len(KINDS)))])
     spans = F.struct("start", numbers[F.col("kind")].alias("no"), "end", F.concat(F.lit("context_"), "kind").alias("kind"))
     added = occurrences.where("NOT known").join(values, (F.col("kind") == F.col("_kind")) & (F.col("value") == F.col("_value")))
