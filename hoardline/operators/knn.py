@@ -6,11 +6,13 @@ Three plans, chosen by checked size:
   top-k (:func:`top_k`);
 * small corpus: the corpus is broadcast and the queries are streamed past it;
 * both large (:func:`knn_join`): vectors are put into blocks around pivots, block pairs that the
-  triangle inequality rules out are dropped, and only the remaining pairs are multiplied.
+  triangle inequality rules out are dropped, and only the remaining pairs are multiplied. Blocks are dealt
+  into a few tiles a side, and pairs of tiles rather than of blocks are what tasks receive: each row is sent
+  as often as the other side has tiles (some dozens), not as often as it has blocks.
 
-The last follows the pivot-based k-NN joins known from the literature. Copies of a vector are solved
-once and only the ``k + 1`` lowest ids of a set of copies can be neighbours, so a vector that makes up
-much of the table costs no more than any other. Blocks have a bounded number of rows.
+The last follows the pivot-based k-NN joins known from the literature. Copies of a vector are one row
+throughout, and only the ``k + 1`` lowest ids of a set of copies can be neighbours, so a vector that makes up
+much of the table costs no more than any other. Blocks have a bounded number of rows, tiles a bounded size.
 
 Similarities are rounded to ``decimals`` places before ranking, ties go to the lower id, and a row is
 never its own neighbour.
@@ -31,13 +33,17 @@ from hoardline.operators.ranking import first_rows
 from hoardline.session import cut_lineage
 
 DECIMALS = 6
-BROADCAST_BYTES = 64 << 20  # largest side that is sent to every task
+BROADCAST_BYTES = 64 << 20  # largest set of queries that is sent to every task
+CORPUS_BYTES = 16 << 20  # largest corpus that is sent to every task: each Python worker holds a copy
+TILE_BYTES = 32 << 20  # most of either side that a task of the block plan holds
+QUERY_TILES = 24  # least number of parts that the queries of the block plan are dealt to
 BLOCK_ROWS = 1024
 MAX_PIVOTS = 1024
 RINGS = 16
-SCORES_AT_ONCE = 1 << 22
+SCORES_AT_ONCE = 1 << 20
 NEIGHBOUR_SCHEMA = "query_id long, neighbor_id long, similarity double"
 RANKED_SCHEMA = "query_id long, rank long, neighbor_id long, similarity double"
+NEIGHBOUR_ARROW = pa.schema([("query_id", pa.int64()), ("neighbor_id", pa.int64()), ("similarity", pa.float64())])
 NOTHING = np.iinfo(np.int64).max
 
 
@@ -58,18 +64,18 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
 
 
 def best_columns(
-    scores: np.ndarray, ids: np.ndarray, k: int, decimals: int
+    scores: np.ndarray, ids: np.ndarray, k: int, decimals: int, least: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Per row of ``scores`` the ids and rounded scores of its ``k`` best columns, best first.
 
-    Columns within a rounding step of the k-th best are kept too, so that ties at the cut are settled
+    ``least`` leaves out columns below a score per row. Columns within a rounding step of the k-th best are kept too, so that ties at the cut are settled
     by id. Columns scored ``-inf`` or NaN are out; free places hold the id ``NOTHING``.
     """
     rows, width = scores.shape
     if not np.isfinite(scores.sum()):
         scores = np.where(np.isnan(scores), -np.inf, scores)
-    keep = scores > -np.inf
-    if width > k:
+    keep = scores > -np.inf if least is None else scores >= least[:, None]
+    if width > k and (least is None or np.count_nonzero(keep) > 8 * k * rows):
         cut = np.partition(scores, width - k, axis=1)[:, width - k]
         keep &= scores >= (cut - 1.5 * 10.0**-decimals)[:, None]
     row, column = np.nonzero(keep)
@@ -85,6 +91,16 @@ def best_columns(
     return found, best
 
 
+def better(
+    found: np.ndarray, kept: np.ndarray, new_ids: np.ndarray, new_scores: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The best of two results of :func:`best_columns` per row, as many as the first has."""
+    every_id = np.concatenate([found, new_ids], axis=1)
+    every = np.concatenate([kept, new_scores], axis=1)
+    order = np.lexsort((every_id, -every), axis=-1)[:, : found.shape[1]]
+    return np.take_along_axis(every_id, order, axis=1), np.take_along_axis(every, order, axis=1)
+
+
 def slices(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch small enough that their scores against ``width`` rows stay in memory."""
     rows = max(1, SCORES_AT_ONCE // max(1, width))
@@ -180,11 +196,7 @@ def top_k(
                 new_ids, new_scores = best_columns(
                     scores, part_of.column(0).to_numpy(zero_copy_only=False), k, decimals
                 )
-                every_id = np.concatenate([found, new_ids], axis=1)
-                every = np.concatenate([kept, new_scores], axis=1)
-                order = np.lexsort((every_id, -every), axis=-1)[:, :k]
-                found = np.take_along_axis(every_id, order, axis=1)
-                kept = np.take_along_axis(every, order, axis=1)
+                found, kept = better(found, kept, new_ids, new_scores)
         yield long_rows(query_ids, found, kept)
 
     scanned = corpus.select(
@@ -274,14 +286,16 @@ def knn_join(
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query: query_id, rank, neighbor_id, similarity. Rows without a vector take no part.
 
-    ``strategy`` is ``broadcast`` (corpus within the byte budget), ``blocks``, ``auto``, which
+    ``strategy`` is ``broadcast`` (corpus within ``BROADCAST_BYTES``), ``blocks``, ``auto``, which
     checks the corpus size first, or ``probed``, which searches the nearest cells of an inverted
     index only (:mod:`hoardline.operators.cells`).
     """
     q = queries.select(F.col(query_id).cast("long").alias("_id"), F.col(vector).alias("_v")).where("_v IS NOT NULL")
     c = corpus.select(F.col(corpus_id).cast("long").alias("_id"), F.col(vector).alias("_v")).where("_v IS NOT NULL")
+    if queries is corpus and query_id == corpus_id:
+        c = q  # work on the vectors is done once
     if strategy in ("auto", "broadcast"):
-        table = collect_small(c, "_v")
+        table = collect_small(c, "_v", BROADCAST_BYTES if strategy == "broadcast" else CORPUS_BYTES)
         if table is not None:
             return _against_broadcast(q, table, k, exclude_self, decimals)
         if strategy == "broadcast":
@@ -330,21 +344,17 @@ def _distance(similarity: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * similarity))
 
 
-def _packed(df: DataFrame, rings: DataFrame, prefix: str) -> DataFrame:
-    """Vectors packed into blocks of about ``block_rows`` rows of one ring.
+def _packed(df: DataFrame, rings: DataFrame) -> DataFrame:
+    """Vectors packed into numbered blocks of about ``block_rows`` rows of one ring.
 
     ``rings`` has one row per occupied ring, at most ``MAX_PIVOTS * RINGS``, hence the broadcast.
     """
-    placed = df.join(F.broadcast(rings), ["cell", "ring"]).withColumn(
-        "chunk", F.pmod(F.xxhash64("_id"), F.col("chunks"))
-    )
-    packed = placed.groupBy("cell", "ring", "chunk").agg(
+    placed = df.join(F.broadcast(rings), ["cell", "ring"]).withColumn("chunk", F.pmod(F.xxhash64("_id"), F.col("chunks")))
+    packed = placed.groupBy("cell", "ring", "chunk", (F.col("before") + F.col("chunk")).alias("block")).agg(
         F.collect_list(F.struct("_id", "_v")).alias("rows")
     )
     return packed.select(
-        *[F.col(c).alias(f"{prefix}_{c}") for c in ("cell", "ring", "chunk")],
-        F.col("rows._id").alias(f"{prefix}_ids"),
-        F.col("rows._v").alias(f"{prefix}_vectors"),
+        "block", "cell", "ring", "chunk", F.col("rows._id").alias("ids"), F.col("rows._v").alias("vectors")
     )
 
 
@@ -365,13 +375,57 @@ def _with_rings(df: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
-def _ring_sizes(df: DataFrame, block_rows: int) -> DataFrame:
-    return df.groupBy("cell", "ring").agg(
-        F.count(F.lit(1)).alias("members"),
+def _ring_sizes(df: DataFrame, block_rows: int, place: np.ndarray) -> pa.Table:
+    """The occupied rings, at most ``MAX_PIVOTS * RINGS``, in the order of their pivots' places, with the number of the first block."""
+    rings = df.groupBy("cell", "ring").agg(
         F.min("distance").alias("nearest"),
         F.max("distance").alias("farthest"),
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("chunks"),
-    )
+        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("long").alias("chunks"),
+    ).toArrow().combine_chunks()
+    rings = rings.take(np.lexsort((rings["ring"].to_numpy(), place[rings["cell"].to_numpy()])))
+    chunks = rings["chunks"].to_numpy()
+    return rings.append_column("before", pa.array(np.cumsum(chunks) - chunks, pa.int64()))
+
+
+def _chain(centers: np.ndarray) -> np.ndarray:
+    """Places of the pivots in a walk to the nearest pivot not yet seen, so that near cells get into one tile."""
+    near = centers @ centers.T
+    place, here = np.zeros(len(centers), np.int64), 0
+    for step in range(len(centers)):
+        place[here] = step
+        near[:, here] = -np.inf
+        here = int(np.argmax(near[here]))
+    return place
+
+
+def tile_count(rows: int, dimension: int, least: int = 1) -> int:
+    """How many tiles a table of vectors is dealt to, for a tile to be within ``TILE_BYTES``."""
+    return max(least, -(-rows * 8 * max(1, dimension) // TILE_BYTES))
+
+
+def over_tiles(queries: DataFrame, corpus: DataFrame, score: Callable, schema: str) -> DataFrame:
+    """``score`` for each pair of a query tile and a corpus tile that some query block asks for.
+
+    ``queries`` has ``tile`` and ``slices``, the corpus tiles that a row asks for; ``corpus`` has ``tile``. ``score`` gets the rows of
+    both sides as Arrow tables."""
+    asked = queries.select(F.col("tile").alias("q_tile"), F.explode("slices").alias("c_tile"))
+    pairs = asked.distinct()  # at most a few dozen tiles a side, hence the broadcast
+    left = queries.select(F.col("tile").alias("q_tile"), F.explode("slices").alias("c_tile"), "*").drop("tile", "slices")
+    right = corpus.join(F.broadcast(pairs), F.col("tile") == F.col("c_tile")).drop("tile")
+    names, own = [c for c in left.columns if c not in ("q_tile", "c_tile")], [c for c in right.columns if c not in ("q_tile", "c_tile")]
+    rows = left.withColumn("_side", F.lit(0)).unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+
+    def run(table: pa.Table) -> pa.Table:
+        q, c = (table.filter(pc.equal(table["_side"], side)) for side in (0, 1))
+        batches = list(score(q.select(names).combine_chunks(), c.select(own).combine_chunks()))
+        return pa.Table.from_batches(batches, None if batches else NEIGHBOUR_ARROW)
+
+    return rows.groupBy("q_tile", "c_tile").applyInArrow(run, schema)
+
+
+def _array(column) -> pa.Array:
+    """A column of a table, in one piece."""
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
 def _block_matrix(column: pa.ListArray, row: int) -> np.ndarray:
@@ -379,82 +433,88 @@ def _block_matrix(column: pa.ListArray, row: int) -> np.ndarray:
     return unit_rows(matrix(column.slice(row, 1).flatten()))
 
 
-_PAIR_SCHEMA = (
-    "q_cell long, q_ring long, q_chunk long, bounds array<double>, "
-    "targets array<struct<c_cell:long, c_ring:long>>"
-)
+_BOUND_SCHEMA = "block long, bounds array<double>, targets array<struct<c_cell:long, c_ring:long>>, rings array<int>, slices array<int>"
+_RINGS = pa.list_(pa.struct([("c_cell", pa.int64()), ("c_ring", pa.int64())]))
+BOUNDS_AT_ONCE = 64
 
 
 def _bounder(pivots, ring_table, k: int, decimals: int):
-    """For each query block: a lower bound of every query's k-th similarity, and the corpus rings that
-    can still hold a neighbour."""
+    """For each query block: a lower bound of every query's k-th similarity, the corpus rings that
+    can still hold a neighbour, and the tiles these are in."""
     slack = 2.0 * 10.0**-decimals
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centers = pivots.value
-        cells, rings, nearest, farthest = ring_table.value
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            keys = [column[f"q_{c}"].to_pylist() for c in ("cell", "ring", "chunk")]
-            bounds, targets = [], []
-            for row in range(batch.num_rows):
-                queries = _block_matrix(column["q_vectors"], row)
-                to_pivots = queries @ centers.T
-                # Pivots and home block hold corpus rows: the k-th best of either is a valid bound.
-                limit = np.full(len(queries), -1.0)
-                known = [to_pivots]
-                if column["c_vectors"][row].is_valid:
-                    known.append(queries @ _block_matrix(column["c_vectors"], row).T)
-                for scores in known:
-                    if scores.shape[1] >= k:
-                        place = scores.shape[1] - k
-                        limit = np.maximum(limit, np.partition(scores, place, axis=1)[:, place])
-                limit -= slack
-                reach = _distance(limit) + 1e-9
-                away = _distance(to_pivots)
-                low = (away - reach[:, None]).min(axis=0)[cells]
-                high = (away + reach[:, None]).max(axis=0)[cells]
-                alive = np.nonzero((low <= farthest + 1e-9) & (high >= nearest - 1e-9))[0]
-                bounds.append(limit)
-                targets.append(
-                    [{"c_cell": int(cells[i]), "c_ring": int(rings[i])} for i in alive]
+        cells, rings, nearest, farthest, first, last = ring_table.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, BOUNDS_AT_ONCE):
+                batch = whole.slice(start, BOUNDS_AT_ONCE)
+                q_vectors, c_vectors = batch.column("vectors"), batch.column("c_vectors")
+                bounds, alive, tiles = [], [], []
+                for row in range(batch.num_rows):
+                    queries = _block_matrix(q_vectors, row)
+                    to_pivots = queries @ centers.T
+                    # Pivots and home block hold corpus rows: the k-th best of either is a valid bound.
+                    limit = np.full(len(queries), -1.0)
+                    known = [to_pivots]
+                    if c_vectors[row].is_valid:
+                        known.append(queries @ _block_matrix(c_vectors, row).T)
+                    for scores in known:
+                        if scores.shape[1] >= k:
+                            place = scores.shape[1] - k
+                            limit = np.maximum(limit, np.partition(scores, place, axis=1)[:, place])
+                    limit -= slack
+                    reach = _distance(limit) + 1e-9
+                    away = _distance(to_pivots)
+                    low = (away - reach[:, None]).min(axis=0)[cells]
+                    high = (away + reach[:, None]).max(axis=0)[cells]
+                    left = np.nonzero((low <= farthest + 1e-9) & (high >= nearest - 1e-9))[0]
+                    # A ring may reach over several tiles.
+                    edges = np.zeros(last.max() + 2, np.int64)
+                    np.add.at(edges, first[left], 1)
+                    np.add.at(edges, last[left] + 1, -1)
+                    bounds.append(limit)
+                    alive.append(left)
+                    tiles.append(np.flatnonzero(np.cumsum(edges)[:-1]))
+                at = np.concatenate(alive)
+                ends = pa.array(np.cumsum([0, *map(len, alive)]), pa.int32())
+                ring = pa.StructArray.from_arrays([pa.array(cells[at]), pa.array(rings[at])], fields=list(_RINGS.value_type))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("block"),
+                        pa.array(bounds, pa.list_(pa.float64())),
+                        pa.ListArray.from_arrays(ends, ring),
+                        pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())),
+                        pa.array(tiles, pa.list_(pa.int32())),
+                    ],
+                    names=["block", "bounds", "targets", "rings", "slices"],
                 )
-            target = pa.list_(pa.struct([(n, pa.int64()) for n in ("c_cell", "c_ring")]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[pa.array(values, pa.int64()) for values in keys],
-                    pa.array(bounds, pa.list_(pa.float64())),
-                    pa.array(targets, target),
-                ],
-                names=["q_cell", "q_ring", "q_chunk", "bounds", "targets"],
-            )
 
     return bound
 
 
 def _scorer(k: int, decimals: int):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for row in range(batch.num_rows):
-                one = {n: c.slice(row, 1).flatten() for n, c in column.items() if n.endswith("ids")}
-                limit = column["bounds"].slice(row, 1).flatten().to_numpy(zero_copy_only=False)
-                scores = _block_matrix(column["q_vectors"], row) @ _block_matrix(
-                    column["c_vectors"], row
-                ).T
-                query_ids = one["q_ids"].to_numpy(zero_copy_only=False)
-                ids = one["c_ids"].to_numpy(zero_copy_only=False)
-                above = scores >= limit[:, None]
-                if above.sum() <= k * len(limit):
-                    # The bounds alone leave few candidates; no ranking inside the pair is needed.
-                    asked, answer = np.nonzero(above)
-                    values = np.round(scores[asked, answer], decimals)
-                    yield long_rows(query_ids[asked], ids[answer][:, None], values[:, None])
-                else:
-                    scores[~above] = -np.inf
-                    yield long_rows(query_ids, *best_columns(scores, ids, k, decimals))
+    """Blocks of a query tile against the blocks of a corpus tile that are in rings left to them."""
+    slack = 2.0 * 10.0**-decimals
+
+    def score(q: pa.Table, c: pa.Table) -> Iterator[pa.RecordBatch]:
+        sizes = pc.list_value_length(_array(c["ids"])).to_numpy(zero_copy_only=False)
+        ring = np.repeat(c["number"].to_numpy(), sizes)
+        ids = _array(c["ids"]).flatten().to_numpy(zero_copy_only=False)
+        corpus = unit_rows(matrix(_array(c["vectors"]).flatten()))
+        q_ids, q_vectors, q_bounds, q_rings = (_array(q[n]) for n in ("ids", "vectors", "bounds", "rings"))
+        for row in range(q.num_rows):
+            query_ids, limit, alive = (x.slice(row, 1).flatten().to_numpy(zero_copy_only=False) for x in (q_ids, q_bounds, q_rings))
+            chosen = np.flatnonzero(np.isin(ring, alive))
+            queries = _block_matrix(q_vectors, row)
+            found, kept = np.full((len(query_ids), k), NOTHING), np.full((len(query_ids), k), -np.inf)
+            width = max(1, SCORES_AT_ONCE // max(1, len(query_ids)))
+            for start in range(0, len(chosen), width):
+                at = chosen[start : start + width]
+                new = best_columns(queries @ corpus[at].T, ids[at], k, decimals, limit)
+                found, kept = better(found, kept, *new)
+                limit = np.maximum(limit, kept[:, -1] - slack)
+            yield long_rows(query_ids, found, kept)
 
     return score
 
@@ -468,24 +528,35 @@ def over_distinct(
 ) -> DataFrame:
     """Neighbours of all queries from those of each different query vector.
 
-    ``solve(queries, corpus, wanted)`` ranks the answers of different vectors (``_id, _v``; the corpus
-    with ``_n``, 1 for the first of its copies) and may return the query itself. Only the lowest ids of a
-    set of copies can be answers, so it never sees more than ``wanted`` copies of one vector.
+    ``solve(queries, corpus, wanted)`` ranks different vectors (``_id, _v``, one row for a set of copies, named by its lowest id)
+    and may return the query itself. Ties go to the lower id, so all answers are among the lowest ids of the ``wanted`` best
+    vectors. Where ``queries`` is ``corpus``, so are the arguments of ``solve``.
     """
     wanted = k + 1 if exclude_self else k
-    keyed = _keyed(queries)
-    solved = first_rows(keyed, 1, by=["_h1", "_h2"], order=[F.col("_id")], name="_n").drop("_n")
-    answers = first_rows(_keyed(corpus), wanted, by=["_h1", "_h2"], order=[F.col("_id")], name="_n")
-    answers = cut_lineage(answers.select("_id", "_v", "_n"), "knn-corpus")
-    top = solve(solved, answers, wanted)
+
+    def different(df: DataFrame) -> DataFrame:
+        sets = _keyed(df).groupBy("_h1", "_h2").agg(F.min("_id").alias("_id"), F.first("_v").alias("_v"))
+        return cut_lineage(sets, "knn-vectors")
+
+    corpus_sets = different(corpus)
+    query_sets = corpus_sets if queries is corpus else different(queries)
+    answers = corpus_sets.select("_id", "_v")
+    top = solve(answers if queries is corpus else query_sets.select("_id", "_v"), answers, wanted)
+    # Vectors stand for the lowest ids of their copies; ids and keys only from here on.
+    keys = _keyed(corpus).select("_id", "_h1", "_h2")
+    lowest = first_rows(keys, wanted, by=["_h1", "_h2"], order=[F.col("_id")], name="_n")
+    copies = lowest.groupBy("_h1", "_h2").agg(F.min("_id").alias("_head"), F.collect_list("_id").alias("_ids"))
+    rows = top.join(copies.select("_head", "_ids"), F.col("neighbor_id") == F.col("_head")).select(
+        "query_id", "similarity", F.explode("_ids").alias("neighbor_id")
+    )
+    answer = F.struct((-F.col("similarity")).alias("order"), F.col("neighbor_id"), F.col("similarity"))
+    per_query = rows.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(answer)), 1, wanted).alias("answers"))
     # Hand each answer to all copies of its query, minus the row itself.
-    answer = F.struct(F.col("rank"), F.col("neighbor_id"), F.col("similarity"))
-    per_query = top.groupBy("query_id").agg(F.array_sort(F.collect_list(answer)).alias("answers"))
-    per_key = solved.select("_id", "_h1", "_h2").join(
+    per_key = query_sets.select("_id", "_h1", "_h2").join(
         per_query, F.col("_id") == F.col("query_id")
     ).select("_h1", "_h2", "answers")
     own = F.filter("answers", lambda a: a["neighbor_id"] != F.col("_id")) if exclude_self else F.col("answers")
-    expanded = keyed.select("_id", "_h1", "_h2").join(per_key, ["_h1", "_h2"])
+    expanded = _keyed(queries).select("_id", "_h1", "_h2").join(per_key, ["_h1", "_h2"])
     return expanded.select(
         F.col("_id").alias("query_id"), F.posexplode(F.slice(own, 1, k)).alias("position", "a")
     ).select(
@@ -512,68 +583,55 @@ def _block_answers(
     rows = answers.count()
     # 1. A bounded, repeatable sample of distinct corpus vectors as pivots.
     size = int(np.clip(np.ceil(rows / block_rows), 8, MAX_PIVOTS))
-    sample = (
-        answers.where(F.col("_n") == 1).orderBy(F.xxhash64("_id"), "_id").limit(size).select("_v")
-    ).toArrow()
+    sample = answers.orderBy(F.xxhash64("_id"), "_id").limit(size).select("_v").toArrow()
     if sample.num_rows == 0:
         return spark.createDataFrame([], RANKED_SCHEMA)
-    pivots = spark.sparkContext.broadcast(
-        unit_rows(matrix(sample.combine_chunks()["_v"].combine_chunks()))
-    )
-    # 2. Cells around pivots, rings by distance to the pivot, blocks inside rings.
+    centers = unit_rows(matrix(sample.combine_chunks()["_v"].combine_chunks()))
+    pivots, order = spark.sparkContext.broadcast(centers), _chain(centers)
+    # 2. Cells around pivots, rings by distance to the pivot, blocks inside rings, tiles of blocks.
     vector_type = answers.schema["_v"].dataType.simpleString()
     placed = f"_id long, _v {vector_type}, cell long, distance double"
-    assign = _assigner(pivots)
 
-    def place(df: DataFrame) -> DataFrame:
-        assigned = cut_lineage(df.select("_id", "_v").mapInArrow(assign, placed), "knn-cells")
-        return _with_rings(assigned, block_rows)
-
-    c_placed, q_placed = place(answers), place(solved)
-    c_rings = _ring_sizes(c_placed, block_rows)
-    ring_rows = c_rings.toArrow()  # at most MAX_PIVOTS * RINGS rows
+    def blocks(df: DataFrame) -> tuple[DataFrame, pa.Table]:
+        assigned = cut_lineage(df.select("_id", "_v").mapInArrow(_assigner(pivots), placed), "knn-cells")
+        in_rings = _with_rings(assigned, block_rows)
+        rings = _ring_sizes(in_rings, block_rows, order)
+        known = spark.createDataFrame(rings.select(["cell", "ring", "chunks", "before"]))
+        return cut_lineage(_packed(in_rings, known), "knn-blocks"), rings
+
+    c_blocks, c_rings = blocks(answers)
+    q_blocks, q_rings = (c_blocks, c_rings) if solved is answers else blocks(solved)
+    before, chunks = c_rings["before"].to_numpy(), c_rings["chunks"].to_numpy()
+    c_total, q_total = (max(1, int(np.sum(r["chunks"].to_numpy()))) for r in (c_rings, q_rings))
+    c_tiles = min(c_total, tile_count(rows, centers.shape[1]))
+    q_tiles = min(q_total, tile_count(q_total * block_rows, centers.shape[1], QUERY_TILES))
     ring_table = spark.sparkContext.broadcast(
-        tuple(ring_rows[n].to_numpy() for n in ("cell", "ring", "nearest", "farthest"))
-    )
-    c_blocks = cut_lineage(_packed(c_placed, c_rings, "c"), "knn-blocks")
-    q_blocks = cut_lineage(_packed(q_placed, _ring_sizes(q_placed, block_rows), "q"), "knn-blocks")
-    # 3. Bounds from the home block of each query block, and the block pairs they leave.
-    home = c_rings.select(
-        F.col("cell").alias("h_cell"), F.col("ring").alias("h_ring"), F.col("chunks").alias("h_chunks")
+        (
+            *[c_rings[n].to_numpy() for n in ("cell", "ring", "nearest", "farthest")],
+            before * c_tiles // c_total,
+            (before + chunks - 1) * c_tiles // c_total,
+        )
     )
-    homes = q_blocks.join(
-        F.broadcast(home),
-        (F.col("q_cell") == F.col("h_cell")) & (F.col("q_ring") == F.col("h_ring")),
-        "left",
-    ).join(
-        c_blocks.drop("c_ids"),
-        (F.col("h_cell") == F.col("c_cell"))
-        & (F.col("h_ring") == F.col("c_ring"))
-        & (F.pmod(F.col("q_chunk"), F.col("h_chunks")) == F.col("c_chunk")),
-        "left",
+    # 3. Bounds from the home block of each query block, and the corpus tiles they leave.
+    numbered = c_rings.select(["cell", "ring", "chunks", "before"]).append_column("number", pa.array(np.arange(c_rings.num_rows), pa.int32()))
+    rings = F.broadcast(spark.createDataFrame(numbered))
+    homes = (
+        q_blocks.join(rings, ["cell", "ring"], "left")
+        .select("block", "vectors", (F.col("before") + F.pmod(F.col("chunk"), F.col("chunks"))).alias("home"))
+        .join(c_blocks.select(F.col("block").alias("home"), F.col("vectors").alias("c_vectors")), "home", "left")
     )
     bounded = cut_lineage(
-        homes.select("q_cell", "q_ring", "q_chunk", "q_vectors", "c_vectors").mapInArrow(
-            _bounder(pivots, ring_table, wanted, decimals), _PAIR_SCHEMA
-        ),
+        homes.select("block", "vectors", "c_vectors").mapInArrow(_bounder(pivots, ring_table, wanted, decimals), _BOUND_SCHEMA),
         "knn-bounds",
     )
-    q_key = ["q_cell", "q_ring", "q_chunk"]
-    pairs = (
-        bounded.select(*q_key, F.explode("targets").alias("t"))
-        .join(
-            F.broadcast(home),
-            (F.col("t.c_cell") == F.col("h_cell")) & (F.col("t.c_ring") == F.col("h_ring")),
-        )
-        .select(*q_key, "t.*", F.explode(F.sequence(F.lit(0), F.col("h_chunks") - 1)).alias("c_chunk"))
+    # 4. Multiply what is left of each pair of tiles; a pair of tiles is the largest thing a task holds.
+    asking = q_blocks.select("block", "ids", "vectors").join(bounded.drop("targets"), "block").select(
+        F.floor(F.col("block") * q_tiles / q_total).alias("tile"), "slices", "ids", "vectors", "bounds", "rings"
     )
-    # 4. Multiply the surviving pairs; a block is the largest thing a task holds.
-    work = (
-        pairs.join(c_blocks, ["c_cell", "c_ring", "c_chunk"])
-        .join(q_blocks.join(bounded.drop("targets"), q_key), q_key)
-        .select("q_ids", "c_ids", "bounds", "q_vectors", "c_vectors")
+    corpus = c_blocks.join(rings, ["cell", "ring"]).select(
+        F.floor(F.col("block") * c_tiles / c_total).cast("int").alias("tile"), "ids", "vectors", "number"
     )
-    return _ranked(work.mapInArrow(_scorer(wanted, decimals), NEIGHBOUR_SCHEMA), wanted)
+    return _ranked(over_tiles(asking, corpus, _scorer(wanted, decimals), NEIGHBOUR_SCHEMA), wanted)
 
 
 # ---- uses --------------------------------------------------------------------------------------
