@@ -147,13 +147,15 @@ def fix_counts(fixed: DataFrame) -> DataFrame:
     return fixed.agg(*counts).withColumn("fixes_applied", F.expr("fix_1 + fix_2 + fix_3"))
 
 
-def migrate_paths(lots: DataFrame, listing: DataFrame) -> DataFrame:
+def migrate_paths(lots: DataFrame, listing: DataFrame, *, owner: str | None = None) -> DataFrame:
     """Legacy picture paths turned into canonical keys where the file is listed.
 
-    ``migration`` is null for rows out of scope, else ``skipped``, ``missing`` or ``migrated``.
+    ``migration`` is null for rows out of scope, else ``skipped``, ``missing`` or ``migrated``. Several lots may name one path:
+    with ``owner``, a lot's key that the listing has too, a file counts only for the lot it was stored for.
     """
     in_scope = has_text("image_path") & ~F.col("image_path").startswith("raw/")
-    files = listing.select(F.col("path").alias("_file")).distinct()
+    owned = [F.col(owner).alias("_owner")] if owner else []
+    files = listing.select(F.col("path").alias("_file"), *owned).distinct()
     keyed = lots.withColumns(
         {
             "_key": F.when(in_scope, canonical_raw_key(F.col("image_path"))),
@@ -162,7 +164,10 @@ def migrate_paths(lots: DataFrame, listing: DataFrame) -> DataFrame:
         "_name",
         or_unmatched(F.ltrim(F.trim("image_path"), F.lit("./")), F.col("_key").isNotNull(), "id"),
     )
-    joined = keyed.join(files, F.col("_name") == F.col("_file"), "left")
+    same = F.col("_name") == F.col("_file")
+    if owner:
+        same &= F.col(owner) == F.col("_owner")
+    joined = keyed.join(files, same, "left")
     outcome = F.when(
         in_scope,
         F.when(F.col("_key").isNull(), "skipped")
