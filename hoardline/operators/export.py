@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hoardline.functions.text import blank_to_null, resolved_period, safe_int, whole_number
 from hoardline.operators.catalog import has_text
-from hoardline.operators.ranking import seeded_cuts, sorted_row_number, within_cut
+from hoardline.operators.ranking import exact_share, seeded_cuts, sorted_row_number, within_cut
 
 SIDES = {"obverse": "obv", "reverse": "rev", "unknown": "unk"}
 LEVEL_BITS = 5  # a block of one level is 32 of the level below
@@ -257,10 +257,10 @@ def stratified_split(
     marked = df.withColumn("_stratum", F.coalesce(blank_to_null(stratum), F.lit("unknown")))
 
     def first(size: Column) -> Column:
-        return F.floor(size * F.lit(train))
+        return exact_share(size, train)
 
     def second(size: Column) -> Column:
-        return first(size) + F.floor(size * F.lit(val))
+        return first(size) + exact_share(size, val)
 
     cuts = seeded_cuts(marked, key, "_stratum", {"train": first, "val": second}, seed=seed)
     label = (
