@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hoardline.functions.paths import basename
 from hoardline.operators.mutate import update_by_id
+from hoardline.session import cut_lineage, spread_narrow
 
 HIGH_CONFIDENCE = 0.85  # fixed value: errors above it count as dangerous
 
@@ -64,60 +65,87 @@ def match_by_suffix(entries: DataFrame, rows: DataFrame) -> DataFrame:
     return names.join(tails, F.col("filename") == F.col("_suffix")).drop("_suffix")
 
 
+HEAD = 4  # leading plain characters of a segment by which windows of paths are chosen
+MAX_HEADS = 1000  # beyond so many different ones all windows of a path are kept
+
+
+def _plain(token: Column) -> Column:
+    return F.substring(token, -1, 1)
+
+
 def with_pattern(entries: DataFrame) -> DataFrame:
     """``entries`` with their ``filename`` read as a pattern: ``_`` is any one character, ``%`` any characters, a backslash
     makes the next character plain.
 
-    ``_like`` is the pattern with a ``%`` in front, ``_shape`` the distances from the end of the plain characters behind the last ``%``
-    and ``_key`` those characters; where there are none, ``_piece`` is the longest plain piece."""
+    ``_like`` is the pattern with a ``%`` in front. Of the segments between its ``%`` the one with the most plain characters is described, the last
+    one if they are equal: ``_length`` in characters, ``_shape`` the places of its plain characters, ``_key`` these
+    characters, ``_head`` the first few of them if it begins with them, and ``_last`` whether it is bound to the end of the path."""
     tokens = F.regexp_extract_all(F.col("filename"), F.lit(r"(?s)(\\.|.)"), F.lit(0))
     wild = lambda t: t.isin("_", "%")
-    plain = lambda t: F.substring(t, -1, 1)
-    quoted = lambda t: F.when(wild(t), t).when(plain(t).isin("_", "%", "\\"), F.concat(F.lit("\\"), plain(t))).otherwise(plain(t))
+    quoted = lambda t: F.when(wild(t), t).when(_plain(t).isin("_", "%", "\\"), F.concat(F.lit("\\"), _plain(t))).otherwise(_plain(t))
     rows = entries.withColumn("_tokens", tokens)
     like = F.concat(F.lit("%"), F.array_join(F.transform("_tokens", quoted), ""))
-    from_end = F.reverse("_tokens")
-    stop = F.array_position(from_end, "%")
-    tail = F.when(stop == 0, from_end).otherwise(F.slice(from_end, F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int")))
-    rows = rows.withColumn("_like", like).withColumn("_tail", F.transform(tail, lambda t, i: F.struct(t.alias("token"), i.alias("at"))))
-    kept = F.filter("_tail", lambda t: ~wild(t["token"]))
-    pieces = F.split(F.array_join(F.transform("_tokens", lambda t: F.when(wild(t), F.lit("\0")).otherwise(plain(t))), ""), "\0")
-    longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("size"), p.alias("piece"))))["piece"]
+    # The places of the %, with one before the first and one behind the last token.
+    bars = F.filter(F.transform("_tokens", lambda t, i: F.when(t == "%", i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("_like", like).withColumn("_bars", F.concat(F.array(F.lit(-1)), bars, F.array(F.size("_tokens"))))
+    segments = F.transform(
+        F.sequence(F.lit(0), F.size("_bars") - 2),
+        lambda n: F.slice("_tokens", F.get("_bars", n) + 2, F.get("_bars", n + 1) - F.get("_bars", n) - 1),
+    )
+    described = F.transform(
+        segments,
+        lambda segment, n: F.struct(
+            F.size(F.filter(segment, lambda t: t != "_")).alias("plain"), (n == F.size("_bars") - 2).alias("last"), segment.alias("tokens")
+        ),
+    )
+    rows = rows.withColumn("_best", F.array_max(described))
+    placed = F.filter(F.transform("_best.tokens", lambda t, i: F.struct(t.alias("token"), i.alias("at"))), lambda t: t["token"] != "_")
+    rows = rows.withColumn("_placed", placed)
+    lead = F.filter("_placed", lambda t, i: (t["at"] == i) & (i < HEAD))
     return (
-        rows.withColumn("_shape", F.transform(kept, lambda t: t["at"]))
-        .withColumn("_key", F.array_join(F.transform(kept, lambda t: plain(t["token"])), ""))
-        .withColumn("_piece", longest)
-        .drop("_tokens", "_tail")
+        rows.withColumn("_length", F.size("_best.tokens"))
+        .withColumn("_last", F.col("_best.last"))
+        .withColumn("_shape", F.transform("_placed", lambda t: t["at"]))
+        .withColumn("_key", F.array_join(F.transform("_placed", lambda t: _plain(t["token"])), ""))
+        .withColumn("_head", F.array_join(F.transform(lead, lambda t: _plain(t["token"])), ""))
+        .drop("_tokens", "_bars", "_best", "_placed")
     )
 
 
 def match_by_pattern(entries: DataFrame, rows: DataFrame) -> DataFrame:
     """Entries joined to the rows whose path ends with the file name as a pattern (``LIKE '%name'``).
 
-    A pattern fixes characters at certain distances from the end of the path: paths give the characters at the same places for each
-    set of distances that occurs, so this is an equality join. Patterns that end in ``%`` and wildcards fix none;
-    they meet paths through their longest plain piece, among all pieces of a path of the lengths that occur. Names that
+    A pattern meets paths through its segment with the most plain characters, so a name of a few wildcards is looked up by what is
+    particular to it and not by an ending that all paths share. Paths are cut into windows of each length and set of plain places that occurs, at the end only
+    where the segment is bound to it, so this is an equality join; where the heads of the segments are few, windows
+    that begin otherwise are left out before the join. Names that
     are null or have no plain character match nothing. Names compare exactly, case included."""
-    patterns = with_pattern(entries.where(F.col("filename").isNotNull()))
-    anchored, loose = patterns.where(F.size("_shape") > 0), patterns.where((F.size("_shape") == 0) & (F.col("_piece") != ""))
+    patterns = with_pattern(entries.where(F.col("filename").isNotNull())).where(F.col("_key") != "")
+    patterns = cut_lineage(patterns, "patterns")
+    # The shapes of file names: far fewer than names, as names of one origin look alike.
+    shape = [F.col("_last"), F.col("_length"), F.col("_shape"), F.substring("_head", 1, HEAD).alias("_head")]
+    heads = patterns.select(*shape).distinct()
+    forms = heads.groupBy("_last", "_length", "_shape").agg(F.collect_set("_head").alias("_heads"))
+    limited = F.when(F.array_contains("_heads", "") | (F.size("_heads") > MAX_HEADS), F.array(F.lit(""))).otherwise(F.col("_heads"))
+    all_forms = forms.agg(F.collect_list(F.struct("_last", "_length", "_shape", limited.alias("_heads")))).scalar()
+
     path = F.col("image_path")
-    # The shapes, and lengths, of file names: far fewer than names, as names of one origin look alike.
-    shapes = anchored.agg(F.collect_set("_shape")).scalar()
-    sizes = loose.agg(F.collect_set(F.length("_piece"))).scalar()
-
-    letters = F.reverse(F.split(path, ""))
-    fits = F.filter("_shapes", lambda shape: F.array_max(shape) < F.size("_letters"))
-    ends = rows.withColumn("_shapes", shapes).withColumn("_letters", letters).select(*rows.columns, "_letters", F.explode(fits).alias("_at"))
-    ends = ends.withColumn("_end", F.array_join(F.transform("_at", lambda i: F.col("_letters")[i]), "")).drop("_letters")
-    same = (F.col("_key") == F.col("_end")) & (F.col("_shape") == F.col("_at")) & F.expr(r"image_path LIKE _like ESCAPE '\\'")
-    first = anchored.join(ends, same)
-
-    fitting = F.filter("_sizes", lambda n: n <= F.length(path))
-    cut = F.flatten(F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(path) - n + 1), lambda i: F.substring(path, i, n))))
-    parts = rows.withColumn("_sizes", sizes).select(*rows.columns, F.explode(F.array_distinct(cut)).alias("_part"))
-    second = loose.join(parts, (F.col("_piece") == F.col("_part")) & F.expr(r"image_path LIKE _like ESCAPE '\\'"))
-    columns = [*entries.columns, *rows.columns]
-    return first.select(*columns).unionByName(second.select(*columns))
+    begins = lambda f, s: F.exists(f["_heads"], lambda h: F.substring(path, s, F.length(h)) == h)
+    fitting = F.filter("_forms", lambda f: (f["_length"] <= F.length(path)) & (~f["_last"] | begins(f, F.length(path) - f["_length"] + 1)))
+    cut = spread_narrow(rows).withColumn("_forms", all_forms).select(*rows.columns, F.explode(fitting).alias("_form"))
+    form, end = F.col("_form"), F.length(path) - F.col("_form._length") + 1
+    places = F.when(form["_last"], F.array(end)).otherwise(F.sequence(F.lit(1), end))
+    starts = F.filter(places, lambda s: begins(form, s))
+    whole = F.size(form["_shape"]) == form["_length"]
+    letters = lambda s: F.array_join(F.transform(form["_shape"], lambda i: F.substring(path, s + i, F.lit(1))), "")
+    windows = F.transform(starts, lambda s: F.when(whole, F.substring(path, s, form["_length"])).otherwise(letters(s)))
+    parts = cut.select(
+        *rows.columns, *[form[f"_{n}"].alias(f"_of_{n}") for n in ("last", "length", "shape")], F.explode(F.array_distinct(windows)).alias("_part")
+    )
+    same = (F.col("_key") == F.col("_part")) & F.expr(r"image_path LIKE _like ESCAPE '\\'")
+    for n in ("last", "length", "shape"):
+        same &= F.col(f"_{n}") == F.col(f"_of_{n}")
+    return patterns.join(parts, same).select(*entries.columns, *rows.columns)
 
 
 def verified_feedback(
