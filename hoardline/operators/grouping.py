@@ -31,7 +31,7 @@ def density_clusters(
     min_samples: int = 10,
     min_cluster_size: int = 20,
     vector: str = "embedding",
-    tile_rows: int = radius.TILE_ROWS,
+    tile_rows: int | None = None,
 ) -> DataFrame:
     """Density clusters: rows with ``min_samples`` others within ``eps``, joined by steps of at most ``eps``.
 

@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoardline.operators.knn import DECIMALS, matrix, unit_rows
+from hoardline.operators.knn import DECIMALS, SCORES_AT_ONCE, matrix, unit_rows
 from hoardline.session import cut_lineage
 
-TILE_ROWS = 1024
+TILE_ROWS = 1024  # least size of a tile
+TILES = 24  # a table without structure is dealt to so many tiles until they reach TILE_BYTES
+TILE_BYTES = 16 << 20
 AXES = 3
 SAMPLE_ROWS = 4096  # rows that the directions are taken from; any directions give right results
 CELL = [f"_c{i}" for i in range(AXES)]
@@ -53,8 +55,17 @@ def cell_side(eps: float, decimals: int = DECIMALS) -> float:
     return float(np.sqrt(eps * eps + 2 * 10.0**-decimals) * (1 + 1e-9))
 
 
-def tiles(heads: DataFrame, eps: float, tile_rows: int = TILE_ROWS) -> DataFrame:
+def rows_of_tile(rows: int, dimension: int) -> int:
+    """Rows of a tile: a row is sent to as many tasks as there are tiles around it, so their number does not grow with the table
+    until a tile reaches ``TILE_BYTES``."""
+    return int(max(TILE_ROWS, min(-(-rows // TILES), TILE_BYTES // (8 * max(1, dimension)))))
+
+
+def tiles(heads: DataFrame, eps: float, tile_rows: int | None = None) -> DataFrame:
     """``_id, weight, _v`` with the cell ``_c0 ...`` and ``_part``, the tile inside the cell."""
+    if tile_rows is None:
+        first = heads.select(F.size("_v").alias("d")).head()
+        tile_rows = rows_of_tile(heads.count(), first["d"] if first else 1)
     directions, side = _directions(heads), cell_side(eps)
     kind = heads.schema["_v"].dataType.simpleString()
 
@@ -89,8 +100,10 @@ def tile_pairs(packs: DataFrame, same: bool = True) -> DataFrame:
     own = F.lit(True)
     for c in CELL:
         own &= F.col(f"a_{c}") == F.col(f"b_{c}")
-    later = F.col("a__part") <= F.col("b__part") if same else F.col("a__part") < F.col("b__part")
-    pairs = pairs.where(~own | later)
+    # Each pair of parts once, so that every part is first and second equally often.
+    even = (F.col("a__part") + F.col("b__part")) % 2 == 0
+    once = (F.col("a__part") != F.col("b__part")) & ((F.col("a__part") < F.col("b__part")) == even)
+    pairs = pairs.where(~own | ((F.col("a__part") == F.col("b__part")) | once if same else once))
     a, b = (packs.select(*[F.col(c).alias(f"{p}_{c}") for c in packs.columns]) for p in "ab")
     return pairs.join(a, [f"a_{c}" for c in tile]).join(b, [f"b_{c}" for c in tile])
 
@@ -105,6 +118,14 @@ def _tile(batch: pa.RecordBatch, row: int, side: str, *names: str):
     return [unit_rows(matrix(c)) if n == "vectors" else c.to_numpy(zero_copy_only=False) for n, c in zip(names, one, strict=True)]
 
 
+def _strips(rows: int, width: int):
+    """Ranges of rows whose distances to ``width`` others are held at a time; the first ones are short."""
+    start, step = 0, 8
+    while start < rows:
+        yield start, min(rows, start + step)
+        start, step = start + step, max(1, min(2 * step, SCORES_AT_ONCE // max(1, width)))
+
+
 def _nearest(found: np.ndarray, weights: np.ndarray, eps: float, k: int):
     """Per row of ``found`` the weight within ``eps`` and the ``k`` least distances there, repeated by weight."""
     within = found <= eps
@@ -127,14 +148,20 @@ def core_distances(packs: DataFrame, eps: float, k: int) -> DataFrame:
             for row in range(batch.num_rows):
                 a, aw, av = _tile(batch, row, "a", "ids", "weights", "vectors")
                 b, bw, bv = _tile(batch, row, "b", "ids", "weights", "vectors")
-                found = distances(av, bv)
                 if len(a) == len(b) and (a == b).all():  # a tile with itself
-                    np.fill_diagonal(found, np.inf)  # a row is not its own partner, its copies are
-                    counts, lists = _nearest(found, aw, eps, k)
-                    lists = [np.append(np.zeros(min(w - 1, k)), near)[:k] for near, w in zip(lists, aw.tolist(), strict=True)]
-                    sides = [(a, counts + aw - 1, lists)]
+                    sides = []
+                    for start, stop in _strips(len(a), len(a)):
+                        found, w = distances(av[start:stop], av), aw[start:stop]
+                        found[np.arange(stop - start), np.arange(start, stop)] = np.inf  # a row is not its own partner, its copies are
+                        counts, lists = _nearest(found, aw, eps, k)
+                        lists = [np.append(np.zeros(min(n - 1, k)), near)[:k] for near, n in zip(lists, w.tolist(), strict=True)]
+                        sides.append((a[start:stop], counts + w - 1, lists))
                 else:
-                    sides = [(a, *_nearest(found, bw, eps, k)), (b, *_nearest(found.T, aw, eps, k))]
+                    sides = [
+                        (ids[start:stop], *_nearest(distances(mine[start:stop], others), weights, eps, k))
+                        for ids, mine, others, weights in ((a, av, bv, bw), (b, bv, av, aw))
+                        for start, stop in _strips(len(ids), len(others))
+                    ]
                 for ids, counts, lists in sides:
                     some = np.flatnonzero(counts)
                     yield pa.RecordBatch.from_arrays(
@@ -159,6 +186,16 @@ def _groups(size: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
             return label
 
 
+def _joined(label: np.ndarray, u: np.ndarray, v: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """``label``, the lowest of each group, after the groups ``u`` (rows) and ``v`` (columns) that are ``near`` have been joined."""
+    u, v = label[u], label[v]
+    row, column = np.nonzero(near & (u[:, None] != v[None, :]))
+    if not len(row):
+        return label
+    ends = np.unique(u[row] * len(label) + v[column])
+    return _groups(len(label), ends // len(label), ends % len(label))[label]
+
+
 def links(packs: DataFrame, eps: float) -> DataFrame:
     """``u, v``: links that connect exactly the rows that are connected by steps of at most ``eps``.
 
@@ -170,11 +207,13 @@ def links(packs: DataFrame, eps: float) -> DataFrame:
             for row in range(batch.num_rows):
                 one = batch.column("ids").slice(row, 1).flatten().to_numpy()
                 vectors = unit_rows(matrix(batch.column("vectors").slice(row, 1).flatten()))
-                u, v = np.nonzero(np.triu(distances(vectors, vectors) <= eps, 1))
                 order = np.argsort(one)
-                place = np.empty(len(one), np.int64)
-                place[order] = np.arange(len(one))
-                roots.append(one[order][_groups(len(one), place[u], place[v])][place])
+                vectors, label = vectors[order], np.arange(len(one))
+                for start, stop in _strips(len(one), len(one)):
+                    label = _joined(label, np.arange(start, stop), np.arange(len(one)), distances(vectors[start:stop], vectors) <= eps)
+                lowest = np.empty(len(one), np.int64)
+                lowest[order] = one[order][label]
+                roots.append(lowest)
             kept = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(roots, pa.list_(pa.int64()))], [*batch.schema.names, "roots"])
 
@@ -183,10 +222,11 @@ def links(packs: DataFrame, eps: float) -> DataFrame:
             for row in range(batch.num_rows):
                 av, ar = _tile(batch, row, "a", "vectors", "roots")
                 bv, br = _tile(batch, row, "b", "vectors", "roots")
-                u, v = np.nonzero(distances(av, bv) <= eps)
                 names, at = np.unique(np.concatenate([ar, br]), return_inverse=True)
-                ends = np.unique(np.stack([at[: len(ar)][u], at[len(ar) :][v]]), axis=1)
-                group = names[_groups(len(names), ends[0], ends[1])]
+                label = np.arange(len(names))
+                for start, stop in _strips(len(av), len(bv)):
+                    label = _joined(label, at[start:stop], at[len(ar) :], distances(av[start:stop], bv) <= eps)
+                group = names[label]
                 linked = group != names
                 if linked.any():
                     yield pa.RecordBatch.from_arrays([pa.array(names[linked]), pa.array(group[linked])], ["u", "v"])
