@@ -26,6 +26,7 @@ LEAST = 30
 SHARDS = 2
 SLOT_BITS = 24  # one byte each: what a scan is sent, whatever the corpus
 NEVER = 255
+PAGE_BITS = 15  # slots of one of Spark's bitmaps
 BLOCK_BYTES = 1 << 20
 TOP = 2000
 CONTAINED = (100, 80)  # a phrase goes if 100 times a longer one's count is at least 80 times its own
@@ -232,7 +233,7 @@ def _scan(shard: DataFrame, step: int, shards: int, table, bits: int, longest: i
 
 
 def _slots_of(phrases: DataFrame, bits: int) -> DataFrame:
-    """The slots of ``lang, n, phrase``."""
+    """The slots of ``lang, n, phrase`` as ``page, marks``: a bitmap for each page of 2**``PAGE_BITS`` slots that has some."""
 
     def run(batches):
         powers = [Powers(b) for b in _BASES]
@@ -248,7 +249,17 @@ def _slots_of(phrases: DataFrame, bits: int) -> DataFrame:
                         slots = np.unique(np.concatenate(_slots(sums, n, bits)))
                         yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32))], ["slot"])
 
-    return phrases.select("lang", "n", "phrase").mapInArrow(run, "slot int").distinct()
+    slots = phrases.select("lang", "n", "phrase").mapInArrow(run, "slot int")
+    paged = slots.select(F.shiftright("slot", PAGE_BITS).alias("page"), (F.col("slot") % (1 << PAGE_BITS)).cast("long").alias("place"))
+    return paged.repartition("page").groupBy("page").agg(F.bitmap_construct_agg("place").alias("marks"))
+
+
+def _mark(table: np.ndarray, pages, step: int) -> None:
+    """Set the slots that ``pages`` mark to ``step`` where they have no step yet."""
+    for page, marks in pages:
+        part = table[page << PAGE_BITS : (page + 1) << PAGE_BITS]
+        marked = np.unpackbits(np.frombuffer(marks, np.uint8), count=len(part), bitorder="little").view(bool)
+        part[marked & (part == NEVER)] = step
 
 
 def frequent(
@@ -258,7 +269,7 @@ def frequent(
     ``lang, rows`` with the words of each language.
 
     Null texts are empty, a null language is ``und``; repeated rows count; other columns are ignored. Only table slots reach the
-    driver, at most 2**``bits`` numbers. Steps end when no phrase is left that has not seen every shard."""
+    driver, one bit each: at most 2**``bits`` bits a step. Steps end when no phrase is left that has not seen every shard."""
     spark = documents.sparkSession
     key = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.col(text_column)), F.lit(shards))
     narrow = documents.select(F.coalesce(F.col(lang_column).cast("string"), F.lit(NO_LANG)).alias("lang"), text_or_empty(text_column).alias("text"), key.alias("shard"))
@@ -282,13 +293,12 @@ def frequent(
         if step == shards - 1:
             totals.append(added.where("n = 1"))
         fresh = added.where((F.col("reached") == step) & (F.col("n") < longest))
-        slots = _slots_of(fresh, bits).toPandas()["slot"].to_numpy()
-        firsts = firsts.copy()
-        firsts[slots] = np.minimum(firsts[slots], step)
-        if len(slots):
+        pages = _slots_of(fresh, bits).collect()
+        _mark(firsts, pages, step)
+        if pages:
             busy_until = max(busy_until, step + shards)
         state = added.where(~done)
-        table.unpersist()
+        table.destroy()  # its counts are stored
         step += 1
         if step >= NEVER:
             raise ValueError("too many shards for one-byte steps")

@@ -108,3 +108,21 @@ def test_only_phrases_of_frequent_parts_are_counted(spark):
         table[slot] = 1
     assert [(r.phrase, r.since) for r in phrases._scan(df, 2, 3, Held, 20, 4).where("n > 1").collect()] == [("a b", 2)]
     assert phrases._scan(df, 5, 3, Held, 20, 4).count() == 0
+
+
+def test_slots_reach_the_driver_as_bitmaps(spark):
+    """However many phrases are frequent, a step sends the driver one bit a slot."""
+    some = spark.range(60_000).selectExpr("'en' AS lang", "CAST(1 + id % 2 AS INT) AS n", "IF(id % 2 = 0, concat('w', id), concat('w', id, ' x')) AS phrase")
+    pages = phrases._slots_of(some, 17).collect()
+    assert sorted(p.page for p in pages) == [0, 1, 2, 3] and {len(p.marks) for p in pages} == {4096}
+    wanted = set()
+    for n, end in ((1, ""), (2, " x")):
+        raw = ".".join(f"w{i}{end}" for i in range(n - 1, 60_000, 2)).encode()
+        words = phrases.Words(np.frombuffer(raw, np.uint8), phrases._seed("en"), [phrases.Powers(b) for b in phrases._BASES])
+        sums = next(s for m, _, s in words.grams(n) if m == n)
+        wanted |= set(np.concatenate(phrases._slots(sums, n, 17)).tolist())
+    table = np.full(1 << 17, phrases.NEVER, np.uint8)
+    table[min(wanted)] = 1
+    phrases._mark(table, pages, 4)
+    assert table[min(wanted)] == 1 and set(np.flatnonzero(table == 4).tolist()) == wanted - {min(wanted)}
+    assert phrases._slots_of(some.limit(0), 17).collect() == []
